@@ -47,13 +47,26 @@ def _safe_div(a, b):
 
 
 def per_class_report(scored: DataFrame, classes: DataFrame, by: Sequence[str], y: str = "y", pred: str = "pred") -> DataFrame:
-    """E4 per class: precision, recall, F1 (0 on zero division) and support."""
-    tp = scored.filter(F.col(y) == F.col(pred)).groupBy(*by, F.col(y).alias("class")).agg(F.count(F.lit(1)).alias("tp"))
-    sup = scored.groupBy(*by, F.col(y).alias("class")).agg(F.count(F.lit(1)).alias("support"))
-    prd = scored.groupBy(*by, F.col(pred).alias("class")).agg(F.count(F.lit(1)).alias("predicted"))
+    """E4 per class: precision, recall, F1 (0 on zero division) and support.
+
+    One pass: every row emits a record for its true class (support, tp) and
+    one for its predicted class; one aggregate sums them per class."""
+    one, zero = F.lit(1), F.lit(0)
+    recs = F.array(
+        F.struct(F.col(y).alias("class"), one.alias("s"), (F.col(y) == F.col(pred)).cast("int").alias("t"), zero.alias("q")),
+        F.struct(F.col(pred).alias("class"), zero.alias("s"), zero.alias("t"), one.alias("q")),
+    )
+    stats = (
+        scored.select(*by, F.explode(recs).alias("r"))
+        .groupBy(*by, F.col("r.class").alias("class"))
+        .agg(
+            F.sum("r.t").cast("bigint").alias("tp"),
+            F.sum("r.s").cast("bigint").alias("support"),
+            F.sum("r.q").cast("bigint").alias("predicted"),
+        )
+    )
     keys = [*by, "class"]
-    base = class_list(classes, by)
-    j = base.join(tp, keys, "left").join(sup, keys, "left").join(prd, keys, "left")
+    j = class_list(classes, by).join(stats, keys, "left")
     z = F.lit(0).cast("bigint")
     j = j.select(*keys, *[F.coalesce(F.col(c), z).alias(c) for c in ("tp", "support", "predicted")])
     prec = _safe_div(F.col("tp"), F.col("predicted"))
@@ -97,15 +110,16 @@ def entity_metrics(scored: DataFrame, classes: DataFrame, mapping: DataFrame, by
     """One row per entity: accuracy, top-2 accuracy, class count and the
     class distribution as ``map<class name, count>`` (``Unknown-{code}`` when a
     code has no name)."""
-    acc = accuracy(scored, by)
-    top2 = top_k_accuracy(scored, by, 2)
+    hit = F.array_contains(top_k_indices("p", 2), F.col("y")).cast("double")
+    acc_top2 = scored.groupBy(*by).agg(
+        F.avg((F.col("y") == F.col("pred")).cast("double")).alias("accuracy"), F.avg(hit).alias("top2_accuracy")
+    )
     dist = class_distribution(scored, classes, by)
     named = dist.join(mapping.select(*by, F.col(code).alias("class"), "name"), [*by, "class"], "left")
     named = named.withColumn("name", F.coalesce(F.col("name"), F.concat(F.lit("Unknown-"), F.col("class").cast("string"))))
     dmap = named.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("name", "n"))).alias("class_distribution"))
     return (
-        acc.join(top2, list(by))
-        .join(classes, list(by))
+        acc_top2.join(classes, list(by))
         .join(dmap, list(by))
         .select(*by, "accuracy", "top2_accuracy", F.col("n_classes").alias("num_classes"), "class_distribution")
     )

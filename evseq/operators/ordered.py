@@ -167,26 +167,31 @@ def ordered_fill(
     """
     G, O = list(partition_by), list(order_by)
     start = 0 if include_current else 1
-
-    def frame(w: WindowSpec) -> Column:
-        if direction == "backward":
-            return F.first(value, ignorenulls=True).over(w.rowsBetween(start, Window.unboundedFollowing))
+    backward = direction == "backward"
+
+    def frame(partition: list[str], order: list[str]) -> Column:
+        # Both directions as a *growing* frame (unbounded preceding .. current
+        # or .. 1 preceding): one running pass.  A backward fill is a forward
+        # fill over the reversed order; the shrinking frame (current ..
+        # unbounded following) would re-aggregate the rest of the partition
+        # for every row.
+        keys = [F.col(c).desc_nulls_last() for c in order] if backward else [F.col(c).asc_nulls_first() for c in order]
+        w = Window.partitionBy(*partition).orderBy(*keys) if partition else Window.orderBy(*keys)
         return F.last(value, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -start))
 
     how = choose_strategy(df, G, strategy, max_rows)
     if how == "direct":
-        w = Window.partitionBy(*G).orderBy(*O) if G else Window.orderBy(*O)
-        return df.withColumn(out, frame(w))
+        return df.withColumn(out, frame(G, O))
 
     pos = with_global_position(df, O, G, n_partitions=n_partitions)
     b = max(int(block_rows), 1)
     blk = pos.withColumn(BLK, F.floor(F.col(GPOS) / F.lit(b)).cast("long"))
-    local = blk.withColumn("_local", frame(Window.partitionBy(*G, BLK).orderBy(GPOS)))
+    local = blk.withColumn("_local", frame([*G, BLK], [GPOS]))
     nn = F.col(value).isNotNull()
-    if direction == "backward":
+    if backward:
         summary = blk.groupBy(*G, BLK).agg(F.min_by(F.col(value), F.when(nn, F.col(GPOS))).alias("_edge"))
-        carry_w = Window.partitionBy(*G).orderBy(BLK).rowsBetween(1, Window.unboundedFollowing)
-        carry = summary.select(*G, BLK, F.first("_edge", ignorenulls=True).over(carry_w).alias("_carry"))
+        carry_w = Window.partitionBy(*G).orderBy(F.col(BLK).desc()).rowsBetween(Window.unboundedPreceding, -1)
+        carry = summary.select(*G, BLK, F.last("_edge", ignorenulls=True).over(carry_w).alias("_carry"))
     else:
         summary = blk.groupBy(*G, BLK).agg(F.max_by(F.col(value), F.when(nn, F.col(GPOS))).alias("_edge"))
         carry_w = Window.partitionBy(*G).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)

@@ -23,6 +23,7 @@ from evseq.operators import filters as FL
 from evseq.operators import joins as J
 from evseq.operators import model as L
 from evseq.operators import sequences as Q
+from evseq.operators.ordered import DEFAULT_MAX_GROUP_ROWS, choose_strategy
 from evseq.plans import sql as S
 from evseq.plans.stages import (
     HAND_CODES,
@@ -59,6 +60,19 @@ def register(name: str, sql: str | None = None):
 
 
 # ---------------------------------------------------------------- builders
+_STRATEGY: dict[tuple[str, tuple[str, ...]], str] = {}
+
+
+def _strategy(spark, sf, keys=(ENT, GAME)) -> str:
+    """Window strategy for groups ``keys``, decided once per dataset with one
+    aggregate on the raw scan (filters only shrink groups, so it is an upper
+    bound): plain windows when every group is small, halo blocks otherwise."""
+    k = (sf, tuple(keys))
+    if k not in _STRATEGY:
+        _STRATEGY[k] = choose_strategy(pitches(spark, sf), list(keys), "auto", DEFAULT_MAX_GROUP_ROWS)
+    return _STRATEGY[k]
+
+
 def _f(spark, sf):
     return FL.drop_nulls(pitches(spark, sf), ["pitch_type", "release_speed"])
 
@@ -69,7 +83,7 @@ def _coded(spark, sf):
 
 def _target(spark, sf):
     c, m = _coded(spark, sf)
-    return with_target(c), m
+    return with_target(c, strategy=_strategy(spark, sf)), m
 
 
 def _split(spark, sf):
@@ -79,7 +93,7 @@ def _split(spark, sf):
 
 def _scored(spark, sf):
     s, m = _split(spark, sf)
-    return transition_scores(s, m), m
+    return transition_scores(s, m, strategy=_strategy(spark, sf)), m
 
 
 def _test(spark, sf):
@@ -164,7 +178,9 @@ SEQ_FEATURES = ["release_speed", "release_spin_rate", "effective_speed", "pitch_
 
 def _windows(spark, sf, keep_split=True):
     s, _ = _split(spark, sf)
-    w = Q.sliding_windows(s, SEQ_FEATURES, "next_pitch_type_code", SEQ_LEN, ORDER, [ENT, GAME], keep=["event_id", "split"])
+    w = Q.sliding_windows(
+        s, SEQ_FEATURES, "next_pitch_type_code", SEQ_LEN, ORDER, [ENT, GAME], keep=["event_id", "split"], strategy=_strategy(spark, sf)
+    )
     return w
 
 
@@ -196,7 +212,7 @@ def _lr_inputs(spark, sf):
         "left",
     ).join(names, "label_name", "left")
     feats = ["release_speed", "release_spin_rate", "pitch_type_code"]
-    w = Q.sliding_windows(s2, feats, "label", SEQ_LEN, ORDER, [ENT, GAME], keep=["event_id", "split"])
+    w = Q.sliding_windows(s2, feats, "label", SEQ_LEN, ORDER, [ENT, GAME], keep=["event_id", "split"], strategy=_strategy(spark, sf))
     w = Q.window_channels(w, feats, [])
     flat = F.transform(F.flatten("x_num"), lambda v: F.coalesce(v, F.lit(-1.0)))
     return w.withColumn("features", flat).withColumn("y", F.col("y").cast("double"))
@@ -661,7 +677,7 @@ def w1(spark, sf):
 )
 def w2(spark, sf):
     c, _ = _coded(spark, sf)
-    out = W.lead(c, "pitch_type_code", "next_pitch_type_code", ORDER, [ENT, GAME])
+    out = W.lead(c, "pitch_type_code", "next_pitch_type_code", ORDER, [ENT, GAME], strategy=_strategy(spark, sf))
     return out.select("event_id", "pitch_type_code", "next_pitch_type_code")
 
 
@@ -676,7 +692,7 @@ def _roll_sql(src: str, partition: str) -> str:
 @register("W3_rolling_mean", S.q(S.CLEAN, _roll_sql("c", "player_name, game_pk")))
 def w3(spark, sf):
     c, _ = _coded(spark, sf)
-    out = W.rolling_mean(c, ROLL_COLS, 5, ORDER, [ENT, GAME])
+    out = W.rolling_mean(c, ROLL_COLS, 5, ORDER, [ENT, GAME], strategy=_strategy(spark, sf))
     return out.select("event_id", *[X.round6(f"{x}_rolling_mean").alias(f"{x}_rolling_mean") for x in ROLL_COLS])
 
 
@@ -1180,7 +1196,7 @@ M16_COLS = ["release_speed", "release_spin_rate", "effective_speed", "hit_locati
 )
 def m16(spark, sf):
     c, _ = _coded(spark, sf)
-    out = W.rolling_mean(c, M16_COLS, 5, ORDER, [ENT, GAME])
+    out = W.rolling_mean(c, M16_COLS, 5, ORDER, [ENT, GAME], strategy=_strategy(spark, sf))
     return out.select("event_id", *[X.round6(f"{x}_rolling_mean").alias(f"{x}_rolling_mean") for x in M16_COLS])
 
 
@@ -1247,7 +1263,9 @@ Q3_SQL = S.q(
 def q3(spark, sf):
     e, _ = _encoded_split(spark, sf)
     num = ["release_speed", "release_spin_rate", "effective_speed"]
-    w = Q.sliding_windows(e, num + Q3_CHANNELS, "next_pitch_type_code", SEQ_LEN, ORDER, [ENT, GAME], keep=["event_id"])
+    w = Q.sliding_windows(
+        e, num + Q3_CHANNELS, "next_pitch_type_code", SEQ_LEN, ORDER, [ENT, GAME], keep=["event_id"], strategy=_strategy(spark, sf)
+    )
     out = Q.window_channels(w, num, Q3_CHANNELS)
     return out.select("event_id", "x_num", *[f"x_{c}" for c in Q3_CHANNELS], "y")
 
@@ -1264,7 +1282,7 @@ def q3(spark, sf):
 def q4(spark, sf):
     s, _ = _split(spark, sf)
     tr = s.filter(F.col("split") == "train")
-    return Q.window_labels(tr, "pitch_type_code", SEQ_LEN, ORDER, [ENT, GAME]).select("event_id", "y")
+    return Q.window_labels(tr, "pitch_type_code", SEQ_LEN, ORDER, [ENT, GAME], strategy=_strategy(spark, sf)).select("event_id", "y")
 
 
 @register(
@@ -1282,7 +1300,7 @@ def q4(spark, sf):
 )
 def q5(spark, sf):
     t, _ = _target(spark, sf)
-    return Q.chronological_split(t, ORDER, [ENT]).select("event_id", ENT, "split")
+    return Q.chronological_split(t, ORDER, [ENT], strategy=_strategy(spark, sf, (ENT,))).select("event_id", ENT, "split")
 
 
 @register("Q6_game_split", S.q(S.SPLIT, "select player_name, game_pk, split from gs"))
@@ -1318,7 +1336,7 @@ def q8(spark, sf):
 )
 def l1(spark, sf):
     s, m = _split(spark, sf)
-    ctx = L.with_contexts(s, "pitch_type_code", 2, ORDER, [ENT, GAME])
+    ctx = L.with_contexts(s, "pitch_type_code", 2, ORDER, [ENT, GAME], strategy=_strategy(spark, sf))
     classes = classes_of(m)
     counts = L.fit_transition_counts(ctx, [ENT], "next_pitch_type_code", 2, F.col("split") == "train")
     return L.transition_table(counts, classes, [ENT], 1.0)
@@ -1384,7 +1402,7 @@ def l7(spark, sf):
     from evseq.plans.tuning import grid_search_transitions
 
     s, m = _split(spark, sf)
-    return grid_search_transitions(s, m, ks=(1, 2), alphas=(0.5, 1.0))
+    return grid_search_transitions(s, m, ks=(1, 2), alphas=(0.5, 1.0), strategy=_strategy(spark, sf))
 
 
 @register(

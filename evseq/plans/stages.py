@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from evseq.functions.exprs import concat_text, fill_null, flag_not_null, strict_map, weighted_sum
@@ -21,6 +21,7 @@ from evseq.operators.features import next_event_target
 from evseq.operators.filters import drop_nulls, rows_of_top_k
 from evseq.operators.model import class_counts, fit_transition_counts, score_transitions, transition_table, with_contexts
 from evseq.operators.sequences import game_split_table, rows_with_split
+from evseq.session import materialize
 
 # Fixed values of the reference workflow.
 HAND_CODES = {"R": 0, "L": 1}
@@ -46,14 +47,46 @@ class Roles:
 ROLES = Roles()
 
 
+def label_lookup(f: DataFrame, roles: Roles = ROLES, top_k: int = TOP_K_ENTITIES, rare: float = RARE_SHARE) -> DataFrame:
+    """The whole per-entity label logic on the (entity, label) count table.
+
+    One partial aggregate over the event rows gives counts per (entity,
+    label); top-k entities (A2), shares and the rare merge (A4, M5) and the
+    byte-order codes of the merged labels (M6) are all computed on that small
+    table.  Output: (entity, label, merged label, code), at most k x labels rows.
+    """
+    r = roles
+    counts = f.groupBy(r.entity, r.label).agg(F.count(F.lit(1)).alias("n"))
+    per_entity = counts.groupBy(r.entity).agg(F.sum(F.when(F.col(r.label).isNotNull(), F.col("n"))).alias("count"))
+    top = per_entity.orderBy(F.col("count").desc(), F.col(r.entity).asc_nulls_first()).limit(top_k).select(r.entity)
+    kept = counts.join(F.broadcast(top), r.entity, "left_semi")  # k rows broadcast
+    w = Window.partitionBy(r.entity)
+    share = F.col("n") / F.sum("n").over(w)
+    merged = kept.withColumn("_merged", F.when(share < F.lit(rare), F.lit("other")).otherwise(F.col(r.label)))
+    code = (F.dense_rank().over(Window.partitionBy(r.entity).orderBy("_merged")) - 1).cast("int")
+    return merged.withColumn(r.code, code).select(r.entity, r.label, "_merged", r.code)
+
+
 def clean_slice(df: DataFrame, roles: Roles = ROLES, top_k: int = TOP_K_ENTITIES, rare: float = RARE_SHARE) -> tuple[DataFrame, DataFrame]:
     """Required non-null -> top-k entities -> rare labels merged per entity ->
-    label codes per entity.  Returns (coded rows, code map)."""
+    label codes per entity.  Returns (coded rows, code map (entity, code, name)).
+
+    Two passes over the event rows: the count aggregate and one join with the
+    small lookup (which also drops the rows of the other entities).  Needs the
+    label among the required columns (null labels dropped first); otherwise
+    the operator chain (J1 -> M5 -> M6) is used.
+    """
     r = roles
     f = drop_nulls(df, list(r.required))
-    t = rows_of_top_k(f, r.entity, r.label, top_k)
-    m = merge_rare(t, r.label, rare, "<", by=[r.entity])
-    return label_codes(m, r.label, [r.entity], r.code)
+    if r.label not in r.required:
+        t = rows_of_top_k(f, r.entity, r.label, top_k)
+        m = merge_rare(t, r.label, rare, "<", by=[r.entity])
+        return label_codes(m, r.label, [r.entity], r.code)
+    lookup = label_lookup(f, roles, top_k, rare)
+    coded = f.join(lookup, [r.entity, r.label], "inner")
+    coded = coded.withColumn(r.label, F.col("_merged")).drop("_merged")
+    mapping = lookup.select(r.entity, r.code, F.col("_merged").alias("name")).distinct()
+    return coded, mapping
 
 
 def encode_columns(df: DataFrame, order: Sequence[str]) -> DataFrame:
@@ -111,8 +144,9 @@ def transition_scores(
     """
     r = roles
     by = [r.entity]
-    ctx = with_contexts(split_rows, r.code, k, list(r.order), [r.entity, r.game], strategy=strategy)
-    classes = class_counts(mapping, by, r.code)
+    # stage boundary: fit and k+1 scoring joins all read these rows
+    ctx = materialize(with_contexts(split_rows, r.code, k, list(r.order), [r.entity, r.game], strategy=strategy))
+    classes = materialize(class_counts(mapping, by, r.code))
     counts = fit_transition_counts(ctx, by, r.target, k, F.col("split") == "train")
     model = transition_table(counts, classes, by, alpha)
     scored = score_transitions(ctx, model, classes, by, k, alpha)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from evseq.operators import model as L
 from evseq.plans.stages import ROLES, Roles, classes_of
+from evseq.session import materialize
 
 
 def grid_search_transitions(
@@ -23,16 +24,17 @@ def grid_search_transitions(
     ks: Sequence[int] = (1, 2),
     alphas: Sequence[float] = (0.5, 1.0),
     roles: Roles = ROLES,
+    strategy: str = "auto",
 ) -> DataFrame:
     """One row per grid point with its validation log loss and a ``best`` flag
     (lowest loss; ties to the smaller k, then smaller alpha)."""
     r = roles
     by = [r.entity]
     kmax = max(ks)
-    ctx = L.with_contexts(split_rows, r.code, kmax, list(r.order), [r.entity, r.game])
-    ctx = ctx.persist()
-    classes = classes_of(mapping, r)
-    counts = L.fit_transition_counts(ctx, by, r.target, kmax, F.col("split") == "train").persist()
+    ctx = L.with_contexts(split_rows, r.code, kmax, list(r.order), [r.entity, r.game], strategy=strategy)
+    ctx = materialize(ctx)
+    classes = materialize(classes_of(mapping, r))
+    counts = materialize(L.fit_transition_counts(ctx, by, r.target, kmax, F.col("split") == "train"))
     val = ctx.filter(F.col("split") == "val")
     rows = []
     for k in ks:
@@ -45,8 +47,6 @@ def grid_search_transitions(
     grid = spark.createDataFrame(rows, "k int, alpha double, val_log_loss double")
     ranked = grid.withColumn("_r", F.row_number().over(_order()))
     out = ranked.withColumn("best", F.col("_r") == 1).drop("_r")
-    ctx.unpersist()
-    counts.unpersist()
     return out.withColumn("val_log_loss", F.round("val_log_loss", 6))
 
 

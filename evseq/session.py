@@ -13,7 +13,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -56,3 +56,12 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder below the checkpoint dir, visible to every executor."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/evseq-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut lineage at a stage boundary: reliable ``checkpoint()`` into the
+    cluster's checkpoint dir.  Later branches read the written data instead of
+    re-running the upstream plan, and a lost executor does not force a
+    recompute from the source scan."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
