@@ -88,12 +88,13 @@ def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
             F.avg(x).alias(f"mean_{i}"),
             F.stddev_samp(x).alias(f"std_{i}"),
             F.min(x).alias(f"min_{i}"),
-            F.percentile(x, F.lit(0.25)).alias(f"q25_{i}"),
-            F.percentile(x, F.lit(0.5)).alias(f"q50_{i}"),
-            F.percentile(x, F.lit(0.75)).alias(f"q75_{i}"),
+            F.percentile(x, [0.25, 0.5, 0.75]).alias(f"q_{i}"),  # one buffer for the three
             F.max(x).alias(f"max_{i}"),
         ]
     wide = df.agg(*aggs)
+    wide = wide.withColumns(
+        {f"q{p}_{i}": F.col(f"q_{i}")[j] for i in range(len(cols)) for j, p in enumerate((25, 50, 75))}
+    )
     value_cols = [[f"{s}_{i}" for i in range(len(cols))] for s in DESCRIBE_STATS]
     return _unpivot(wide, cols, value_cols, DESCRIBE_STATS)
 

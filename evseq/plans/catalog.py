@@ -1232,11 +1232,10 @@ Q3_CHANNELS = ["stand", "baserunner_state", "outs_when_up", "inning", "balls_str
 
 
 def _encoded_split(spark, sf):
-    s, m = _split(spark, sf)
-    enc = encode_columns(pitches(spark, sf), ORDER).select(
-        "event_id", "stand", "baserunner_state", "balls_strikes", "release_spin_rate", "effective_speed"
-    )
-    return s.drop("stand", "release_spin_rate", "effective_speed").join(enc, "event_id"), m
+    """Cleaned rows with the encodings chained before the target and split."""
+    c, m = _coded(spark, sf)
+    e = encode_columns(c, ORDER)
+    return split_by_game(with_target(e, strategy=_strategy(spark, sf))), m
 
 
 Q3_SQL = S.q(
@@ -1245,7 +1244,7 @@ Q3_SQL = S.q(
         "pe0 as (select event_id, case stand when 'R' then 0 when 'L' then 1 end as stand_c, "
         "(case when on_1b is null then 0 else 1 end) + 2 * (case when on_2b is null then 0 else 1 end) + 3 * (case when on_3b is null then 0 else 1 end) as state_c, "
         "coalesce(release_spin_rate, -1.0) as spin_c, coalesce(effective_speed, -1.0) as eff_c, "
-        "cast(balls as varchar) || '-' || cast(strikes as varchar) as b, " + ORD + " from pitches)",
+        "cast(balls as varchar) || '-' || cast(strikes as varchar) as b, " + ORD + " from c)",
         "bk as (select b, cast(row_number() over (order by game_date, at_bat_number, pitch_number) - 1 as integer) as code from ("
         "select b, " + ORD + " from pe0 qualify row_number() over (partition by b order by " + ORD + ") = 1) x)",
         "e3 as (select sr.*, pe0.stand_c, pe0.state_c, pe0.spin_c, pe0.eff_c, bk.code as bs_c from sr join pe0 on sr.event_id = pe0.event_id join bk on pe0.b = bk.b)",

@@ -82,7 +82,9 @@ def clean_slice(df: DataFrame, roles: Roles = ROLES, top_k: int = TOP_K_ENTITIES
         t = rows_of_top_k(f, r.entity, r.label, top_k)
         m = merge_rare(t, r.label, rare, "<", by=[r.entity])
         return label_codes(m, r.label, [r.entity], r.code)
-    lookup = label_lookup(f, roles, top_k, rare)
+    # tiny (<= k x labels rows) and used by the row join, the code map and the
+    # class counts: written once so no later branch re-scans the events
+    lookup = materialize(label_lookup(f, roles, top_k, rare))
     coded = f.join(lookup, [r.entity, r.label], "inner")
     coded = coded.withColumn(r.label, F.col("_merged")).drop("_merged")
     mapping = lookup.select(r.entity, r.code, F.col("_merged").alias("name")).distinct()
@@ -146,11 +148,13 @@ def transition_scores(
     by = [r.entity]
     # stage boundary: fit and k+1 scoring joins all read these rows
     ctx = materialize(with_contexts(split_rows, r.code, k, list(r.order), [r.entity, r.game], strategy=strategy))
-    classes = materialize(class_counts(mapping, by, r.code))
+    classes = class_counts(mapping, by, r.code)
     counts = fit_transition_counts(ctx, by, r.target, k, F.col("split") == "train")
     model = transition_table(counts, classes, by, alpha)
     scored = score_transitions(ctx, model, classes, by, k, alpha)
-    return scored.select(r.entity, r.game, *r.order, "split", F.col(r.target).alias("y"), "p", "pred", "order_used")
+    out = scored.select(r.entity, r.game, *r.order, "split", F.col(r.target).alias("y"), "p", "pred", "order_used")
+    # stage boundary: every metric of the evaluation reads the scored table
+    return materialize(out)
 
 
 def classes_of(mapping: DataFrame, roles: Roles = ROLES) -> DataFrame:
