@@ -3,9 +3,9 @@
 Every aggregate is a ``groupBy().agg()`` so Spark combines partially on the
 map side before the shuffle: a key holding a third of the rows is reduced to
 one partial row per task first.  Windows appear only over tables already
-reduced to (entity, class) counts.  Percentiles are exact (``percentile``,
-linear interpolation), whose buffer is a value->count map: memory follows the
-number of distinct values of a group, not its row count.
+reduced to (entity, class) counts.  Percentiles are exact (linear
+interpolation) and distributed: see ``quantiles`` (no group's values are
+gathered in one task).
 """
 
 from __future__ import annotations
@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from evseq.operators.quantiles import exact_median, exact_quantiles_many
+
 
 def count_non_null_by(df: DataFrame, key: str, column: str, alias: str = "count") -> DataFrame:
     """A1."""
@@ -76,9 +78,14 @@ def null_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 DESCRIBE_STATS = ["count", "null_count", "mean", "std", "min", "q25", "q50", "q75", "max"]
 
 
-def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def describe(df: DataFrame, cols: Sequence[str], method: str = "distributed") -> DataFrame:
     """Count, null count, mean, sample std, min, exact 25/50/75 % (linear
-    interpolation), max per column, in one aggregate; long form."""
+    interpolation), max per column; long form.
+
+    Moments come from one aggregate.  Quantiles come from the distributed exact
+    method (all columns stacked in one pass, see ``quantiles``); ``method=
+    'builtin'`` uses Spark's ``percentile`` instead (one value->count map per
+    column merged in one task: only for columns with few distinct values)."""
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
@@ -88,15 +95,22 @@ def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
             F.avg(x).alias(f"mean_{i}"),
             F.stddev_samp(x).alias(f"std_{i}"),
             F.min(x).alias(f"min_{i}"),
-            F.percentile(x, [0.25, 0.5, 0.75]).alias(f"q_{i}"),  # one buffer for the three
             F.max(x).alias(f"max_{i}"),
         ]
+        if method == "builtin":
+            aggs.append(F.percentile(x, [0.25, 0.5, 0.75]).alias(f"q_{i}"))
     wide = df.agg(*aggs)
-    wide = wide.withColumns(
-        {f"q{p}_{i}": F.col(f"q_{i}")[j] for i in range(len(cols)) for j, p in enumerate((25, 50, 75))}
+    if method == "builtin":
+        wide = wide.withColumns({f"q{p}_{i}": F.col(f"q_{i}")[j] for i in range(len(cols)) for j, p in enumerate((25, 50, 75))})
+        value_cols = [[f"{s}_{i}" for i in range(len(cols))] for s in DESCRIBE_STATS]
+        return _unpivot(wide, cols, value_cols, DESCRIBE_STATS)
+    moments = [s for s in DESCRIBE_STATS if not s.startswith("q")]
+    long = _unpivot(wide, cols, [[f"{s}_{i}" for i in range(len(cols))] for s in moments], moments)
+    q = exact_quantiles_many(df, cols, [0.25, 0.5, 0.75])
+    qw = q.groupBy("column").agg(
+        *[F.max(F.when(F.col("q") == F.lit(p / 100), F.col("value"))).alias(f"q{p}") for p in (25, 50, 75)]
     )
-    value_cols = [[f"{s}_{i}" for i in range(len(cols))] for s in DESCRIBE_STATS]
-    return _unpivot(wide, cols, value_cols, DESCRIBE_STATS)
+    return long.join(qw, "column", "left").select("column", *DESCRIBE_STATS)
 
 
 def shape(df: DataFrame) -> DataFrame:
@@ -109,9 +123,24 @@ def sorted_distinct(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataF
     return df.select(*by, column).distinct().orderBy(*by, F.col(column).asc_nulls_first())
 
 
-def group_median(df: DataFrame, by: Sequence[str], column: str, alias: str) -> DataFrame:
-    """Exact median per group (``percentile`` 0.5, linear interpolation)."""
-    return df.groupBy(*by).agg(F.median(F.col(column)).alias(alias))
+def group_median(df: DataFrame, by: Sequence[str], column: str, alias: str, method: str = "distributed") -> DataFrame:
+    """Exact median per group (linear interpolation), one row per group
+    (null when the group has no value).  Distributed by default; ``builtin``
+    uses Spark's ``median`` (one value->count map per group in one task)."""
+    if method == "builtin":
+        return df.groupBy(*by).agg(F.median(F.col(column)).alias(alias))
+    groups = df.select(*by).distinct()
+    med = exact_median(df, column, by, alias)
+    return _left_join_null_safe(groups, med, list(by))
+
+
+def _left_join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    cond = None
+    for k in keys:
+        term = left[k].eqNullSafe(r[f"_r_{k}"])
+        cond = term if cond is None else cond & term
+    return left.join(r, cond, "left").drop(*[f"_r_{k}" for k in keys])
 
 
 def balanced_class_weights(labels: DataFrame, label: str, by: Sequence[str] = (), weight: str = "weight") -> DataFrame:

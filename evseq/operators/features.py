@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from evseq.operators.aggregates import group_median, scaler_stats
 from evseq.operators.filters import drop_nulls
 from evseq.operators.ordered import ordered_fill, ordered_window
+from evseq.operators.quantiles import exact_quantiles_many
 
 
 def lead(
@@ -68,7 +69,7 @@ def last_value_before(df: DataFrame, column: str, out: str, order_by: Sequence[s
 
 
 def group_stat_to_rows(df: DataFrame, by: Sequence[str], column: str, out: str) -> DataFrame:
-    """Group median attached to every row (aggregate + join, not a window)."""
+    """Exact group median attached to every row (distributed quantile + join, not a window)."""
     med = group_median(df, by, column, out)
     return _null_safe_join(df, med, by).select(*df.columns, out)
 
@@ -84,8 +85,10 @@ def _null_safe_join(df: DataFrame, stats: DataFrame, by: Sequence[str]) -> DataF
 
 
 def impute_group_median(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Null -> median of the row's group (one aggregate for all columns)."""
-    meds = df.groupBy(*by).agg(*[F.median(F.col(c)).alias(f"_med_{c}") for c in columns])
+    """Null -> exact median of the row's group (all columns in one
+    distributed quantile pass; a null group key is a group)."""
+    q = exact_quantiles_many(df, columns, [0.5], by)
+    meds = q.groupBy(*by).agg(*[F.max(F.when(F.col("column") == c, F.col("value"))).alias(f"_med_{c}") for c in columns])
     joined = _null_safe_join(df, meds, by)
     filled = joined.withColumns(
         {c: F.coalesce(F.col(c), F.col(f"_med_{c}").cast(df.schema[c].dataType)) for c in columns}

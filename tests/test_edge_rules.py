@@ -245,3 +245,19 @@ def test_halo_independent_of_blocks_and_partitions(spark):
         assert all(math.isclose(a[2], b_[2]) for a, b_ in zip(got, ref))
     gl = sorted(rows(W.lead(df, "x", "nx", ["o"], strategy="halo", block_rows=13, n_partitions=5), "o", "nx"))
     assert gl[:-1] == [(i, float(((i + 1) * 7) % 11)) for i in range(199)] and gl[-1] == (199, None)
+
+
+@pytest.mark.parametrize("n_parts", [1, 3, 11])
+def test_distributed_quantiles_equal_builtin(spark, n_parts):
+    from evseq.operators.quantiles import exact_quantiles
+
+    # one hot group (2/3 of rows), a small group, a null group, repeated values
+    data = [("hot", float((i * 37) % 101)) for i in range(400)] + [("small", float(i % 7)) for i in range(150)]
+    data += [(None, float(i)) for i in range(50)] + [("hot", None), ("single", 5.0)]
+    df = spark.createDataFrame(data, "g string, x double")
+    probs = [0.0, 0.25, 0.5, 0.75, 0.9, 1.0]
+    got = {(r["g"], r["q"]): r["value"] for r in exact_quantiles(df, "x", probs, ["g"], n_partitions=n_parts).collect()}
+    ref = df.groupBy("g").agg(F.percentile("x", probs).alias("p")).collect()
+    for r in ref:
+        for q, v in zip(probs, r["p"]):
+            assert math.isclose(got[(r["g"], q)], v, rel_tol=1e-12, abs_tol=1e-12), (r["g"], q)
