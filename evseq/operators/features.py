@@ -2,7 +2,7 @@
 
 Row-frame windows go through ``ordered.ordered_window`` so the same call
 works per (entity, game), per hot group and over the global order.  Scalers
-are fitted with one aggregate (a one-row result, broadcast by a cross join)
+are fitted with one aggregate (a one-row result read as a scalar subquery)
 and applied as plain expressions; no MLlib scaler is used because their
 constant-column and std conventions differ from the ones required here.
 """
@@ -114,25 +114,28 @@ def next_event_target(
 def min_max_scale(df: DataFrame, columns: Sequence[str], fit_on: Column | None = None, suffix: str = "") -> DataFrame:
     """``(x - min) / (max - min)``; a constant column gives 0; null and NaN
     pass through; min/max ignore NaN; fitted on rows matching ``fit_on``."""
-    stats = scaler_stats(df, columns, fit_on)
-    j = df.crossJoin(F.broadcast(stats))  # one row
+    st = _fit_scalar(scaler_stats(df, columns, fit_on))
     exprs = {}
     for c in columns:
-        lo, hi = F.col(f"{c}__min"), F.col(f"{c}__max")
+        lo, hi = st[f"{c}__min"], st[f"{c}__max"]
         rng = hi - lo
         scale = F.when(rng == 0, F.lit(1.0)).otherwise(rng)
         exprs[f"{c}{suffix}"] = (F.col(c).cast("double") - lo) / scale
-    return j.withColumns(exprs).drop(*[f"{c}__{s}" for c in columns for s in ("min", "max", "mean", "std")])
+    return df.withColumns(exprs)
+
+
+def _fit_scalar(stats: DataFrame) -> Column:
+    """The one-row fit as a struct-valued scalar subquery (no join)."""
+    return stats.select(F.struct(*stats.columns).alias("_fit")).scalar()
 
 
 def standard_scale(df: DataFrame, columns: Sequence[str], fit_on: Column | None = None, suffix: str = "") -> DataFrame:
     """``(x - mean) / std`` with population std fitted on ``fit_on`` rows
     (e.g. the train split) and applied to all; a constant column gives 0."""
-    stats = scaler_stats(df, columns, fit_on)
-    j = df.crossJoin(F.broadcast(stats))  # one row
+    st = _fit_scalar(scaler_stats(df, columns, fit_on))
     exprs = {}
     for c in columns:
-        mu, sd = F.col(f"{c}__mean"), F.col(f"{c}__std")
+        mu, sd = st[f"{c}__mean"], st[f"{c}__std"]
         scale = F.when(sd == 0, F.lit(1.0)).otherwise(sd)
         exprs[f"{c}{suffix}"] = (F.col(c).cast("double") - mu) / scale
-    return j.withColumns(exprs).drop(*[f"{c}__{s}" for c in columns for s in ("min", "max", "mean", "std")])
+    return df.withColumns(exprs)

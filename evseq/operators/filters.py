@@ -1,9 +1,9 @@
 """Filters and predicates.
 
 Literal predicates (F2, F4, F3 with a literal list, S5) are pushed into the
-Parquet scan by Catalyst.  Data-dependent predicates (F1's max year, J1's top
-entities) are computed by an aggregate whose output has a structural size bound
-(one row, k rows) and broadcast into the filtering join.
+Parquet scan by Catalyst.  Data-dependent predicates are computed by an
+aggregate with a structural size bound: F1's max year is a scalar subquery,
+J1's top entities a k-row side broadcast into a semi join.
 """
 
 from __future__ import annotations
@@ -19,8 +19,9 @@ from evseq.operators.joins import semi_join
 def recent_years(df: DataFrame, date_col: str, n_years: int, year_col: str | None = None) -> DataFrame:
     """keep ``year(date_col) >= max(year) - n_years`` (inclusive, so n+1 years)."""
     yr = F.year(F.col(date_col)).cast("int")
-    mx = df.agg(F.max(yr).alias("_max_year"))  # one row
-    out = df.crossJoin(F.broadcast(mx)).filter(yr >= F.col("_max_year") - F.lit(n_years)).drop("_max_year")
+    # scalar subquery: one partial aggregate, its single value inlined in the filter
+    mx = df.select(F.max(yr)).scalar()
+    out = df.filter(yr >= mx - F.lit(n_years))
     if year_col:
         out = out.withColumn(year_col, yr)
     return out

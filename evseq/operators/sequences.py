@@ -105,14 +105,20 @@ def chronological_split(
     if how == "direct":
         w = Window.partitionBy(*G).orderBy(*O) if G else Window.orderBy(*O)
         pos = df.withColumn("_rn", F.row_number().over(w) - 1)
-        sizes = df.groupBy(*G).agg(F.count(F.lit(1)).alias("_cnt")) if G else df.agg(F.count(F.lit(1)).alias("_cnt"))
+        base = pos
+        sizes = df.groupBy(*G).agg(F.count(F.lit(1)).alias("_cnt"))
     else:
         g = with_global_position(df, O, G)
-        starts = g.groupBy(*G).agg(F.min(GPOS).alias("_start"), F.count(F.lit(1)).alias("_cnt"))
-        pos = (g.join(starts, G, "left") if G else g.crossJoin(F.broadcast(starts))).withColumn("_rn", F.col(GPOS) - F.col("_start"))
-        pos = pos.drop(GPOS, "_start", "_cnt")
-        sizes = starts.drop("_start")
-    joined = pos.join(sizes, G, "left") if G else pos.crossJoin(F.broadcast(sizes))
+        sizes = g.groupBy(*G).agg(F.min(GPOS).alias("_start"), F.count(F.lit(1)).alias("_cnt"))
+        base = g
+    # per-group size (and start): a join per group, or a scalar subquery without groups
+    if G:
+        joined = base.join(sizes, G, "left")
+    else:
+        one = sizes.select(F.struct(*sizes.columns).alias("_s")).scalar()
+        joined = base.withColumns({c: one[c] for c in sizes.columns})
+    if how != "direct":
+        joined = joined.withColumn("_rn", F.col(GPOS) - F.col("_start")).drop(GPOS, "_start")
     n = F.col("_cnt")
     held = F.ceil(F.lit(float(held_out)) * n)
     test = F.ceil(F.lit(float(test_of_held)) * held)
@@ -131,13 +137,30 @@ def game_split_table(
     train: float = 0.8,
     val: float = 0.9,
     out: str = "split",
+    strategy: str = "direct",
 ) -> DataFrame:
     """Q6: one row per game with its split: games ordered by first event
-    (then game key); cuts at ``int(train * g)`` and ``int(val * g)``."""
-    games = df.groupBy(*by, game).agg(F.min(F.struct(*[F.col(c) for c in order_by])).alias("_first"))
-    w = (Window.partitionBy(*by) if by else Window.partitionBy()).orderBy("_first", game)
-    wn = Window.partitionBy(*by) if by else Window.partitionBy()
-    ranked = games.withColumn("_i", F.row_number().over(w) - 1).withColumn("_g", F.count(F.lit(1)).over(wn))
+    (then game key); cuts at ``int(train * g)`` and ``int(val * g)``.
+
+    The ranking runs on the games table (one row per game, from a partial
+    aggregate).  ``strategy='halo'`` ranks by global position over a range
+    partitioning instead of a window per entity, for entities with very many
+    games."""
+    G = list(by)
+    games = df.groupBy(*G, game).agg(F.min(F.struct(*[F.col(c) for c in order_by])).alias("_first"))
+    if strategy == "direct":
+        w = (Window.partitionBy(*G) if G else Window.partitionBy()).orderBy("_first", game)
+        wn = Window.partitionBy(*G) if G else Window.partitionBy()
+        ranked = games.withColumn("_i", F.row_number().over(w) - 1).withColumn("_g", F.count(F.lit(1)).over(wn))
+    else:
+        pos = with_global_position(games, ["_first", game], G)
+        stats = pos.groupBy(*G).agg(F.min(GPOS).alias("_s"), F.count(F.lit(1)).alias("_g"))
+        if G:
+            ranked = pos.join(stats, G, "left")
+        else:
+            one = stats.select(F.struct("_s", "_g")).scalar()
+            ranked = pos.withColumns({"_s": one["_s"], "_g": one["_g"]})
+        ranked = ranked.withColumn("_i", F.col(GPOS) - F.col("_s"))
     g = F.col("_g").cast("double")
     cut1 = F.floor(F.lit(float(train)) * g)
     cut2 = F.floor(F.lit(float(val)) * g)

@@ -88,7 +88,7 @@ def _target(spark, sf):
 
 def _split(spark, sf):
     t, m = _target(spark, sf)
-    return split_by_game(t), m
+    return split_by_game(t, strategy=_strategy(spark, sf, (ENT,))), m
 
 
 def _scored(spark, sf):
@@ -459,7 +459,7 @@ def j3(spark, sf):
 @register("J4_rows_of_split", S.q(S.SPLIT, "select event_id, player_name, game_pk, split from sr where split = 'val'"))
 def j4(spark, sf):
     t, _ = _target(spark, sf)
-    splits = Q.game_split_table(t, GAME, ORDER, [ENT])
+    splits = Q.game_split_table(t, GAME, ORDER, [ENT], strategy=_strategy(spark, sf, (ENT,)))
     return Q.rows_with_split(t, splits, GAME, [ENT], only="val").select("event_id", ENT, GAME, "split")
 
 
@@ -1235,7 +1235,7 @@ def _encoded_split(spark, sf):
     """Cleaned rows with the encodings chained before the target and split."""
     c, m = _coded(spark, sf)
     e = encode_columns(c, ORDER)
-    return split_by_game(with_target(e, strategy=_strategy(spark, sf))), m
+    return split_by_game(with_target(e, strategy=_strategy(spark, sf)), strategy=_strategy(spark, sf, (ENT,))), m
 
 
 Q3_SQL = S.q(
@@ -1305,7 +1305,7 @@ def q5(spark, sf):
 @register("Q6_game_split", S.q(S.SPLIT, "select player_name, game_pk, split from gs"))
 def q6(spark, sf):
     t, _ = _target(spark, sf)
-    return Q.game_split_table(t, GAME, ORDER, [ENT])
+    return Q.game_split_table(t, GAME, ORDER, [ENT], strategy=_strategy(spark, sf, (ENT,)))
 
 
 @register("Q7_seeded_shuffle", S.q(S.SPLIT, "select event_id, split from sr where split = 'train'"))

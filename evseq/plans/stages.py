@@ -125,9 +125,9 @@ def with_target(coded: DataFrame, roles: Roles = ROLES, strategy: str = "auto")
     return next_event_target(coded, r.code, r.target, list(r.order), [r.entity, r.game], strategy=strategy)
 
 
-def split_by_game(rows: DataFrame, roles: Roles = ROLES) -> DataFrame:
+def split_by_game(rows: DataFrame, roles: Roles = ROLES, strategy: str = "direct") -> DataFrame:
     r = roles
-    splits = game_split_table(rows, r.game, list(r.order), [r.entity])
+    splits = game_split_table(rows, r.game, list(r.order), [r.entity], strategy=strategy)
     return rows_with_split(rows, splits, r.game, [r.entity])
 
 

@@ -47,7 +47,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
     if not conf:
-        conf = tempfile.mkdtemp(prefix="evseq-ckpt-")
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                f"{CHECKPOINT_CONF} is not set: a cluster needs a shared folder for checkpoints and stage outputs"
+            )
+        conf = tempfile.mkdtemp(prefix="evseq-ckpt-")  # local mode only (tests, bench)
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
 

@@ -261,3 +261,26 @@ def test_distributed_quantiles_equal_builtin(spark, n_parts):
     for r in ref:
         for q, v in zip(probs, r["p"]):
             assert math.isclose(got[(r["g"], q)], v, rel_tol=1e-12, abs_tol=1e-12), (r["g"], q)
+
+
+def test_game_split_halo_equals_direct(spark):
+    data = [("e" if g % 4 else "f", g, g * 10 + j) for g in range(41) for j in range(2)]
+    df = spark.createDataFrame(data, "ent string, game int, o int")
+    for by in (["ent"], []):
+        a = sorted(rows(Q.game_split_table(df, "game", ["o"], by), "game", "split"))
+        b = sorted(rows(Q.game_split_table(df, "game", ["o"], by, strategy="halo"), "game", "split"))
+        assert a == b
+
+
+def test_hot_group_spreads_over_partitions(spark):
+    from evseq.operators.ordered import GPOS, with_global_position
+
+    # one group holds 90 % of the rows: range partitioning still spreads it
+    data = [("hot", i) for i in range(900)] + [(f"g{i % 10}", i) for i in range(100)]
+    df = spark.createDataFrame(data, "g string, o int")
+    pos = with_global_position(df, ["o"], ["g"], n_partitions=8)
+    parts = pos.filter("g = 'hot'").select(F.spark_partition_id().alias("p")).distinct().count()
+    assert parts >= 4
+    got = sorted(rows(pos, "g", "o", GPOS))
+    exp = sorted((g, o) for g, o in data)
+    assert [(g, o) for g, o, _ in got] == exp and sorted(p for _, _, p in got) == list(range(1000))
