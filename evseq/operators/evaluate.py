@@ -132,3 +132,34 @@ def summary(metrics: DataFrame) -> DataFrame:
         F.avg("top2_accuracy").alias("avg_top2_accuracy"),
         F.count(F.lit(1)).alias("total_players"),
     )
+
+
+def classification_report(scored: DataFrame, classes: DataFrame, mapping: DataFrame, by: Sequence[str], code: str = "code") -> DataFrame:
+    """The full report in long form (by..., label, precision, recall,
+    f1, support): one row per class under its name (``Unknown-{code}`` without
+    one), then ``accuracy`` (in the f1 column, support = all rows), ``macro
+    avg`` and ``weighted avg``."""
+    per = per_class_report(scored, classes, by)
+    names = mapping.select(*by, F.col(code).alias("class"), F.col("name").alias("_name"))
+    named = per.join(names, [*by, "class"], "left").withColumn(
+        "label", F.coalesce(F.col("_name"), F.concat(F.lit("Unknown-"), F.col("class").cast("string")))
+    )
+    rows = named.select(*by, "label", "precision", "recall", "f1", "support")
+    tp = per_class_report_tp(scored, by)
+    acc = tp.select(
+        *by,
+        F.lit("accuracy").alias("label"),
+        F.lit(None).cast("double").alias("precision"),
+        F.lit(None).cast("double").alias("recall"),
+        "f1",
+        "support",
+    )
+    avgs = report_averages(per, by).withColumnRenamed("average", "label").select(*by, "label", "precision", "recall", "f1", "support")
+    return rows.unionByName(acc).unionByName(avgs)
+
+
+def per_class_report_tp(scored: DataFrame, by: Sequence[str], y: str = "y", pred: str = "pred") -> DataFrame:
+    """Accuracy as the report prints it: correct / all rows, with the row count."""
+    return scored.groupBy(*by).agg(
+        F.avg((F.col(y) == F.col(pred)).cast("double")).alias("f1"), F.count(F.lit(1)).alias("support")
+    )

@@ -170,7 +170,11 @@ def _metrics_rounded(spark, sf):
 
 @register("S6_metrics_json", METRICS_SQL)
 def s6(spark, sf):
-    return io.round_trip_json(spark, _metrics_rounded(spark, sf), shared_dir(spark, "s6"), partition_by=[ENT])
+    """Per-entity metrics as JSON (one folder per entity) plus the aggregate
+    summary next to them; the per-entity part is read back."""
+    base = shared_dir(spark, "s6")
+    io.write_json(_summary(spark, sf), f"{base}/summary")
+    return io.round_trip_json(spark, _metrics_rounded(spark, sf), f"{base}/entities", partition_by=[ENT])
 
 
 SEQ_FEATURES = ["release_speed", "release_spin_rate", "effective_speed", "pitch_type_code"]
@@ -212,7 +216,9 @@ def _lr_inputs(spark, sf):
         "left",
     ).join(names, "label_name", "left")
     feats = ["release_speed", "release_spin_rate", "pitch_type_code"]
-    w = Q.sliding_windows(s2, feats, "label", SEQ_LEN, ORDER, [ENT, GAME], keep=["event_id", "split"], strategy=_strategy(spark, sf))
+    w = Q.sliding_windows(
+        s2, feats, "label", SEQ_LEN, ORDER, [ENT, GAME], keep=["event_id", "split", "label_name"], strategy=_strategy(spark, sf)
+    )
     w = Q.window_channels(w, feats, [])
     flat = F.transform(F.flatten("x_num"), lambda v: F.coalesce(v, F.lit(-1.0)))
     return w.withColumn("features", flat).withColumn("y", F.col("y").cast("double"))
@@ -224,7 +230,11 @@ def s8(spark, sf):
     model = L.fit_logistic(data.filter(F.col("split") == "train"), "features", "y", max_iter=20)
     hist = model.summary.objectiveHistory  # one value per iteration (<= max_iter)
     h = spark.createDataFrame([(i, float(v)) for i, v in enumerate(hist)], "epoch int, loss double")
-    return io.round_trip_parquet(spark, h, shared_dir(spark, "s8"))
+    base = shared_dir(spark, "s8")
+    # class map of the fit: label code <-> class name (M9-style dense ids)
+    classes = data.select("label_name", F.col("y").cast("int").alias("label")).distinct()
+    io.write_parquet(classes, f"{base}/classes")
+    return io.round_trip_parquet(spark, h, f"{base}/history")
 
 
 # ---------------------------------------------------------------- 2.2 projections
@@ -1466,40 +1476,57 @@ PRF_CTE = (
     "pr as (select player_name, class, precision, recall, "
     "case when precision + recall = 0 then 0.0 else 2 * precision * recall / (precision + recall) end as f1, support from prf)"
 )
-REPORT_BODY = "select player_name, class, round(precision, 6) as precision, round(recall, 6) as recall, round(f1, 6) as f1, support from pr"
+REPORT_BODY = (
+    "select pr.player_name, coalesce(mp.name, 'Unknown-' || cast(pr.class as varchar)) as label, round(precision, 6) as precision, "
+    "round(recall, 6) as recall, round(f1, 6) as f1, support from pr left join mp "
+    "on mp.player_name = pr.player_name and mp.pitch_type_code = pr.class "
+    "union all select player_name, 'accuracy', cast(null as double), cast(null as double), "
+    "round(avg(case when y = pred then 1.0 else 0.0 end), 6), count(*) from {src} group by player_name "
+    "union all select player_name, 'macro avg', round(avg(precision), 6), round(avg(recall), 6), "
+    "round(avg(f1), 6), cast(sum(support) as bigint) from pr group by player_name "
+    "union all select player_name, 'weighted avg', round(case when sum(support) = 0 then 0.0 else sum(precision * support) / sum(support) end, 6), "
+    "round(case when sum(support) = 0 then 0.0 else sum(recall * support) / sum(support) end, 6), "
+    "round(case when sum(support) = 0 then 0.0 else sum(f1 * support) / sum(support) end, 6), cast(sum(support) as bigint) from pr group by player_name"
+)
 
 
-def _report(scored, m):
-    r = EV.per_class_report(scored, classes_of(m), [ENT])
-    return r.select(ENT, "class", *[X.round6(c).alias(c) for c in ("precision", "recall", "f1")], "support")
+def _full_report(scored, m):
+    mp = m.withColumnRenamed("pitch_type_code", "code")
+    r = EV.classification_report(scored, classes_of(m), mp, [ENT])
+    return r.select(ENT, "label", *[X.round6(c).alias(c) for c in ("precision", "recall", "f1")], "support")
 
 
-@register("E4_classification_report", S.q(S.MODEL + [S.TEST, REPORT_CTE.format(src="te"), PRF_CTE], REPORT_BODY))
+@register(
+    "E4_classification_report",
+    S.q(S.MODEL + [S.TEST, S.MAPPING, REPORT_CTE.format(src="te"), PRF_CTE], REPORT_BODY.format(src="te")),
+)
 def e4(spark, sf):
     te, m = _test(spark, sf)
-    return _report(te, m)
+    return _full_report(te, m)
 
 
 VAL = "va as (select * from scored where split = 'val')"
 
 
+@register(
+    "E5_validation_report",
+    S.q(S.MODEL + [VAL, S.MAPPING, REPORT_CTE.format(src="va"), PRF_CTE], REPORT_BODY.format(src="va")),
+)
+def e5(spark, sf):
+    sc, m = _scored(spark, sf)
+    return _full_report(sc.filter(F.col("split") == "val"), m)
+
+
 @register(
     "E5_validation_macro_prf",
     S.q(
-        S.MODEL + [VAL, REPORT_CTE.format(src="va"), PRF_CTE],
-        "select player_name, 'macro avg' as average, round(avg(precision), 6) as precision, round(avg(recall), 6) as recall, "
-        "round(avg(f1), 6) as f1, cast(sum(support) as bigint) as support from pr group by player_name "
-        "union all select player_name, 'weighted avg', round(case when sum(support) = 0 then 0.0 else sum(precision * support) / sum(support) end, 6), "
-        "round(case when sum(support) = 0 then 0.0 else sum(recall * support) / sum(support) end, 6), "
-        "round(case when sum(support) = 0 then 0.0 else sum(f1 * support) / sum(support) end, 6), cast(sum(support) as bigint) from pr group by player_name",
+        S.MODEL + [VAL, S.MAPPING, REPORT_CTE.format(src="va"), PRF_CTE],
+        "select * from (" + REPORT_BODY.format(src="va") + ") r where label in ('macro avg', 'weighted avg')",
     ),
 )
-def e5(spark, sf):
-    sc, m = _scored(spark, sf)
-    va = sc.filter(F.col("split") == "val")
-    rep = EV.per_class_report(va, classes_of(m), [ENT])
-    avg = EV.report_averages(rep, [ENT])
-    return avg.select(ENT, "average", *[X.round6(c).alias(c) for c in ("precision", "recall", "f1")], "support")
+def e5_avg(spark, sf):
+    r = e5(spark, sf)
+    return r.filter(F.col("label").isin("macro avg", "weighted avg"))
 
 
 register("E6_class_distribution", CLASS_DIST_SQL)(a11)
