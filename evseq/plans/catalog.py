@@ -821,7 +821,7 @@ TOP2_SQL = "[x.i for x in list_slice(list_reverse(list_sort(list_transform(p, la
 
 @register(
     "O4_top2_classes",
-    S.q(S.MODEL, f"select player_name, game_pk, pitch_number, {TOP2_SQL} as top2 from scored"),
+    S.q(S.MODEL, f"select player_name, game_pk, pitch_number, cast({TOP2_SQL} as integer[]) as top2 from scored"),
 )
 def o4(spark, sf):
     sc, _ = _scored(spark, sf)
