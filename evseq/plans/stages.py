@@ -47,16 +47,20 @@ class Roles:
 ROLES = Roles()
 
 
-def label_lookup(f: DataFrame, roles: Roles = ROLES, top_k: int = TOP_K_ENTITIES, rare: float = RARE_SHARE) -> DataFrame:
+def label_counts(f: DataFrame, roles: Roles = ROLES) -> DataFrame:
+    """Counts per (entity, label): one partial aggregate over the event rows."""
+    r = roles
+    return f.groupBy(r.entity, r.label).agg(F.count(F.lit(1)).alias("n"))
+
+
+def label_lookup(counts: DataFrame, roles: Roles = ROLES, top_k: int = TOP_K_ENTITIES, rare: float = RARE_SHARE) -> DataFrame:
     """The whole per-entity label logic on the (entity, label) count table.
 
-    One partial aggregate over the event rows gives counts per (entity,
-    label); top-k entities (A2), shares and the rare merge (A4, M5) and the
-    byte-order codes of the merged labels (M6) are all computed on that small
-    table.  Output: (entity, label, merged label, code), at most k x labels rows.
+    Top-k entities (A2), shares and the rare merge (A4, M5) and the byte-order
+    codes of the merged labels (M6) are all computed on the small count table.
+    Output: (entity, label, merged label, code), at most k x labels rows.
     """
     r = roles
-    counts = f.groupBy(r.entity, r.label).agg(F.count(F.lit(1)).alias("n"))
     per_entity = counts.groupBy(r.entity).agg(F.sum(F.when(F.col(r.label).isNotNull(), F.col("n"))).alias("count"))
     top = per_entity.orderBy(F.col("count").desc(), F.col(r.entity).asc_nulls_first()).limit(top_k).select(r.entity)
     kept = counts.join(F.broadcast(top), r.entity, "left_semi")  # k rows broadcast
@@ -82,9 +86,11 @@ def clean_slice(df: DataFrame, roles: Roles = ROLES, top_k: int = TOP_K_ENTITIES
         t = rows_of_top_k(f, r.entity, r.label, top_k)
         m = merge_rare(t, r.label, rare, "<", by=[r.entity])
         return label_codes(m, r.label, [r.entity], r.code)
-    # tiny (<= k x labels rows) and used by the row join, the code map and the
-    # class counts: written once so no later branch re-scans the events
-    lookup = materialize(label_lookup(f, roles, top_k, rare))
+    # the count table (entities x labels rows) is written once: the lookup, the
+    # code map and the class counts all derive from it, so the event rows are
+    # scanned exactly twice (this aggregate and the join below)
+    counts = materialize(label_counts(f, roles))
+    lookup = label_lookup(counts, roles, top_k, rare)
     coded = f.join(lookup, [r.entity, r.label], "inner")
     coded = coded.withColumn(r.label, F.col("_merged")).drop("_merged")
     mapping = lookup.select(r.entity, r.code, F.col("_merged").alias("name")).distinct()
