@@ -83,18 +83,19 @@ def with_global_position(
 
 
 def _with_blocks(df: DataFrame, block_rows: int, before: int, after: int) -> DataFrame:
+    """Each row once in its own block, plus a copy in the next block when it is
+    among the last ``before`` rows and in the previous block when among the
+    first ``after`` rows; one pass (explode), no union of re-reads."""
     b = max(int(block_rows), before, after, 1)
     gp = F.col(GPOS)
-    base = df.withColumn(BLK, F.floor(gp / F.lit(b)).cast("long")).withColumn(OWN, F.lit(True))
-    parts = [base]
+    blk = F.floor(gp / F.lit(b)).cast("long")
+    entries = [F.struct(blk.alias(BLK), F.lit(True).alias(OWN))]
     if before > 0:
-        parts.append(base.filter(gp % b >= b - before).withColumn(BLK, F.col(BLK) + 1).withColumn(OWN, F.lit(False)))
+        entries.append(F.when(gp % b >= b - before, F.struct((blk + 1).alias(BLK), F.lit(False).alias(OWN))))
     if after > 0:
-        parts.append(base.filter(gp % b < after).withColumn(BLK, F.col(BLK) - 1).withColumn(OWN, F.lit(False)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        entries.append(F.when(gp % b < after, F.struct((blk - 1).alias(BLK), F.lit(False).alias(OWN))))
+    copies = F.filter(F.array(*entries), lambda e: e.isNotNull())
+    return df.withColumn("_e", F.explode(copies)).select(*df.columns, "_e.*")
 
 
 def max_group_rows(df: DataFrame, partition_by: Sequence[str]) -> int:

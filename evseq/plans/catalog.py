@@ -1355,7 +1355,9 @@ def l1(spark, sf):
 def l2(spark, sf):
     data = _lr_inputs(spark, sf)
     train = data.filter(F.col("split") == "train")
-    model = L.fit_logistic(train, "features", "y", max_iter=20)
+    # balanced class weights of the training windows as row weights (L3)
+    train = L.sample_weights(train, train, "y", [], "weight")
+    model = L.fit_logistic(train, "features", "y", weight="weight", max_iter=20)
     scored = L.score_logistic(model, data.filter(F.col("split") == "test"), "features")
     return scored.select(ENT, "event_id", F.col("y").cast("int").alias("y"), "pred")
 
