@@ -34,8 +34,9 @@ def value_counts(df: DataFrame, column: str, by: Sequence[str] = (), sort: bool
 def value_proportions(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
     """A4: normalized value counts, globally or per ``by`` group."""
     counts = df.groupBy(*by, column).agg(F.count(F.lit(1)).alias("count"))
-    w = Window.partitionBy(*by) if by else Window.partitionBy()
-    return counts.withColumn("proportion", F.col("count") / F.sum("count").over(w))
+    if not by:  # the total is one number: a scalar subquery, no single-partition window
+        return counts.withColumn("proportion", F.col("count") / counts.select(F.sum("count")).scalar())
+    return counts.withColumn("proportion", F.col("count") / F.sum("count").over(Window.partitionBy(*by)))
 
 
 def frequency_filter(props: DataFrame, op: str, threshold: float) -> DataFrame:
@@ -146,9 +147,12 @@ def _left_join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str])
 def balanced_class_weights(labels: DataFrame, label: str, by: Sequence[str] = (), weight: str = "weight") -> DataFrame:
     """``n / (C * n_c)`` over the classes present, per ``by`` group."""
     counts = labels.groupBy(*by, label).agg(F.count(F.lit(1)).alias("n_c"))
-    w = Window.partitionBy(*by) if by else Window.partitionBy()
-    n = F.sum("n_c").over(w)
-    c = F.count(F.lit(1)).over(w)
+    if by:
+        w = Window.partitionBy(*by)
+        n, c = F.sum("n_c").over(w), F.count(F.lit(1)).over(w)
+    else:  # totals over the class table as scalar subqueries
+        tot = counts.select(F.struct(F.sum("n_c").alias("n"), F.count(F.lit(1)).alias("c"))).scalar()
+        n, c = tot["n"], tot["c"]
     return counts.select(*by, label, "n_c", (n / (c * F.col("n_c"))).alias(weight))
 
 
