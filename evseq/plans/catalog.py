@@ -91,13 +91,14 @@ def _split(spark, sf):
     return split_by_game(t, strategy=_strategy(spark, sf, (ENT,))), m
 
 
-def _scored(spark, sf):
+def _scored(spark, sf, reused=True):
+    """Scored rows; written (lineage cut) only when ``reused`` by several aggregates."""
     s, m = _split(spark, sf)
-    return transition_scores(s, m, strategy=_strategy(spark, sf)), m
+    return transition_scores(s, m, strategy=_strategy(spark, sf), write_scores=reused), m
 
 
-def _test(spark, sf):
-    sc, m = _scored(spark, sf)
+def _test(spark, sf, reused=True):
+    sc, m = _scored(spark, sf, reused)
     return sc.filter(F.col("split") == "test"), m
 
 
@@ -599,7 +600,7 @@ CLASS_DIST_SQL = S.q(
 
 @register("A11_class_distribution", CLASS_DIST_SQL)
 def a11(spark, sf):
-    te, m = _test(spark, sf)
+    te, m = _test(spark, sf, reused=False)
     return EV.class_distribution(te, classes_of(m), [ENT])
 
 
@@ -824,13 +825,13 @@ TOP2_SQL = "[x.i for x in list_slice(list_reverse(list_sort(list_transform(p, la
     S.q(S.MODEL, f"select player_name, game_pk, pitch_number, cast({TOP2_SQL} as integer[]) as top2 from scored"),
 )
 def o4(spark, sf):
-    sc, _ = _scored(spark, sf)
+    sc, _ = _scored(spark, sf, reused=False)
     return sc.select(ENT, GAME, "pitch_number", X.top_k_indices("p", 2).alias("top2"))
 
 
 @register("O5_argmax", S.q(S.MODEL, "select player_name, game_pk, pitch_number, pred from scored"))
 def o5(spark, sf):
-    sc, _ = _scored(spark, sf)
+    sc, _ = _scored(spark, sf, reused=False)
     return sc.select(ENT, GAME, "pitch_number", X.argmax("p").alias("pred"))
 
 
@@ -1383,7 +1384,7 @@ def l3(spark, sf):
     S.q(S.MODEL, "select player_name, game_pk, pitch_number, split, y, list_transform(p, lambda v: round(v, 6)) as p, pred, order_used from scored"),
 )
 def l4(spark, sf):
-    sc, _ = _scored(spark, sf)
+    sc, _ = _scored(spark, sf, reused=False)
     return sc.select(ENT, GAME, "pitch_number", "split", "y", F.transform("p", lambda v: F.round(v, 6)).alias("p"), "pred", "order_used")
 
 
@@ -1395,7 +1396,7 @@ PY_SQL = "least(greatest(p[y + 1], 1e-7), 1 - 1e-7)"
     S.q(S.MODEL + [S.TEST], f"select player_name, round(avg(0.25 * pow(1 - {PY_SQL}, 2.0) * -ln({PY_SQL})), 6) as focal_loss from te group by player_name"),
 )
 def l5(spark, sf):
-    te, _ = _test(spark, sf)
+    te, _ = _test(spark, sf, reused=False)
     return L.focal_loss(te, [ENT]).select(ENT, X.round6("focal_loss").alias("focal_loss"))
 
 
@@ -1404,7 +1405,7 @@ def l5(spark, sf):
     S.q(S.MODEL + [S.TEST], f"select player_name, round(avg(-ln({PY_SQL})), 6) as log_loss from te group by player_name"),
 )
 def l6(spark, sf):
-    te, _ = _test(spark, sf)
+    te, _ = _test(spark, sf, reused=False)
     return L.log_loss(te, [ENT]).select(ENT, X.round6("log_loss").alias("log_loss"))
 
 
@@ -1436,7 +1437,7 @@ def l8(spark, sf):
     S.q(S.MODEL + [S.TEST], "select player_name, round(avg(case when y = pred then 1.0 else 0.0 end), 6) as accuracy from te group by player_name"),
 )
 def e1(spark, sf):
-    te, _ = _test(spark, sf)
+    te, _ = _test(spark, sf, reused=False)
     return EV.accuracy(te, [ENT]).select(ENT, X.round6("accuracy").alias("accuracy"))
 
 
@@ -1448,7 +1449,7 @@ def e1(spark, sf):
     ),
 )
 def e2(spark, sf):
-    te, _ = _test(spark, sf)
+    te, _ = _test(spark, sf, reused=False)
     return EV.top_k_accuracy(te, [ENT], 2).select(ENT, X.round6("top2_accuracy").alias("top2_accuracy"))
 
 
@@ -1462,7 +1463,7 @@ def e2(spark, sf):
     ),
 )
 def e3(spark, sf):
-    te, m = _test(spark, sf)
+    te, m = _test(spark, sf, reused=False)
     return EV.confusion_matrix(te, classes_of(m), [ENT])
 
 

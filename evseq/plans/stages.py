@@ -144,11 +144,13 @@ def transition_scores(
     k: int = 2,
     alpha: float = 1.0,
     strategy: str = "auto",
+    write_scores: bool = True,
 ) -> DataFrame:
     """Fit the order-k transition model on ``split='train'`` and score every row.
 
     Output: entity, game, order keys, split, ``y`` (true next code), ``p``,
-    ``pred``, ``order_used``.
+    ``pred``, ``order_used``.  ``write_scores`` cuts lineage after scoring;
+    worth it when two or more aggregates read the scores, not for one.
     """
     r = roles
     by = [r.entity]
@@ -160,7 +162,7 @@ def transition_scores(
     scored = score_transitions(ctx, model, classes, by, k, alpha)
     out = scored.select(r.entity, r.game, *r.order, "split", F.col(r.target).alias("y"), "p", "pred", "order_used")
     # stage boundary: every metric of the evaluation reads the scored table
-    return materialize(out)
+    return materialize(out) if write_scores else out
 
 
 def classes_of(mapping: DataFrame, roles: Roles = ROLES) -> DataFrame:
