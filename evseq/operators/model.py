@@ -25,22 +25,14 @@ from evseq.operators.ordered import ordered_window
 EPSILON = 1e-7  # probability clip for the losses (the usual backend epsilon)
 
 
-def with_contexts(
-    df: DataFrame,
-    code: str,
-    k: int,
-    order_by: Sequence[str],
-    partition_by: Sequence[str],
-    strategy: str = "auto",
-    **kw,
-) -> DataFrame:
-    """Add ``ctx_0..ctx_k``: the last j codes of the group ending at the row
-    (most recent first, comma separated); null when fewer than j rows exist."""
+def context_lags(w: WindowSpec, code: str, k: int) -> dict[str, Column]:
+    """Window columns ``_lag1.._lag{k-1}`` for the contexts of order up to k."""
+    return {f"_lag{i}": F.lag(F.col(code), i).over(w) for i in range(1, k)}
 
-    def build(w: WindowSpec) -> dict[str, Column]:
-        return {f"_lag{i}": F.lag(F.col(code), i).over(w) for i in range(1, k)}
 
-    lagged = ordered_window(df, partition_by, order_by, build, before=max(k - 1, 0), after=0, strategy=strategy, **kw) if k > 1 else df
+def context_strings(lagged: DataFrame, code: str, k: int) -> DataFrame:
+    """``ctx_0..ctx_k`` from the code and its ``_lag`` columns (most recent
+    first, comma separated); null when fewer than j rows exist."""
     parts = [F.col(code).cast("string")] + [F.col(f"_lag{i}").cast("string") for i in range(1, k)]
     ctx = {"ctx_0": F.lit("")}
     for j in range(1, k + 1):
@@ -54,6 +46,24 @@ def with_contexts(
     return lagged.withColumns(ctx).drop(*[f"_lag{i}" for i in range(1, k)])
 
 
+def with_contexts(
+    df: DataFrame,
+    code: str,
+    k: int,
+    order_by: Sequence[str],
+    partition_by: Sequence[str],
+    strategy: str = "auto",
+    **kw,
+) -> DataFrame:
+    """Add ``ctx_0..ctx_k``: the last j codes of the group ending at the row."""
+    if k <= 1:
+        return context_strings(df, code, k)
+    lagged = ordered_window(
+        df, partition_by, order_by, lambda w: context_lags(w, code, k), before=k - 1, after=0, strategy=strategy, **kw
+    )
+    return context_strings(lagged, code, k)
+
+
 def fit_transition_counts(ctx_rows: DataFrame, by: Sequence[str], target: str, k: int, train: Column | None = None) -> DataFrame:
     """L1 fit: (by..., order, context, next, count) for order j = 0..k."""
     src = ctx_rows.filter(train) if train is not None else ctx_rows

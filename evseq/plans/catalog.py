@@ -81,9 +81,9 @@ def _coded(spark, sf):
     return clean_slice(pitches(spark, sf))
 
 
-def _target(spark, sf):
+def _target(spark, sf, context_k=0):
     c, m = _coded(spark, sf)
-    return with_target(c, strategy=_strategy(spark, sf)), m
+    return with_target(c, strategy=_strategy(spark, sf), context_k=context_k), m
 
 
 def _split(spark, sf):
@@ -93,7 +93,8 @@ def _split(spark, sf):
 
 def _scored(spark, sf, reused=True):
     """Scored rows; written (lineage cut) only when ``reused`` by several aggregates."""
-    s, m = _split(spark, sf)
+    t, m = _target(spark, sf, context_k=2)  # contexts from the target's window node
+    s = split_by_game(t, strategy=_strategy(spark, sf, (ENT,)))
     return transition_scores(s, m, strategy=_strategy(spark, sf), write_scores=reused), m
 
 
@@ -1345,8 +1346,8 @@ def q8(spark, sf):
     S.q(S.MODEL, "select player_name, o as \"order\", ctx as context, total, n_classes, p from mdl"),
 )
 def l1(spark, sf):
-    s, m = _split(spark, sf)
-    ctx = L.with_contexts(s, "pitch_type_code", 2, ORDER, [ENT, GAME], strategy=_strategy(spark, sf))
+    t, m = _target(spark, sf, context_k=2)  # contexts from the target's window node
+    ctx = split_by_game(t, strategy=_strategy(spark, sf, (ENT,)))
     classes = classes_of(m)
     counts = L.fit_transition_counts(ctx, [ENT], "next_pitch_type_code", 2, F.col("split") == "train")
     return L.transition_table(counts, classes, [ENT], 1.0)
@@ -1413,7 +1414,8 @@ def l6(spark, sf):
 def l7(spark, sf):
     from evseq.plans.tuning import grid_search_transitions
 
-    s, m = _split(spark, sf)
+    t, m = _target(spark, sf, context_k=2)
+    s = split_by_game(t, strategy=_strategy(spark, sf, (ENT,)))
     return grid_search_transitions(s, m, ks=(1, 2), alphas=(0.5, 1.0), strategy=_strategy(spark, sf))
 
 

@@ -12,14 +12,23 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from evseq.functions.exprs import concat_text, fill_null, flag_not_null, strict_map, weighted_sum
 from evseq.operators.encode import first_seen_code, label_codes, merge_rare
 from evseq.operators.features import next_event_target
 from evseq.operators.filters import drop_nulls, rows_of_top_k
-from evseq.operators.model import class_counts, fit_transition_counts, score_transitions, transition_table, with_contexts
+from evseq.operators.model import (
+    class_counts,
+    context_lags,
+    context_strings,
+    fit_transition_counts,
+    score_transitions,
+    transition_table,
+    with_contexts,
+)
+from evseq.operators.ordered import ordered_window
 from evseq.operators.sequences import game_split_table, rows_with_split
 from evseq.session import materialize
 
@@ -126,9 +135,24 @@ def encode_columns(df: DataFrame, order: Sequence[str]) -> DataFrame:
     return out.withColumn("baserunner_state", weighted_sum(["on_1b", "on_2b", "on_3b"], (1, 2, 3)))
 
 
-def with_target(coded: DataFrame, roles: Roles = ROLES, strategy: str = "auto") -> DataFrame:
+def with_target(coded: DataFrame, roles: Roles = ROLES, strategy: str = "auto", context_k: int = 0) -> DataFrame:
+    """Next code per (entity, game), rows without one dropped.
+
+    With ``context_k`` the transition contexts (last codes of the game) come
+    from the same window node as the lead: one sort of the rows instead of
+    two.  Dropping rows without a target removes only the last row of each
+    game, so the backward-looking contexts are the same as after the drop."""
     r = roles
-    return next_event_target(coded, r.code, r.target, list(r.order), [r.entity, r.game], strategy=strategy)
+    G, O = [r.entity, r.game], list(r.order)
+    if context_k <= 1:
+        out = next_event_target(coded, r.code, r.target, O, G, strategy=strategy)
+        return context_strings(out, r.code, context_k) if context_k else out
+
+    def build(w: WindowSpec) -> dict[str, Column]:
+        return {r.target: F.lead(F.col(r.code), 1).over(w), **context_lags(w, r.code, context_k)}
+
+    led = ordered_window(coded, G, O, build, before=context_k - 1, after=1, strategy=strategy)
+    return context_strings(drop_nulls(led, [r.target, r.code]), r.code, context_k)
 
 
 def split_by_game(rows: DataFrame, roles: Roles = ROLES, strategy: str = "direct") -> DataFrame:
@@ -155,7 +179,9 @@ def transition_scores(
     r = roles
     by = [r.entity]
     # stage boundary: fit and k+1 scoring joins all read these rows
-    ctx = materialize(with_contexts(split_rows, r.code, k, list(r.order), [r.entity, r.game], strategy=strategy))
+    if f"ctx_{k}" not in split_rows.columns:
+        split_rows = with_contexts(split_rows, r.code, k, list(r.order), [r.entity, r.game], strategy=strategy)
+    ctx = materialize(split_rows)
     classes = class_counts(mapping, by, r.code)
     counts = fit_transition_counts(ctx, by, r.target, k, F.col("split") == "train")
     model = transition_table(counts, classes, by, alpha)

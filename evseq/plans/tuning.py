@@ -31,7 +31,9 @@ def grid_search_transitions(
     r = roles
     by = [r.entity]
     kmax = max(ks)
-    ctx = L.with_contexts(split_rows, r.code, kmax, list(r.order), [r.entity, r.game], strategy=strategy)
+    ctx = split_rows
+    if f"ctx_{kmax}" not in ctx.columns:
+        ctx = L.with_contexts(ctx, r.code, kmax, list(r.order), [r.entity, r.game], strategy=strategy)
     ctx = materialize(ctx)
     classes = materialize(classes_of(mapping, r))
     counts = materialize(L.fit_transition_counts(ctx, by, r.target, kmax, F.col("split") == "train"))
