@@ -46,36 +46,48 @@ def _safe_div(a, b):
     return F.when(b == 0, F.lit(0.0)).otherwise(a.cast("double") / b)
 
 
-def per_class_report(scored: DataFrame, classes: DataFrame, by: Sequence[str], y: str = "y", pred: str = "pred") -> DataFrame:
-    """E4 per class: precision, recall, F1 (0 on zero division) and support.
-
-    One pass: every row emits a record for its true class (support, tp) and
-    one for its predicted class; one aggregate sums them per class."""
+def class_stats(scored: DataFrame, classes: DataFrame, by: Sequence[str], y: str = "y", pred: str = "pred", p: str = "p", k: int = 2) -> DataFrame:
+    """(by..., class, support, tp, predicted, topk) for every class of every
+    entity, zero classes kept, in ONE pass over the scored rows: each row emits
+    a record for its true class (support, correct, top-k hit) and one for its
+    predicted class; one aggregate sums them.  Every figure of the report and
+    of the entity metrics derives from this small table."""
     one, zero = F.lit(1), F.lit(0)
+    hit = F.array_contains(top_k_indices(p, k), F.col(y)).cast("int") if p in scored.columns else zero
     recs = F.array(
-        F.struct(F.col(y).alias("class"), one.alias("s"), (F.col(y) == F.col(pred)).cast("int").alias("t"), zero.alias("q")),
-        F.struct(F.col(pred).alias("class"), zero.alias("s"), zero.alias("t"), one.alias("q")),
+        F.struct(F.col(y).alias("class"), one.alias("s"), (F.col(y) == F.col(pred)).cast("int").alias("t"), zero.alias("q"), hit.alias("h")),
+        F.struct(F.col(pred).alias("class"), zero.alias("s"), zero.alias("t"), one.alias("q"), zero.alias("h")),
     )
     stats = (
         scored.select(*by, F.explode(recs).alias("r"))
         .groupBy(*by, F.col("r.class").alias("class"))
         .agg(
-            F.sum("r.t").cast("bigint").alias("tp"),
             F.sum("r.s").cast("bigint").alias("support"),
+            F.sum("r.t").cast("bigint").alias("tp"),
             F.sum("r.q").cast("bigint").alias("predicted"),
+            F.sum("r.h").cast("bigint").alias("topk"),
         )
     )
     keys = [*by, "class"]
     j = class_list(classes, by).join(stats, keys, "left")
     z = F.lit(0).cast("bigint")
-    j = j.select(*keys, *[F.coalesce(F.col(c), z).alias(c) for c in ("tp", "support", "predicted")])
+    return j.select(*keys, *[F.coalesce(F.col(c), z).alias(c) for c in ("support", "tp", "predicted", "topk")])
+
+
+def _with_prf(stats: DataFrame) -> DataFrame:
     prec = _safe_div(F.col("tp"), F.col("predicted"))
     rec = _safe_div(F.col("tp"), F.col("support"))
-    j = j.withColumn("precision", prec).withColumn("recall", rec)
+    j = stats.withColumn("precision", prec).withColumn("recall", rec)
     f1 = F.when(F.col("precision") + F.col("recall") == 0, F.lit(0.0)).otherwise(
         2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall"))
     )
-    return j.withColumn("f1", f1).select(*keys, "precision", "recall", "f1", "support")
+    return j.withColumn("f1", f1)
+
+
+def per_class_report(scored: DataFrame, classes: DataFrame, by: Sequence[str], y: str = "y", pred: str = "pred") -> DataFrame:
+    """E4 per class: precision, recall, F1 (0 on zero division) and support (one pass)."""
+    per = _with_prf(class_stats(scored, classes, by, y, pred))
+    return per.select(*by, "class", "precision", "recall", "f1", "support")
 
 
 def report_averages(report: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -107,20 +119,22 @@ def class_distribution(scored: DataFrame, classes: DataFrame, by: Sequence[str],
 
 
 def entity_metrics(scored: DataFrame, classes: DataFrame, mapping: DataFrame, by: Sequence[str], code: str = "code") -> DataFrame:
-    """One row per entity: accuracy, top-2 accuracy, class count and the
-    class distribution as ``map<class name, count>`` (``Unknown-{code}`` when a
-    code has no name)."""
-    hit = F.array_contains(top_k_indices("p", 2), F.col("y")).cast("double")
-    acc_top2 = scored.groupBy(*by).agg(
-        F.avg((F.col("y") == F.col("pred")).cast("double")).alias("accuracy"), F.avg(hit).alias("top2_accuracy")
-    )
-    dist = class_distribution(scored, classes, by)
-    named = dist.join(mapping.select(*by, F.col(code).alias("class"), "name"), [*by, "class"], "left")
+    """One row per entity with scored rows: accuracy, top-2 accuracy, class
+    count and the class distribution as ``map<class name, count>``
+    (``Unknown-{code}`` when a code has no name).  One pass over the scores."""
+    st = class_stats(scored, classes, by)
+    named = st.join(mapping.select(*by, F.col(code).alias("class"), "name"), [*by, "class"], "left")
     named = named.withColumn("name", F.coalesce(F.col("name"), F.concat(F.lit("Unknown-"), F.col("class").cast("string"))))
-    dmap = named.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("name", "n"))).alias("class_distribution"))
+    n = F.sum("support")
+    per_entity = named.groupBy(*by).agg(
+        n.alias("_n"),
+        F.try_divide(F.sum("tp"), n).alias("accuracy"),  # entities without rows are dropped below
+        F.try_divide(F.sum("topk"), n).alias("top2_accuracy"),
+        F.map_from_entries(F.collect_list(F.struct("name", "support"))).alias("class_distribution"),
+    )
     return (
-        acc_top2.join(classes, list(by))
-        .join(dmap, list(by))
+        per_entity.filter(F.col("_n") > 0)
+        .join(classes, list(by))
         .select(*by, "accuracy", "top2_accuracy", F.col("n_classes").alias("num_classes"), "class_distribution")
     )
 
@@ -137,29 +151,42 @@ def summary(metrics: DataFrame) -> DataFrame:
 def classification_report(scored: DataFrame, classes: DataFrame, mapping: DataFrame, by: Sequence[str], code: str = "code") -> DataFrame:
     """The full report in long form (by..., label, precision, recall,
     f1, support): one row per class under its name (``Unknown-{code}`` without
-    one), then ``accuracy`` (in the f1 column, support = all rows), ``macro
-    avg`` and ``weighted avg``."""
-    per = per_class_report(scored, classes, by)
+    one), then ``accuracy`` (in the f1 column, support = all rows; only for
+    entities with rows), ``macro avg`` and ``weighted avg``.  One pass over the
+    scores; the summary rows come from one aggregate of the class table."""
+    per = _with_prf(class_stats(scored, classes, by))
     names = mapping.select(*by, F.col(code).alias("class"), F.col("name").alias("_name"))
-    named = per.join(names, [*by, "class"], "left").withColumn(
-        "label", F.coalesce(F.col("_name"), F.concat(F.lit("Unknown-"), F.col("class").cast("string")))
-    )
-    rows = named.select(*by, "label", "precision", "recall", "f1", "support")
-    tp = per_class_report_tp(scored, by)
-    acc = tp.select(
+    rows = per.join(names, [*by, "class"], "left").select(
         *by,
-        F.lit("accuracy").alias("label"),
-        F.lit(None).cast("double").alias("precision"),
-        F.lit(None).cast("double").alias("recall"),
+        F.coalesce(F.col("_name"), F.concat(F.lit("Unknown-"), F.col("class").cast("string"))).alias("label"),
+        "precision",
+        "recall",
         "f1",
         "support",
     )
-    avgs = report_averages(per, by).withColumnRenamed("average", "label").select(*by, "label", "precision", "recall", "f1", "support")
-    return rows.unionByName(acc).unionByName(avgs)
-
-
-def per_class_report_tp(scored: DataFrame, by: Sequence[str], y: str = "y", pred: str = "pred") -> DataFrame:
-    """Accuracy as the report prints it: correct / all rows, with the row count."""
-    return scored.groupBy(*by).agg(
-        F.avg((F.col(y) == F.col(pred)).cast("double")).alias("f1"), F.count(F.lit(1)).alias("support")
+    tot = F.col("_n")
+    s = per.groupBy(*by).agg(
+        F.sum("support").alias("_n"),
+        F.sum("tp").alias("_tp"),
+        F.avg("precision").alias("_mp"),
+        F.avg("recall").alias("_mr"),
+        F.avg("f1").alias("_mf"),
+        F.sum(F.col("precision") * F.col("support")).alias("_wp"),
+        F.sum(F.col("recall") * F.col("support")).alias("_wr"),
+        F.sum(F.col("f1") * F.col("support")).alias("_wf"),
+    )
+    none = F.lit(None).cast("double")
+    summary_rows = F.array(
+        F.struct(F.lit("accuracy").alias("label"), none.alias("precision"), none.alias("recall"), _safe_div(F.col("_tp"), tot).alias("f1"), tot.alias("support")),
+        F.struct(F.lit("macro avg").alias("label"), F.col("_mp").alias("precision"), F.col("_mr").alias("recall"), F.col("_mf").alias("f1"), tot.alias("support")),
+        F.struct(
+            F.lit("weighted avg").alias("label"),
+            _safe_div(F.col("_wp"), tot).alias("precision"),
+            _safe_div(F.col("_wr"), tot).alias("recall"),
+            _safe_div(F.col("_wf"), tot).alias("f1"),
+            tot.alias("support"),
+        ),
     )
+    summ = s.select(*by, F.explode(summary_rows).alias("_r")).select(*by, "_r.*")
+    summ = summ.filter((F.col("label") != "accuracy") | (F.col("support") > 0))
+    return rows.unionByName(summ)

@@ -615,7 +615,7 @@ SUMMARY_SQL = S.q(
 
 
 def _summary(spark, sf):
-    te, m = _test(spark, sf)
+    te, m = _test(spark, sf, reused=False)
     met = EV.entity_metrics(te, classes_of(m), m.withColumnRenamed("pitch_type_code", "code"), [ENT])
     s = EV.summary(met)
     return s.select(X.round6("avg_accuracy").alias("avg_accuracy"), X.round6("avg_top2_accuracy").alias("avg_top2_accuracy"), "total_players")
@@ -1506,7 +1506,7 @@ def _full_report(scored, m):
     S.q(S.MODEL + [S.TEST, S.MAPPING, REPORT_CTE.format(src="te"), PRF_CTE], REPORT_BODY.format(src="te")),
 )
 def e4(spark, sf):
-    te, m = _test(spark, sf)
+    te, m = _test(spark, sf, reused=False)
     return _full_report(te, m)
 
 
@@ -1518,7 +1518,7 @@ VAL = "va as (select * from scored where split = 'val')"
     S.q(S.MODEL + [VAL, S.MAPPING, REPORT_CTE.format(src="va"), PRF_CTE], REPORT_BODY.format(src="va")),
 )
 def e5(spark, sf):
-    sc, m = _scored(spark, sf)
+    sc, m = _scored(spark, sf, reused=False)
     return _full_report(sc.filter(F.col("split") == "val"), m)
 
 
@@ -1552,7 +1552,7 @@ register("E6_class_distribution", CLASS_DIST_SQL)(a11)
     ),
 )
 def e7(spark, sf):
-    te, m = _test(spark, sf)
+    te, m = _test(spark, sf, reused=False)
     met = EV.entity_metrics(te, classes_of(m), m.withColumnRenamed("pitch_type_code", "code"), [ENT])
     return met.select(ENT, X.round6("accuracy").alias("accuracy"), X.round6("top2_accuracy").alias("top2_accuracy"), "num_classes", "class_distribution")
 
