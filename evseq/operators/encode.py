@@ -11,11 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evseq.functions.exprs import concat_text
 from evseq.operators.aggregates import value_proportions
+from evseq.operators.ordered import rank_in_groups
 
 
 def merge_rare(
@@ -51,11 +52,15 @@ def merge_rare(
     return joined.withColumn(out, expr).drop("_hit").select(*df.columns, *([out] if out not in df.columns else []))
 
 
-def sorted_code_map(df: DataFrame, column: str, by: Sequence[str] = (), code: str = "code") -> DataFrame:
-    """W6/M6/M7 mapping: (by..., value, code) with 0-based codes in byte order."""
+def sorted_code_map(df: DataFrame, column: str, by: Sequence[str] = (), code: str = "code", strategy: str = "direct") -> DataFrame:
+    """W6/M6/M7 mapping: (by..., value, code) with 0-based codes in byte order.
+
+    Ranks the distinct-value table (values are unique per group, so the row
+    position is the dense rank); ``strategy='halo'`` ranks a high-cardinality
+    column over a range partitioning instead of one window per group."""
     distinct = df.select(*by, column).filter(F.col(column).isNotNull()).distinct()
-    w = Window.partitionBy(*by).orderBy(column) if by else Window.orderBy(column)
-    return distinct.withColumn(code, (F.dense_rank().over(w) - 1).cast("int"))
+    ranked = rank_in_groups(distinct, list(by), [column], code, strategy)
+    return ranked.withColumn(code, F.col(code).cast("int"))
 
 
 def sorted_code(df: DataFrame, column: str, out: str, by: Sequence[str] = ()) -> DataFrame:
@@ -64,15 +69,18 @@ def sorted_code(df: DataFrame, column: str, out: str, by: Sequence[str] = ()) ->
     return df.join(m, [*by, column], "left").select(*df.columns, out)
 
 
-def first_seen_code_map(df: DataFrame, column: str, order_by: Sequence[str], by: Sequence[str] = (), code: str = "code") -> DataFrame:
-    """W7 mapping: codes by order of first appearance under ``order_by``."""
+def first_seen_code_map(
+    df: DataFrame, column: str, order_by: Sequence[str], by: Sequence[str] = (), code: str = "code", strategy: str = "direct"
+) -> DataFrame:
+    """W7 mapping: codes by order of first appearance under ``order_by``
+    (``strategy`` as in ``sorted_code_map``)."""
     first = (
         df.filter(F.col(column).isNotNull())
         .groupBy(*by, column)
         .agg(F.min(F.struct(*[F.col(c) for c in order_by])).alias("_first"))
     )
-    w = Window.partitionBy(*by).orderBy("_first") if by else Window.orderBy("_first")
-    return first.withColumn(code, (F.row_number().over(w) - 1).cast("int")).drop("_first")
+    ranked = rank_in_groups(first, list(by), ["_first", column], code, strategy)
+    return ranked.withColumn(code, F.col(code).cast("int")).drop("_first")
 
 
 def first_seen_code(df: DataFrame, column: str, order_by: Sequence[str], out: str, by: Sequence[str] = ()) -> DataFrame:

@@ -201,3 +201,34 @@ def ordered_fill(
     joined = local.join(carry, keys, "left")
     res = joined.withColumn(out, F.coalesce(F.col("_local"), F.col("_carry")))
     return res.select(*df.columns, out)
+
+
+def rank_in_groups(
+    df: DataFrame,
+    partition_by: Sequence[str],
+    order_by: Sequence[str | Column],
+    out: str,
+    strategy: str = "direct",
+    n_partitions: int | None = None,
+) -> DataFrame:
+    """0-based position of each row inside its group in ``order_by`` order
+    (``order_by`` must make rows of a group distinct).
+
+    ``direct``: ``row_number`` over a window per group.  ``halo``: global
+    position over a range partitioning minus the group's first position (a
+    small per-group aggregate), so a group with very many rows is ranked by
+    many tasks."""
+    G = list(partition_by)
+    if strategy == "direct":
+        w = (Window.partitionBy(*G) if G else Window.partitionBy()).orderBy(*order_by)
+        return df.withColumn(out, (F.row_number().over(w) - 1).cast("long"))
+    names = [c for c in order_by if isinstance(c, str)]
+    if len(names) != len(order_by):
+        raise ValueError("the halo ranking needs column names to order by")
+    pos = with_global_position(df, names, G, n_partitions=n_partitions)
+    starts = pos.groupBy(*G).agg(F.min(GPOS).alias("_start"))
+    if G:
+        ranked = pos.join(starts, G, "left")
+    else:
+        ranked = pos.withColumn("_start", starts.select(F.col("_start")).scalar())
+    return ranked.withColumn(out, F.col(GPOS) - F.col("_start")).drop(GPOS, "_start")

@@ -284,3 +284,15 @@ def test_hot_group_spreads_over_partitions(spark):
     got = sorted(rows(pos, "g", "o", GPOS))
     exp = sorted((g, o) for g, o in data)
     assert [(g, o) for g, o, _ in got] == exp and sorted(p for _, _, p in got) == list(range(1000))
+
+
+@pytest.mark.parametrize("by", [["g"], []])
+def test_code_maps_halo_equal_direct(spark, by):
+    data = [(f"g{i % 3}", i, f"v{(i * 7) % 23:02d}") for i in range(300)]
+    df = spark.createDataFrame(data, "g string, o int, v string")
+    for build in (
+        lambda s: E.sorted_code_map(df, "v", by, "code", strategy=s),
+        lambda s: E.first_seen_code_map(df, "v", ["o"], by, "code", strategy=s),
+    ):
+        cols = [*by, "v", "code"]
+        assert sorted(rows(build("direct"), *cols)) == sorted(rows(build("halo"), *cols))
