@@ -13,13 +13,6 @@ from pyspark.sql import functions as F
 
 from evseq.sources.io import read_table
 
-# Fixed column roles of the fixture view.
-ENTITY = "player_name"
-GAME = "game_pk"
-ORDER = ["game_date", "at_bat_number", "pitch_number"]
-EVENT_KEY = "event_id"
-LABEL = "pitch_type"
-
 
 def _k() -> Column:
     return F.regexp_extract(F.col("props"), r"[0-9]+", 0).cast("int")

@@ -12,7 +12,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, NumericType
 
 ColumnOrName = Column | str
 
@@ -119,9 +118,5 @@ def one_hot(y: ColumnOrName, n_classes: ColumnOrName | int) -> Column:
     return F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.when(i == col(y), 1).otherwise(0))
 
 
-def is_numeric(t: DataType) -> bool:
-    return isinstance(t, NumericType)
-
-
 def round6(c: ColumnOrName) -> Column:
     return F.round(col(c), 6)

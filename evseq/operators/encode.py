@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evseq.functions.exprs import concat_text
+from evseq.functions.exprs import concat_text, one_hot
 from evseq.operators.aggregates import value_proportions
 from evseq.operators.ordered import rank_in_groups
 
@@ -112,5 +112,4 @@ def dense_remap(labels: DataFrame, label: str, by: Sequence[str], out: str) -> D
 
 def one_hot_column(df: DataFrame, y: str, n_classes: Column | int, out: str) -> DataFrame:
     """``array<int>`` of length n_classes with 1 at ``y``."""
-    n = F.lit(n_classes) if isinstance(n_classes, int) else n_classes
-    return df.withColumn(out, F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.when(i == F.col(y), 1).otherwise(0)))
+    return df.withColumn(out, one_hot(y, n_classes))

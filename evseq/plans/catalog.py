@@ -270,13 +270,6 @@ def p3(spark, sf):
     return P.rename(pitches(spark, sf), {"type": "pitch_result"}).select("event_id", "pitch_result")
 
 
-P4_REST = [
-    "event_id", "player_name", "pitcher", "game_pk", "game_date", "at_bat_number", "pitch_number", "pitch_type",
-    "release_speed", "release_spin_rate", "effective_speed", "spin_axis", "stand", "p_throws", "type",
-    "hit_location", "balls", "strikes", "outs_when_up", "inning",
-]
-
-
 @register("P4_drop", S.q([], "select * exclude (on_1b, on_2b, on_3b) from pitches"))
 def p4(spark, sf):
     return P.drop_columns(pitches(spark, sf), ["on_1b", "on_2b", "on_3b"])
