@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from evseq.functions.exprs import argmax, clip
 from evseq.operators.aggregates import balanced_class_weights
+from evseq.operators.joins import join_lookup
 from evseq.operators.ordered import ordered_window
 
 EPSILON = 1e-7  # probability clip for the losses (the usual backend epsilon)
@@ -93,13 +94,25 @@ def class_counts(mapping: DataFrame, by: Sequence[str], code: str) -> DataFrame:
     return mapping.groupBy(*by).agg(F.count_distinct(F.col(code)).cast("int").alias("n_classes"))
 
 
-def score_transitions(ctx_rows: DataFrame, model: DataFrame, classes: DataFrame, by: Sequence[str], k: int, alpha: float) -> DataFrame:
+def score_transitions(
+    ctx_rows: DataFrame,
+    model: DataFrame,
+    classes: DataFrame,
+    by: Sequence[str],
+    k: int,
+    alpha: float,
+    model_rows: int | None = None,
+) -> DataFrame:
     """L1 scoring / L4: ``p`` from the longest context seen in training, the
-    uniform prior ``alpha / (alpha * C)`` when even order 0 is unseen."""
+    uniform prior ``alpha / (alpha * C)`` when even order 0 is unseen.
+
+    ``model_rows`` is the measured row count of a written model table: under
+    the broadcast bound the k+1 back-off joins broadcast it, above it they
+    stay shuffled joins."""
     out = ctx_rows
     for j in range(k, -1, -1):
         mj = model.filter(F.col("order") == j).select(*by, F.col("context").alias(f"ctx_{j}"), F.col("p").alias(f"_p{j}"))
-        out = out.join(mj, [*by, f"ctx_{j}"], "left")
+        out = join_lookup(out, mj, [*by, f"ctx_{j}"], "left", bound_rows=model_rows)
     out = out.join(classes, list(by), "left")
     uniform = F.transform(F.sequence(F.lit(0), F.col("n_classes") - 1), lambda i: F.lit(1.0) / F.col("n_classes"))
     used = F.coalesce(*[F.when(F.col(f"_p{j}").isNotNull(), F.lit(j)) for j in range(k, -1, -1)])

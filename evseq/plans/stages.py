@@ -99,7 +99,9 @@ def clean_slice(df: DataFrame, roles: Roles = ROLES, top_k: int = TOP_K_ENTITIES
     # code map and the class counts all derive from it, so the event rows are
     # scanned exactly twice (this aggregate and the join below)
     counts = materialize(label_counts(f, roles))
-    lookup = label_lookup(counts, roles, top_k, rare)
+    # the derived lookup (<= k x labels rows) is written too: the row join,
+    # the code map and the class counts then read it instead of re-deriving it
+    lookup = materialize(label_lookup(counts, roles, top_k, rare))
     coded = f.join(lookup, [r.entity, r.label], "inner")
     coded = coded.withColumn(r.label, F.col("_merged")).drop("_merged")
     mapping = lookup.select(r.entity, r.code, F.col("_merged").alias("name")).distinct()
@@ -184,8 +186,11 @@ def transition_scores(
     ctx = materialize(split_rows)
     classes = class_counts(mapping, by, r.code)
     counts = fit_transition_counts(ctx, by, r.target, k, F.col("split") == "train")
-    model = transition_table(counts, classes, by, alpha)
-    scored = score_transitions(ctx, model, classes, by, k, alpha)
+    # the fitted model (entities x contexts rows) is an artifact of its own:
+    # written once, read by the k+1 back-off joins (pure broadcast joins)
+    model = materialize(transition_table(counts, classes, by, alpha))
+    # its size is now cheap to measure: broadcast only under the checked bound
+    scored = score_transitions(ctx, model, classes, by, k, alpha, model_rows=model.count())
     out = scored.select(r.entity, r.game, *r.order, "split", F.col(r.target).alias("y"), "p", "pred", "order_used")
     # stage boundary: every metric of the evaluation reads the scored table
     return materialize(out) if write_scores else out
