@@ -36,7 +36,7 @@ from evseq.plans.stages import (
     transition_scores,
     with_target,
 )
-from evseq.session import shared_dir
+from evseq.session import materialize, shared_dir
 from evseq.sources import io
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -1237,9 +1237,13 @@ Q3_CHANNELS = ["stand", "baserunner_state", "outs_when_up", "inning", "balls_str
 
 
 def _encoded_split(spark, sf):
-    """Cleaned rows with the encodings chained before the target and split."""
+    """Cleaned rows with the encodings chained before the target and split.
+
+    The cleaned table is written once (the clean stage's output): the two
+    first-seen code maps and the row join then read it instead of scanning
+    the events three times."""
     c, m = _coded(spark, sf)
-    e = encode_columns(c, ORDER)
+    e = encode_columns(materialize(c), ORDER)
     return split_by_game(with_target(e, strategy=_strategy(spark, sf)), strategy=_strategy(spark, sf, (ENT,))), m
 
 
