@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evseq.llm import decontaminate, exact_dedup
+from evseq.llm import decontaminate, exact_dedup, quality
 from evseq.llm.common import table
 
 
@@ -53,6 +53,10 @@ from words w left join n_pos using (doc_id) left join ids using (doc_id)
 """
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(table(spark, sf_dir, "documents"), keep="largest")
 
@@ -66,6 +70,7 @@ from documents d join (
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op4_quality": op4_quality,
     "op6_exact_dedup": op6_exact_dedup,
 }
 ORACLE = {
