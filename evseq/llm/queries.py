@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evseq.llm import decontaminate, exact_dedup, quality
+from evseq.llm import decontaminate, exact_dedup, quality, toxicity
 from evseq.llm.common import table
 
 
@@ -57,6 +57,10 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.severity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(table(spark, sf_dir, "documents"), keep="largest")
 
@@ -71,6 +75,7 @@ from documents d join (
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op4_quality": op4_quality,
+    "op5_toxicity": op5_toxicity,
     "op6_exact_dedup": op6_exact_dedup,
 }
 ORACLE = {
