@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evseq.llm import decontaminate, exact_dedup, quality, toxicity
+from evseq.llm import decontaminate, exact_dedup, quality, suffix_dedup, toxicity
 from evseq.llm.common import table
 
 
@@ -72,11 +72,23 @@ from documents d join (
 ) g on coalesce(d.text, '') = g.t
 """
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op4_quality": op4_quality,
     "op5_toxicity": op5_toxicity,
     "op6_exact_dedup": op6_exact_dedup,
+    "op8_suffix_dedup": op8_suffix_dedup,
 }
 ORACLE = {
     "op1_decontamination": OP1_SQL,
