@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evseq.llm import decontaminate, exact_dedup, quality, suffix_dedup, toxicity
+from evseq.llm import decontaminate, exact_dedup, ngram_join, quality, suffix_dedup, toxicity
 from evseq.llm.common import table
 
 
@@ -53,6 +53,10 @@ from words w left join n_pos using (doc_id) left join ids using (doc_id)
 """
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -85,6 +89,7 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontamination": op1_decontamination,
+    "op2_ngram_join": op2_ngram_join,
     "op4_quality": op4_quality,
     "op5_toxicity": op5_toxicity,
     "op6_exact_dedup": op6_exact_dedup,
