@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evseq.llm import decontaminate, exact_dedup, ngram_join, quality, suffix_dedup, toxicity
+from evseq.llm import decontaminate, exact_dedup, html_extract, ngram_join, quality, suffix_dedup, toxicity
 from evseq.llm.common import table
 
 
@@ -87,6 +87,10 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_ngram_join": op2_ngram_join,
@@ -94,6 +98,7 @@ QUERIES = {
     "op5_toxicity": op5_toxicity,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_suffix_dedup": op8_suffix_dedup,
+    "op9_html_extract": op9_html_extract,
 }
 ORACLE = {
     "op1_decontamination": OP1_SQL,
