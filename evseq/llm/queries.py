@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evseq.llm import decontaminate, exact_dedup, html_extract, ngram_join, quality, suffix_dedup, toxicity
+from evseq.llm import decontaminate, exact_dedup, html_extract, ngram_join, pii, quality, suffix_dedup, toxicity
 from evseq.llm.common import table
 
 
@@ -76,6 +76,16 @@ from documents d join (
 ) g on coalesce(d.text, '') = g.t
 """
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        *[pii.count_of(k).alias(f"n_{k}") for k in pii.BASE],
+        F.sha2(F.encode(pii.joined(F.col("base")), "UTF-8"), 256).alias("base_sha256"),
+        pii.joined(F.col("spans")).alias("spans"),
+    )
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     return cut.select(
@@ -97,6 +107,7 @@ QUERIES = {
     "op4_quality": op4_quality,
     "op5_toxicity": op5_toxicity,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_pii": op7_pii,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_html_extract": op9_html_extract,
 }
