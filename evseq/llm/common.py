@@ -37,3 +37,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = shared_dir(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def tokenizer_path(name: str) -> str:
+    """Place of a public tokenizer's file; operators take the path as a parameter."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)

@@ -21,7 +21,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from evseq.llm.common import pick, written
+from evseq.llm.common import pick, positional, written
 
 
 def md5_128(text: Column) -> Column:
@@ -48,7 +48,8 @@ def duplicate_groups(
     keep: str = "smallest",
     content_hash: Callable[[Column], Column] = md5_128,
 ) -> DataFrame:
-    """Every row: doc_id, keep_id, group_size, kept, text_sha256."""
+    """Every row: doc_id, keep_id, group_size, kept, text_sha256, keep_rows (rows
+    of the group with the keeper's id)."""
     base = pick(docs, id=id_col, text=text_col).withColumn("text", F.coalesce("text", F.lit("")))
     hashed = base.withColumn("h", content_hash(F.col("text")))
     narrow = written(
@@ -78,4 +79,19 @@ def duplicate_groups(
         "group_size",
         _same("id", "best.id").alias("kept"),
         "text_sha256",
+        F.col("best.n").alias("keep_rows"),
     )
+
+
+def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
+    """One row of each group of equal texts, all columns as they were."""
+    found = written(duplicate_groups(docs, id_col, text_col, **kw), "exact-groups")
+    renamed, names = positional(docs, id=id_col, text=text_col)
+    sha = F.sha2(F.encode(F.coalesce("__text", F.lit("")), "UTF-8"), 256)
+    gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("g_id"), F.col("text_sha256").alias("g_sha")).distinct()
+    marked = renamed.withColumn("__sha", sha)
+    left = marked.join(gone, _same("__id", "g_id") & (F.col("__sha") == F.col("g_sha")), "left_anti")
+    if (found.agg(F.max("keep_rows")).first()[0] or 0) > 1:
+        # rows that repeat a keeper's id and text
+        left = left.dropDuplicates(["__id", "__sha"])
+    return left.drop("__sha").toDF(*names)

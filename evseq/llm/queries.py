@@ -9,8 +9,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evseq.llm import decontaminate, exact_dedup, html_extract, ngram_join, pii, quality, suffix_dedup, toxicity
-from evseq.llm.common import table
+from evseq.llm import (
+    decontaminate,
+    exact_dedup,
+    html_extract,
+    ngram_join,
+    pii,
+    quality,
+    sentencepiece_codec,
+    suffix_dedup,
+    toxicity,
+)
+from evseq.llm.common import table, tokenizer_path
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,7 +76,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.duplicate_groups(table(spark, sf_dir, "documents"), keep="largest")
+    return exact_dedup.duplicate_groups(table(spark, sf_dir, "documents"), keep="largest").drop("keep_rows")
 
 
 OP6_SQL = """
@@ -101,6 +111,10 @@ def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.round_trip(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_ngram_join": op2_ngram_join,
@@ -110,6 +124,7 @@ QUERIES = {
     "op7_pii": op7_pii,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_html_extract": op9_html_extract,
+    "op10_sentencepiece": op10_sentencepiece,
 }
 ORACLE = {
     "op1_decontamination": OP1_SQL,
