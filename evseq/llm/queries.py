@@ -18,6 +18,7 @@ from evseq.llm import (
     quality,
     sentencepiece_codec,
     suffix_dedup,
+    token_files,
     toxicity,
 )
 from evseq.llm.common import table, tokenizer_path
@@ -67,6 +68,10 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_digests(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -118,6 +123,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_ngram_join": op2_ngram_join,
+    "op3_token_files": op3_token_files,
     "op4_quality": op4_quality,
     "op5_toxicity": op5_toxicity,
     "op6_exact_dedup": op6_exact_dedup,
