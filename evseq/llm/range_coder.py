@@ -151,7 +151,7 @@ class _Reader(_Coder):
     def _take(self, lane, lo, sp, code) -> None:
         def move(w, lo):
             source = lane[w]
-            code[w] = ((code[w] << 16) & MASK) | self.words[self.at[source]]
+            code[w] = ((code[w] << 16) & MASK) | self.words[np.minimum(self.at[source], len(self.words) - 1)]
             self.at[source] += 1
 
         self._narrow(lane, lo, sp, move)
@@ -163,7 +163,7 @@ class _Reader(_Coder):
         lo, code = self.low[lane], self.code[lane]
         total = counts[:, -1].astype(np.int64)
         r = self.span[lane] // total
-        value = np.minimum((code - lo) // r, total - 1).astype(np.uint16)
+        value = np.clip((code - lo) // r, 0, total - 1).astype(np.uint16)  # in bounds even in damaged blocks
         symbol = np.count_nonzero(counts <= value[:, None], axis=1)
         flat, j = counts.ravel(), self.index[: len(row)] * k + symbol
         high = flat[j].astype(np.int64)
@@ -175,7 +175,7 @@ class _Reader(_Coder):
     def plain(self, lane) -> np.ndarray:
         lo, code = self.low[lane], self.code[lane]
         r = self.span[lane] >> 16
-        value = np.minimum((code - lo) // r, 0xFFFF)
+        value = np.clip((code - lo) // r, 0, 0xFFFF)
         self._take(lane, lo + r * value, r, code)
         return value
 
