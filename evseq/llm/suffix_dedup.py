@@ -28,7 +28,7 @@ bytes lose nothing; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
+import functools
 import math
 from collections import defaultdict
 from collections.abc import Iterator
@@ -44,11 +44,12 @@ LENGTH = 100
 GRAM = 20
 HOT = 20_000  # occurrences of an anchor that may meet in one task
 SHARD_RUNS = 50_000  # runs in a shard, on average
-BUFFER = 4 << 20  # bytes hashed at once; positions in it take 24 bits
+BUFFER = 1 << 18  # bytes hashed at once, few enough for the cache; positions in it take 24 bits
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
+@functools.lru_cache(maxsize=4)
 def _powers(base: int, n: int) -> np.ndarray:
     out = np.full(n, base, dtype=np.uint64)
     out[:1] = 1
@@ -58,7 +59,8 @@ def _powers(base: int, n: int) -> np.ndarray:
 def gram_hashes(data: np.ndarray, k: int) -> np.ndarray:
     """64-bit hash of the k bytes at each position."""
     n = len(data)
-    up, down = _powers(_BASE, n), _powers(_INVERSE, n)
+    room = -(-n // BUFFER) * BUFFER  # few sizes, so that the tables are kept
+    up, down = _powers(_BASE, room)[:n], _powers(_INVERSE, room)[:n]
     prefix = np.zeros(n + 1, dtype=np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up, out=prefix[1:])
     h = (prefix[k:] - prefix[: n - k + 1]) * down[: n - k + 1]
@@ -129,58 +131,52 @@ def _runs_of(pieces: list[tuple[int, int, bytes]], length: int, k: int):
 class SuffixArray:
     """Suffixes of ``data`` at ``positions``, sorted, with neighbours' common prefixes.
 
-    ``room``: bytes each suffix may use (to the end of its run).
+    ``room``: bytes each suffix may use (to the end of its run, so at most
+    twice the string length, which bounds the sort keys).  Suffixes whose first
+    ``shortest`` bytes are alone, by their rolling hash, are left out first.
     """
 
-    def __init__(self, data: bytes, positions: np.ndarray, room: np.ndarray):
-        n = len(data)
-        padded = np.frombuffer(data + b"\xff" * 512, np.uint8)
-        key = np.zeros(n + 504, dtype=np.uint64)
-        for j in range(8):
-            key = (key << np.uint64(8)) | padded[j : j + n + 504].astype(np.uint64)
-        self.levels = [(8, np.unique(key, return_inverse=True)[1].astype(np.uint32))]
-        size = 8
-        while size < max(int(room.max(initial=0)), 8):
-            rank = self.levels[-1][1]
-            far = np.concatenate([rank[size:], np.full(size, rank[-1], np.uint32)])
-            both = (rank.astype(np.uint64) << np.uint64(32)) | far
-            size *= 2
-            self.levels.append((size, np.unique(both, return_inverse=True)[1].astype(np.uint32)))
-        order = np.argsort(self.levels[-1][1][positions], kind="stable")
-        self.positions, room = positions[order], room[order]
-        a, b = self.positions[:-1].copy(), self.positions[1:].copy()
-        common = np.zeros(len(a), dtype=np.int64)
-        top = len(self.levels[0][1]) - 1
-        for size, rank in reversed(self.levels):
-            same = rank[np.minimum(a, top)] == rank[np.minimum(b, top)]
-            step = np.where(same, size, 0)
-            common, a, b = common + step, a + step, b + step
-        for _ in range(7):
-            same = padded[np.minimum(a, len(padded) - 1)] == padded[np.minimum(b, len(padded) - 1)]
-            live = same if _ == 0 else live & same  # noqa: F821
-            common, a, b = common + live, a + live, b + live
-        self.common = np.minimum(common, np.minimum(room[:-1], room[1:]))
-
-
-def maximal_repeats(sa: SuffixArray, left: np.ndarray, shortest: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(length, indices into ``sa.positions``) of every maximal repeat.
+    def __init__(self, data: bytes, positions: np.ndarray, room: np.ndarray, shortest: int):
+        h = gram_hashes(np.frombuffer(data, np.uint8), shortest)[positions]
+        _, inverse, count = np.unique(h, return_inverse=True, return_counts=True)
+        twice = count[inverse] > 1
+        starts, room = positions[twice], room[twice]
+        suffixes = [data[p : p + r] for p, r in zip(starts.tolist(), room.tolist())]
+        order = np.array(sorted(range(len(suffixes)), key=suffixes.__getitem__), dtype=np.int64)
+        self.positions = starts[order]
+        room = room[order]
+        limit = np.minimum(room[:-1], room[1:])
+        raw = np.frombuffer(data, np.uint8)
+        self.common = np.zeros(len(limit), dtype=np.int64)
+        live = np.arange(len(limit))
+        a, b = self.positions[:-1], self.positions[1:]
+        step = 0
+        while len(live):
+            live = live[(limit[live] > step)]
+            live = live[raw[a[live] + step] == raw[b[live] + step]]
+            step += 1
+            self.common[live] = step
+
+
+def maximal_repeats(sa: SuffixArray, left: list[int], shortest: int) -> Iterator[tuple[int, int, int]]:
+    """(length, first, last index in ``sa.positions``) of every maximal repeat.
 
     ``left``: the byte before each sorted suffix, or -1 where a run starts.
     The stack holds the open common-prefix intervals as (length, first index).
     """
     deep = sa.common >= shortest
     edge = np.diff(np.concatenate([[0], deep.astype(np.int8), [0]]))
+    common = sa.common.tolist()
     for lo, hi in zip(np.nonzero(edge == 1)[0].tolist(), np.nonzero(edge == -1)[0].tolist()):
         # suffixes lo..hi share at least the shortest length
-        common = sa.common[lo:hi].tolist()
         stack: list[tuple[int, int]] = []
-        for i, depth in enumerate([*common, -1]):
-            begin = i
+        for i in range(lo, hi + 1):
+            depth, begin = common[i] if i < hi else -1, i
             while stack and stack[-1][0] > depth:
                 length, begin = stack.pop()
-                before = left[lo + begin : lo + i + 1]
-                if before[0] < 0 or (before != before[0]).any() or (before < 0).any():
-                    yield length, np.arange(lo + begin, lo + i + 1)
+                before = set(left[begin : i + 1])
+                if len(before) > 1 or -1 in before:
+                    yield length, begin, i
             if depth >= 0 and (not stack or stack[-1][0] < depth):
                 stack.append((depth, begin))
 
@@ -205,18 +201,18 @@ def covered_in_shard(rows: list[tuple], length: int) -> dict[int, list[tuple[int
     entry = np.repeat(np.arange(len(entries)), n_windows)
     offset = np.arange(n_windows.sum()) - np.repeat(np.cumsum(n_windows) - n_windows, n_windows)
     position = begin[entry] + offset
-    sa = SuffixArray(data, position, size[entry] - offset)
+    sa = SuffixArray(data, position, size[entry] - offset, length)
     raw = np.frombuffer(data, np.uint8)
     which = np.searchsorted(begin, sa.positions, side="right") - 1
     at = sa.positions - begin[which]
-    left = np.where(at > 0, raw[np.maximum(sa.positions - 1, 0)].astype(np.int16), -1)
-    rank = np.array([e[0] for e in entries])[which]
-    start = np.array([e[1] for e in entries])[which] + at
-    for depth, members in maximal_repeats(sa, left, length):
-        first = members[np.lexsort((start[members], rank[members]))[0]]
-        for i in members.tolist():
-            if i != first:
-                spans[int(rank[i])].append((int(start[i]), int(start[i]) + depth))
+    left = np.where(at > 0, raw[np.maximum(sa.positions - 1, 0)].astype(np.int16), -1).tolist()
+    place = [(entries[w][0], entries[w][1] + o) for w, o in zip(which.tolist(), at.tolist())]
+    for depth, lo, hi in maximal_repeats(sa, left, length):
+        group = place[lo : hi + 1]
+        first = min(group)
+        for at_place in group:
+            if at_place != first:
+                spans[at_place[0]].append((at_place[1], at_place[1] + depth))
     return spans
 
 
@@ -278,25 +274,30 @@ def repeated_spans(
 
     def cut(batches, want_hot):
         for batch in batches:
-            for i in range(batch.num_rows):
-                raw = batch.column(2)[i].as_buffer().to_pybytes()
-                out_h, out_at, out_text = [], [], []
-                seen = set()
-                for r in batch.column(3)[i].as_py():
-                    if r["hot"] != want_hot or r["run"] in seen:
-                        continue  # rows equal in id and text name a run twice
-                    seen.add(r["run"])
-                    first, more = r["run"] >> 16, r["run"] & 0xFFFF
-                    for at, size in [(first + j, length) for j in range(more + 1)] if want_hot else [(first, more + length)]:
-                        out_h.append(r["h"])
-                        out_at.append(at)
-                        out_text.append(raw[at : at + size])
-                take = pa.array([i] * len(out_h), pa.int32())
-                if out_h:
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column(0).take(take), batch.column(1).take(take), pa.array(out_h, pa.int64()), pa.array(out_at, pa.int64()), pa.array(out_text, pa.binary())],
-                        ["id", "tie", "h", "start", "bytes"],
-                    )
+            runs = batch.column(3)
+            fields = runs.flatten()
+            ends = np.cumsum(runs.value_lengths().to_numpy(zero_copy_only=False))
+            h, run, hot_run = (fields.field(k).to_numpy(zero_copy_only=False) for k in range(3))
+            row = np.searchsorted(ends, np.arange(len(h)), side="right")
+            keep = hot_run == want_hot
+            # rows equal in id and text name a run twice
+            _, once = np.unique(np.stack([row[keep], run[keep]]), axis=1, return_index=True)
+            h, run, row = h[keep][once], run[keep][once], row[keep][once]
+            first, more = run >> 16, run & 0xFFFF
+            if want_hot:
+                each = np.repeat(np.arange(len(h)), more + 1)
+                j = np.arange(len(each)) - np.repeat(np.cumsum(more + 1) - more - 1, more + 1)
+                h, row, first, more = h[each], row[each], first[each] + j, np.zeros(len(each), np.int64)
+            texts = batch.column(2).to_pylist()
+            size = more + length
+            for at in range(0, len(h), 100_000):
+                part = slice(at, at + 100_000)
+                bytes_of = [texts[i][a : a + n] for i, a, n in zip(row[part].tolist(), first[part].tolist(), size[part].tolist())]
+                take = pa.array(row[part])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(take), batch.column(1).take(take), pa.array(h[part]), pa.array(first[part]), pa.array(bytes_of, pa.binary())],
+                    ["id", "tie", "h", "start", "bytes"],
+                )
 
     cut_schema = f"id {id_type}, tie long, h long, start long, bytes binary"
 
