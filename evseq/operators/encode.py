@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from evseq.functions.exprs import concat_text, one_hot
 from evseq.operators.aggregates import value_proportions
+from evseq.operators.joins import null_safe_join
 from evseq.operators.ordered import rank_in_groups
 
 
@@ -43,7 +44,7 @@ def merge_rare(
     else:
         raise ValueError(f"op must be '<' or '>', got {op!r}")
     flags = picked.filter(F.col(column).isNotNull()).select(*by, column, F.lit(True).alias("_hit"))
-    joined = df.join(flags, [*by, column], "left")
+    joined = null_safe_join(df, flags, [*by, column])  # flags hold no null category
     hit = F.coalesce(F.col("_hit"), F.lit(False))
     if op == "<":
         expr = F.when(hit, F.lit(other)).otherwise(F.col(column))
@@ -52,12 +53,12 @@ def merge_rare(
     return joined.withColumn(out, expr).drop("_hit").select(*df.columns, *([out] if out not in df.columns else []))
 
 
-def sorted_code_map(df: DataFrame, column: str, by: Sequence[str] = (), code: str = "code", strategy: str = "direct") -> DataFrame:
+def sorted_code_map(df: DataFrame, column: str, by: Sequence[str] = (), code: str = "code", strategy: str = "halo") -> DataFrame:
     """W6/M6/M7 mapping: (by..., value, code) with 0-based codes in byte order.
 
     Ranks the distinct-value table (values are unique per group, so the row
-    position is the dense rank); ``strategy='halo'`` ranks a high-cardinality
-    column over a range partitioning instead of one window per group."""
+    position is the dense rank) over a range partitioning, so a column of many
+    values is ranked by many tasks."""
     distinct = df.select(*by, column).filter(F.col(column).isNotNull()).distinct()
     ranked = rank_in_groups(distinct, list(by), [column], code, strategy)
     return ranked.withColumn(code, F.col(code).cast("int"))
@@ -66,11 +67,11 @@ def sorted_code_map(df: DataFrame, column: str, by: Sequence[str] = (), code: st
 def sorted_code(df: DataFrame, column: str, out: str, by: Sequence[str] = ()) -> DataFrame:
     """Dense code of sorted values within a group (null -> null)."""
     m = sorted_code_map(df, column, by, code=out)
-    return df.join(m, [*by, column], "left").select(*df.columns, out)
+    return null_safe_join(df, m, [*by, column]).select(*df.columns, out)
 
 
 def first_seen_code_map(
-    df: DataFrame, column: str, order_by: Sequence[str], by: Sequence[str] = (), code: str = "code", strategy: str = "direct"
+    df: DataFrame, column: str, order_by: Sequence[str], by: Sequence[str] = (), code: str = "code", strategy: str = "halo"
 ) -> DataFrame:
     """W7 mapping: codes by order of first appearance under ``order_by``
     (``strategy`` as in ``sorted_code_map``)."""
@@ -86,7 +87,7 @@ def first_seen_code_map(
 def first_seen_code(df: DataFrame, column: str, order_by: Sequence[str], out: str, by: Sequence[str] = ()) -> DataFrame:
     """Categorical code by first appearance (null -> null)."""
     m = first_seen_code_map(df, column, order_by, by, code=out)
-    return df.join(m, [*by, column], "left").select(*df.columns, out)
+    return null_safe_join(df, m, [*by, column]).select(*df.columns, out)
 
 
 def composite_category(df: DataFrame, parts: Sequence[str], out: str, order_by: Sequence[str], sep: str = "-", drop: bool = True) -> DataFrame:
@@ -100,7 +101,7 @@ def composite_category(df: DataFrame, parts: Sequence[str], out: str, order_by:
 def label_codes(df: DataFrame, column: str, by: Sequence[str], code: str) -> tuple[DataFrame, DataFrame]:
     """M6: per-group byte-order codes; returns (coded rows, mapping(by, code, name))."""
     m = sorted_code_map(df, column, by, code=code)
-    coded = df.join(m, [*by, column], "left")
+    coded = null_safe_join(df, m, [*by, column])
     mapping = m.select(*by, code, F.col(column).alias("name"))
     return coded, mapping
 

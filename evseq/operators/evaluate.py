@@ -130,7 +130,13 @@ def entity_metrics(scored: DataFrame, classes: DataFrame, mapping: DataFrame, by
         n.alias("_n"),
         F.try_divide(F.sum("tp"), n).alias("accuracy"),  # entities without rows are dropped below
         F.try_divide(F.sum("topk"), n).alias("top2_accuracy"),
-        F.map_from_entries(F.collect_list(F.struct("name", "support"))).alias("class_distribution"),
+        # entries in class order, whatever order the rows arrive in
+        F.map_from_entries(
+            F.transform(
+                F.sort_array(F.collect_list(F.struct("class", "name", "support"))),
+                lambda e: F.struct(e["name"].alias("name"), e["support"].alias("support")),
+            )
+        ).alias("class_distribution"),
     )
     return (
         per_entity.filter(F.col("_n") > 0)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from evseq.operators.aggregates import group_median, scaler_stats
 from evseq.operators.filters import drop_nulls
+from evseq.operators.joins import null_safe_join
 from evseq.operators.ordered import ordered_fill, ordered_window
 from evseq.operators.quantiles import exact_quantiles_many
 
@@ -27,7 +28,7 @@ def lead(
     order_by: Sequence[str],
     partition_by: Sequence[str] = (),
     offset: int = 1,
-    strategy: str = "auto",
+    strategy: str = "halo",
     **kw,
 ) -> DataFrame:
     """W1 (no partition, global order) / W2 (in partition): value ``offset`` rows ahead."""
@@ -45,7 +46,7 @@ def rolling_mean(
     order_by: Sequence[str],
     partition_by: Sequence[str] = (),
     suffix: str = "_rolling_mean",
-    strategy: str = "auto",
+    strategy: str = "halo",
     **kw,
 ) -> DataFrame:
     """Mean of the last ``window`` rows incl. the current one over
@@ -58,12 +59,12 @@ def rolling_mean(
     return ordered_window(df, partition_by, order_by, build, before=window - 1, after=0, strategy=strategy, **kw)
 
 
-def fill_backward(df: DataFrame, column: str, out: str, order_by: Sequence[str], partition_by: Sequence[str] = (), strategy: str = "auto", **kw) -> DataFrame:
+def fill_backward(df: DataFrame, column: str, out: str, order_by: Sequence[str], partition_by: Sequence[str] = (), strategy: str = "halo", **kw) -> DataFrame:
     """Current or next non-null value in the partition (looks ahead)."""
     return ordered_fill(df, partition_by, order_by, column, out, "backward", True, strategy=strategy, **kw)
 
 
-def last_value_before(df: DataFrame, column: str, out: str, order_by: Sequence[str], partition_by: Sequence[str] = (), strategy: str = "auto", **kw) -> DataFrame:
+def last_value_before(df: DataFrame, column: str, out: str, order_by: Sequence[str], partition_by: Sequence[str] = (), strategy: str = "halo", **kw) -> DataFrame:
     """Last non-null value strictly before the row (leak-free)."""
     return ordered_fill(df, partition_by, order_by, column, out, "forward", False, strategy=strategy, **kw)
 
@@ -71,17 +72,7 @@ def last_value_before(df: DataFrame, column: str, out: str, order_by: Sequence[s
 def group_stat_to_rows(df: DataFrame, by: Sequence[str], column: str, out: str) -> DataFrame:
     """Exact group median attached to every row (distributed quantile + join, not a window)."""
     med = group_median(df, by, column, out)
-    return _null_safe_join(df, med, by).select(*df.columns, out)
-
-
-def _null_safe_join(df: DataFrame, stats: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Left join on group keys where a null key is a group of its own."""
-    s = stats.select(*[F.col(k).alias(f"_k_{k}") for k in by], *[c for c in stats.columns if c not in by])
-    cond = None
-    for k in by:
-        term = df[k].eqNullSafe(s[f"_k_{k}"])
-        cond = term if cond is None else cond & term
-    return df.join(s, cond, "left").drop(*[f"_k_{k}" for k in by])
+    return null_safe_join(df, med, by).select(*df.columns, out)
 
 
 def impute_group_median(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -89,7 +80,7 @@ def impute_group_median(df: DataFrame, by: Sequence[str], columns: Sequence[str]
     distributed quantile pass; a null group key is a group)."""
     q = exact_quantiles_many(df, columns, [0.5], by)
     meds = q.groupBy(*by).agg(*[F.max(F.when(F.col("column") == c, F.col("value"))).alias(f"_med_{c}") for c in columns])
-    joined = _null_safe_join(df, meds, by)
+    joined = null_safe_join(df, meds, by)
     filled = joined.withColumns(
         {c: F.coalesce(F.col(c), F.col(f"_med_{c}").cast(df.schema[c].dataType)) for c in columns}
     )
@@ -102,7 +93,7 @@ def next_event_target(
     out: str,
     order_by: Sequence[str],
     partition_by: Sequence[str] = (),
-    strategy: str = "auto",
+    strategy: str = "halo",
     **kw,
 ) -> DataFrame:
     """Next value in the partition; rows without a target (or without a

@@ -18,10 +18,12 @@ from evseq.operators.joins import semi_join
 
 def recent_years(df: DataFrame, date_col: str, n_years: int, year_col: str | None = None) -> DataFrame:
     """keep ``year(date_col) >= max(year) - n_years`` (inclusive, so n+1 years)."""
+    # scalar subquery: one partial aggregate (from file statistics where the
+    # format has them); the bound is on the bare column, so it reaches the scan
+    first_year = F.year(F.max(date_col)) - F.lit(n_years)
+    bound = df.select(F.make_date(first_year, F.lit(1), F.lit(1)).cast(df.schema[date_col].dataType)).scalar()
+    out = df.filter(F.col(date_col) >= bound)
     yr = F.year(F.col(date_col)).cast("int")
-    # scalar subquery: one partial aggregate, its single value inlined in the filter
-    mx = df.select(F.max(yr)).scalar()
-    out = df.filter(yr >= mx - F.lit(n_years))
     if year_col:
         out = out.withColumn(year_col, yr)
     return out
@@ -64,7 +66,7 @@ def top_k_keys(df: DataFrame, key: str, count_col: str, k: int) -> DataFrame:
 
 def rows_of_top_k(df: DataFrame, key: str, count_col: str, k: int) -> DataFrame:
     """Rows of the top-k keys (semi join with a k-row broadcast side)."""
-    return semi_join(df, top_k_keys(df, key, count_col, k).select(key), key, bound_rows=k)
+    return semi_join(df, top_k_keys(df, key, count_col, k).select(key), key)
 
 
 def drop_duplicates(df: DataFrame, subset: Sequence[str] | None = None, keep_first_by: Sequence[str] | None = None) -> DataFrame:

@@ -1,40 +1,33 @@
-"""Lookup joins (J1-J4) and the broadcast policy.
+"""Lookup joins.
 
-Broadcast policy: a side is hinted for broadcast only when its row count has a
-bound known before execution (``bound_rows``: a top-k list, one scalar row, a
-class list).  Any other lookup table is joined plainly; with AQE on, Spark
-measures the built side at runtime and switches to a broadcast hash join only
-when it is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``, otherwise
-it stays a shuffled join (with skew-join splitting).  So nothing is broadcast
-on a guess.
+No join carries a broadcast hint: with AQE on, Spark measures the built side at
+runtime and switches to a broadcast hash join only when its bytes are under
+``spark.sql.adaptive.autoBroadcastJoinThreshold``; otherwise it stays a shuffled
+join (with skew-join splitting).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows a hinted broadcast may hold when its bound is structural (k, classes, 1).
-BROADCAST_MAX_ROWS = 1_000_000
 
-
-def join_lookup(
-    big: DataFrame,
-    small: DataFrame,
-    on: str | Sequence[str] | Column,
-    how: str = "left",
-    bound_rows: int | None = None,
-) -> DataFrame:
-    if bound_rows is not None and bound_rows <= BROADCAST_MAX_ROWS:
-        small = F.broadcast(small)
-    return big.join(small, on, how)
+def null_safe_join(df: DataFrame, other: DataFrame, by: Sequence[str], how: str = "left") -> DataFrame:
+    """Join on group keys where a null key is a group of its own; the result
+    has the columns of ``df`` and then those of ``other`` that are no keys."""
+    s = other.select(*[F.col(k).alias(f"_k_{k}") for k in by], *[c for c in other.columns if c not in by])
+    cond = None
+    for k in by:
+        term = df[k].eqNullSafe(s[f"_k_{k}"])
+        cond = term if cond is None else cond & term
+    return df.join(s, cond, how).drop(*[f"_k_{k}" for k in by])
 
 
-def semi_join(big: DataFrame, keys: DataFrame, on: str | Sequence[str], bound_rows: int | None = None) -> DataFrame:
+def semi_join(big: DataFrame, keys: DataFrame, on: str | Sequence[str]) -> DataFrame:
     """Rows of ``big`` whose key is in ``keys`` (null keys never match)."""
-    return join_lookup(big, keys.select(*([on] if isinstance(on, str) else on)), on, "left_semi", bound_rows)
+    return big.join(keys.select(*([on] if isinstance(on, str) else on)), on, "left_semi")
 
 
 def strict_lookup(

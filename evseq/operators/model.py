@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from evseq.functions.exprs import argmax, clip
 from evseq.operators.aggregates import balanced_class_weights
-from evseq.operators.joins import join_lookup
+from evseq.operators.joins import null_safe_join
 from evseq.operators.ordered import ordered_window
 
 EPSILON = 1e-7  # probability clip for the losses (the usual backend epsilon)
@@ -53,7 +53,7 @@ def with_contexts(
     k: int,
     order_by: Sequence[str],
     partition_by: Sequence[str],
-    strategy: str = "auto",
+    strategy: str = "halo",
     **kw,
 ) -> DataFrame:
     """Add ``ctx_0..ctx_k``: the last j codes of the group ending at the row."""
@@ -80,7 +80,7 @@ def transition_table(counts: DataFrame, classes: DataFrame, by: Sequence[str], a
         F.map_from_entries(F.collect_list(F.struct("next", "count"))).alias("_counts"),
         F.sum("count").alias("total"),
     )
-    j = agg.join(classes, list(by), "inner")
+    j = null_safe_join(agg, classes, list(by), "inner")
     c = F.col("n_classes")
     p = F.transform(
         F.sequence(F.lit(0), c - 1),
@@ -101,19 +101,14 @@ def score_transitions(
     by: Sequence[str],
     k: int,
     alpha: float,
-    model_rows: int | None = None,
 ) -> DataFrame:
     """L1 scoring / L4: ``p`` from the longest context seen in training, the
-    uniform prior ``alpha / (alpha * C)`` when even order 0 is unseen.
-
-    ``model_rows`` is the measured row count of a written model table: under
-    the broadcast bound the k+1 back-off joins broadcast it, above it they
-    stay shuffled joins."""
+    uniform prior ``alpha / (alpha * C)`` when even order 0 is unseen."""
     out = ctx_rows
     for j in range(k, -1, -1):
         mj = model.filter(F.col("order") == j).select(*by, F.col("context").alias(f"ctx_{j}"), F.col("p").alias(f"_p{j}"))
-        out = join_lookup(out, mj, [*by, f"ctx_{j}"], "left", bound_rows=model_rows)
-    out = out.join(classes, list(by), "left")
+        out = null_safe_join(out, mj.filter(F.col(f"ctx_{j}").isNotNull()), [*by, f"ctx_{j}"])
+    out = null_safe_join(out, classes, list(by))
     uniform = F.transform(F.sequence(F.lit(0), F.col("n_classes") - 1), lambda i: F.lit(1.0) / F.col("n_classes"))
     used = F.coalesce(*[F.when(F.col(f"_p{j}").isNotNull(), F.lit(j)) for j in range(k, -1, -1)])
     p = F.coalesce(*[F.col(f"_p{j}") for j in range(k, -1, -1)], uniform)
@@ -124,7 +119,7 @@ def score_transitions(
 def sample_weights(rows: DataFrame, train_rows: DataFrame, label: str, by: Sequence[str], weight: str = "weight") -> DataFrame:
     """L3: balanced class weights (from the train rows) attached to each row by label."""
     w = balanced_class_weights(train_rows, label, by, weight).select(*by, label, weight)
-    return rows.join(w, [*by, label], "left")
+    return null_safe_join(rows, w.filter(F.col(label).isNotNull()), [*by, label])
 
 
 def prob_of_true(p: str = "p", y: str = "y") -> Column:
@@ -164,9 +159,11 @@ def fit_logistic(
     label: str,
     weight: str | None = None,
     reg_param: float = 0.0,
-    max_iter: int = 50,
+    max_iter: int = 1000,
+    tol: float = 1e-6,
 ):
-    """L2: multinomial logistic regression (MLlib) on an array<double> feature column."""
+    """L2: multinomial logistic regression (MLlib) on an array<double> feature
+    column.  The fit stops by ``tol``; ending at ``max_iter`` raises."""
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.functions import array_to_vector
 
@@ -177,13 +174,17 @@ def fit_logistic(
         family="multinomial",
         regParam=reg_param,
         maxIter=max_iter,
+        tol=tol,
         probabilityCol="_prob",
         predictionCol="_pred",
         rawPredictionCol="_raw",
     )
     if weight:
         lr.setWeightCol(weight)
-    return lr.fit(data)
+    model = lr.fit(data)
+    if model.summary.totalIterations >= max_iter:
+        raise RuntimeError(f"the fit did not converge in {max_iter} steps")
+    return model
 
 
 def score_logistic(model, rows: DataFrame, features: str) -> DataFrame:

@@ -8,20 +8,21 @@ for fills whose carry can be summarised per block, this module computes the
 same result in bounded pieces:
 
 1. ``repartitionByRange(n, G + O)`` + ``sortWithinPartitions`` spreads even a
-   single hot group over many partitions in order; the frame is cut from the
-   lineage with ``checkpoint()`` (reliable, into ``spark.checkpoint.dir``) so
+   single hot group over many partitions in order; the rows are written with
+   their partition and index (Parquet, below ``spark.checkpoint.dir``) so
    sampled range bounds and row positions are fixed once.
 2. A global position ``_gpos`` = index inside the Spark partition
    (``monotonically_increasing_id`` low bits) + offset of the partition.  The
-   offsets come from an aggregate with one row per Spark partition, so the
-   broadcast of it is bounded by the partition count.
+   offsets come from an aggregate with one row per Spark partition.
 3. ``_blk = _gpos div B``; the last ``before`` rows of every block are copied to
    the next block, the first ``after`` rows to the previous one (halo).
 4. The window runs partitioned by ``(G, _blk)``: at most ``B + before + after``
    rows per window partition, whatever the group sizes.  Copies are dropped.
 
-``strategy='auto'`` checks the largest group with one aggregate and uses a
-plain window when every group is below ``max_group_rows``.
+This is the one path of every operator here.  A caller whose groups are small by
+the meaning of the data (the events of one game) may name ``strategy='direct'``,
+a plain window per group; nothing is measured and both give the same rows, null
+group keys included.
 """
 
 from __future__ import annotations
@@ -31,14 +32,14 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from evseq.session import ensure_checkpoint_dir
+from evseq.operators.joins import null_safe_join
+from evseq.session import materialize
 
 GPOS = "_gpos"
 BLK = "_blk"
 OWN = "_own"
 
 DEFAULT_BLOCK_ROWS = 1_000_000
-DEFAULT_MAX_GROUP_ROWS = 2_000_000
 
 WindowBuilder = Callable[[WindowSpec], Mapping[str, Column]]
 
@@ -54,7 +55,6 @@ def with_global_position(
     order_by: Sequence[str],
     partition_by: Sequence[str] = (),
     n_partitions: int | None = None,
-    checkpoint: bool = True,
 ) -> DataFrame:
     """Add ``_gpos``: 0-based position of the row in ``(partition_by, order_by)`` order.
 
@@ -63,14 +63,11 @@ def with_global_position(
     keys = [*partition_by, *order_by]
     n = _n_partitions(df, n_partitions)
     ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-    if checkpoint:
-        ensure_checkpoint_dir(df.sparkSession)
-        ranged = ranged.checkpoint(eager=True)
-    mid = ranged.withColumn("_mid", F.monotonically_increasing_id())
+    mid = materialize(ranged.withColumn("_mid", F.monotonically_increasing_id()), "ordered")
     mid = mid.withColumn("_pid", F.shiftright("_mid", 33)).withColumn(
         "_idx", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
     )
-    # one row per Spark partition: bounded by the partition count, safe to broadcast
+    # one row per Spark partition
     sizes = mid.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = sizes.select(
         "_pid",
@@ -78,7 +75,7 @@ def with_global_position(
             "_off"
         ),
     )
-    out = mid.join(F.broadcast(offsets), "_pid").withColumn(GPOS, F.col("_idx") + F.col("_off"))
+    out = mid.join(offsets, "_pid").withColumn(GPOS, F.col("_idx") + F.col("_off"))
     return out.drop("_mid", "_pid", "_idx", "_off")
 
 
@@ -98,22 +95,6 @@ def _with_blocks(df: DataFrame, block_rows: int, before: int, after: int) -> Dat
     return df.withColumn("_e", F.explode(copies)).select(*df.columns, "_e.*")
 
 
-def max_group_rows(df: DataFrame, partition_by: Sequence[str]) -> int:
-    """Largest group size (one map-side-combined aggregate)."""
-    if not partition_by:
-        return df.count()
-    row = df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()
-    return int(row[0] or 0)
-
-
-def choose_strategy(df: DataFrame, partition_by: Sequence[str], strategy: str, max_rows: int) -> str:
-    if strategy != "auto":
-        return strategy
-    if not partition_by:
-        return "halo"
-    return "direct" if max_group_rows(df, partition_by) <= max_rows else "halo"
-
-
 def ordered_window(
     df: DataFrame,
     partition_by: Sequence[str],
@@ -121,9 +102,8 @@ def ordered_window(
     build: WindowBuilder,
     before: int,
     after: int,
-    strategy: str = "auto",
+    strategy: str = "halo",
     block_rows: int = DEFAULT_BLOCK_ROWS,
-    max_rows: int = DEFAULT_MAX_GROUP_ROWS,
     n_partitions: int | None = None,
 ) -> DataFrame:
     """Add the columns ``build(w)`` returns, where ``w`` is the window
@@ -134,8 +114,7 @@ def ordered_window(
     ``rowsBetween(-4, 0)`` needs ``before>=4``).
     """
     G, O = list(partition_by), list(order_by)
-    how = choose_strategy(df, G, strategy, max_rows)
-    if how == "direct":
+    if strategy == "direct":
         w = Window.partitionBy(*G).orderBy(*O) if G else Window.orderBy(*O)
         return df.withColumns(dict(build(w)))
     pos = with_global_position(df, O, G, n_partitions=n_partitions)
@@ -153,9 +132,8 @@ def ordered_fill(
     out: str,
     direction: str = "backward",
     include_current: bool = True,
-    strategy: str = "auto",
+    strategy: str = "halo",
     block_rows: int = DEFAULT_BLOCK_ROWS,
-    max_rows: int = DEFAULT_MAX_GROUP_ROWS,
     n_partitions: int | None = None,
 ) -> DataFrame:
     """Gap fill inside ordered groups.
@@ -180,8 +158,7 @@ def ordered_fill(
         w = Window.partitionBy(*partition).orderBy(*keys) if partition else Window.orderBy(*keys)
         return F.last(value, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -start))
 
-    how = choose_strategy(df, G, strategy, max_rows)
-    if how == "direct":
+    if strategy == "direct":
         return df.withColumn(out, frame(G, O))
 
     pos = with_global_position(df, O, G, n_partitions=n_partitions)
@@ -198,7 +175,7 @@ def ordered_fill(
         carry_w = Window.partitionBy(*G).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
         carry = summary.select(*G, BLK, F.last("_edge", ignorenulls=True).over(carry_w).alias("_carry"))
     keys = [*G, BLK]
-    joined = local.join(carry, keys, "left")
+    joined = null_safe_join(local, carry, keys)
     res = joined.withColumn(out, F.coalesce(F.col("_local"), F.col("_carry")))
     return res.select(*df.columns, out)
 
@@ -208,16 +185,16 @@ def rank_in_groups(
     partition_by: Sequence[str],
     order_by: Sequence[str | Column],
     out: str,
-    strategy: str = "direct",
+    strategy: str = "halo",
     n_partitions: int | None = None,
 ) -> DataFrame:
     """0-based position of each row inside its group in ``order_by`` order
     (``order_by`` must make rows of a group distinct).
 
-    ``direct``: ``row_number`` over a window per group.  ``halo``: global
-    position over a range partitioning minus the group's first position (a
-    small per-group aggregate), so a group with very many rows is ranked by
-    many tasks."""
+    Global position over a range partitioning minus the group's first position
+    (a small per-group aggregate), so a group with very many rows is ranked by
+    many tasks.  ``direct``: ``row_number`` over a window per group, for groups
+    that are small by the meaning of the data."""
     G = list(partition_by)
     if strategy == "direct":
         w = (Window.partitionBy(*G) if G else Window.partitionBy()).orderBy(*order_by)
@@ -228,7 +205,7 @@ def rank_in_groups(
     pos = with_global_position(df, names, G, n_partitions=n_partitions)
     starts = pos.groupBy(*G).agg(F.min(GPOS).alias("_start"))
     if G:
-        ranked = pos.join(starts, G, "left")
+        ranked = null_safe_join(pos, starts, G)
     else:
         ranked = pos.withColumn("_start", starts.select(F.col("_start")).scalar())
     return ranked.withColumn(out, F.col(GPOS) - F.col("_start")).drop(GPOS, "_start")

@@ -1,9 +1,8 @@
 """Sliding windows and splits.
 
 A window of ``L`` rows is built as a bounded row frame, so it runs through
-``ordered.ordered_window``: per (entity, game) with a plain window when games
-are small, or over the halo blocks when a group is hot or there is no group
-(global windows).  Arrays hold structs (``collect_list`` of a struct keeps
+``ordered.ordered_window``: over halo blocks, or with a plain window per game
+when the caller says that groups are games.  Arrays hold structs (``collect_list`` of a struct keeps
 null fields) and are then projected into per-channel arrays.
 """
 
@@ -14,7 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from evseq.operators.ordered import DEFAULT_MAX_GROUP_ROWS, GPOS, choose_strategy, ordered_window, with_global_position
+from evseq.operators.joins import null_safe_join
+from evseq.operators.ordered import GPOS, ordered_window, with_global_position
 
 SPLITS = ("train", "val", "test")
 
@@ -29,7 +29,7 @@ def sliding_windows(
     label_offset: int = 0,
     drop_last: bool = False,
     keep: Sequence[str] = (),
-    strategy: str = "auto",
+    strategy: str = "halo",
     **kw,
 ) -> DataFrame:
     """Q1/Q2: one row per window of ``length`` consecutive rows.
@@ -75,7 +75,7 @@ def _field_as_int(name: str):
 
 
 def window_labels(
-    df: DataFrame, label: str, length: int, order_by: Sequence[str], partition_by: Sequence[str] = (), out: str = "y", strategy: str = "auto", **kw
+    df: DataFrame, label: str, length: int, order_by: Sequence[str], partition_by: Sequence[str] = (), out: str = "y", strategy: str = "halo", **kw
 ) -> DataFrame:
     """Q4: label ``length`` rows ahead in the group (the label of each window
     that ends before the group's last row); rows without one dropped."""
@@ -94,15 +94,13 @@ def chronological_split(
     held_out: float = 0.3,
     test_of_held: float = 0.5,
     out: str = "split",
-    strategy: str = "auto",
-    max_rows: int | None = None,
+    strategy: str = "halo",
 ) -> DataFrame:
     """Q5: first rows train, then val, then test, without shuffling.
     ``ceil(held_out * n)`` rows are held out, ``ceil(test_of_held * held)`` of
     them (the last ones) are test (float arithmetic, as the usual splitter)."""
     G, O = list(by), list(order_by)
-    how = choose_strategy(df, G, strategy, max_rows or DEFAULT_MAX_GROUP_ROWS)
-    if how == "direct":
+    if strategy == "direct":
         w = Window.partitionBy(*G).orderBy(*O) if G else Window.orderBy(*O)
         pos = df.withColumn("_rn", F.row_number().over(w) - 1)
         base = pos
@@ -113,11 +111,11 @@ def chronological_split(
         base = g
     # per-group size (and start): a join per group, or a scalar subquery without groups
     if G:
-        joined = base.join(sizes, G, "left")
+        joined = null_safe_join(base, sizes, G)
     else:
         one = sizes.select(F.struct(*sizes.columns).alias("_s")).scalar()
         joined = base.withColumns({c: one[c] for c in sizes.columns})
-    if how != "direct":
+    if strategy != "direct":
         joined = joined.withColumn("_rn", F.col(GPOS) - F.col("_start")).drop(GPOS, "_start")
     n = F.col("_cnt")
     held = F.ceil(F.lit(float(held_out)) * n)
@@ -137,15 +135,14 @@ def game_split_table(
     train: float = 0.8,
     val: float = 0.9,
     out: str = "split",
-    strategy: str = "direct",
+    strategy: str = "halo",
 ) -> DataFrame:
     """Q6: one row per game with its split: games ordered by first event
     (then game key); cuts at ``int(train * g)`` and ``int(val * g)``.
 
     The ranking runs on the games table (one row per game, from a partial
-    aggregate).  ``strategy='halo'`` ranks by global position over a range
-    partitioning instead of a window per entity, for entities with very many
-    games."""
+    aggregate), by global position over a range partitioning; ``direct`` is a
+    window per entity."""
     G = list(by)
     games = df.groupBy(*G, game).agg(F.min(F.struct(*[F.col(c) for c in order_by])).alias("_first"))
     if strategy == "direct":
@@ -156,7 +153,7 @@ def game_split_table(
         pos = with_global_position(games, ["_first", game], G)
         stats = pos.groupBy(*G).agg(F.min(GPOS).alias("_s"), F.count(F.lit(1)).alias("_g"))
         if G:
-            ranked = pos.join(stats, G, "left")
+            ranked = null_safe_join(pos, stats, G)
         else:
             one = stats.select(F.struct("_s", "_g")).scalar()
             ranked = pos.withColumns({"_s": one["_s"], "_g": one["_g"]})
@@ -170,7 +167,7 @@ def game_split_table(
 
 def rows_with_split(df: DataFrame, splits: DataFrame, game: str, by: Sequence[str] = (), only: str | None = None) -> DataFrame:
     """Attach the game's split to each row (one join), optionally keep one split."""
-    out = df.join(splits, [*by, game], "inner")
+    out = null_safe_join(df, splits, [*by, game], "inner")
     return out.filter(F.col("split") == only) if only else out
 
 

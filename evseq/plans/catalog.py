@@ -23,7 +23,6 @@ from evseq.operators import filters as FL
 from evseq.operators import joins as J
 from evseq.operators import model as L
 from evseq.operators import sequences as Q
-from evseq.operators.ordered import DEFAULT_MAX_GROUP_ROWS, choose_strategy
 from evseq.plans import sql as S
 from evseq.plans.stages import (
     HAND_CODES,
@@ -60,17 +59,12 @@ def register(name: str, sql: str | None = None):
 
 
 # ---------------------------------------------------------------- builders
-_STRATEGY: dict[tuple[str, tuple[str, ...]], str] = {}
-
-
-def _strategy(spark, sf, keys=(ENT, GAME)) -> str:
-    """Window strategy for groups ``keys``, decided once per dataset with one
-    aggregate on the raw scan (filters only shrink groups, so it is an upper
-    bound): plain windows when every group is small, halo blocks otherwise."""
-    k = (sf, tuple(keys))
-    if k not in _STRATEGY:
-        _STRATEGY[k] = choose_strategy(pitches(spark, sf), list(keys), "auto", DEFAULT_MAX_GROUP_ROWS)
-    return _STRATEGY[k]
+#: the rows of one game are few by the meaning of the data, so windows per game
+#: are plain windows; all others (per entity, global) run over halo blocks
+PER_GAME = "direct"
+#: rows of a halo block in the registered queries: small, so that the oracle
+#: crosses block edges at every scale (the operators' default is larger)
+BLOCK_ROWS = 1_000
 
 
 def _f(spark, sf):
@@ -83,19 +77,19 @@ def _coded(spark, sf):
 
 def _target(spark, sf, context_k=0):
     c, m = _coded(spark, sf)
-    return with_target(c, strategy=_strategy(spark, sf), context_k=context_k), m
+    return with_target(c, strategy=PER_GAME, context_k=context_k), m
 
 
 def _split(spark, sf):
     t, m = _target(spark, sf)
-    return split_by_game(t, strategy=_strategy(spark, sf, (ENT,))), m
+    return split_by_game(t), m
 
 
 def _scored(spark, sf, reused=True):
     """Scored rows; written (lineage cut) only when ``reused`` by several aggregates."""
     t, m = _target(spark, sf, context_k=2)  # contexts from the target's window node
-    s = split_by_game(t, strategy=_strategy(spark, sf, (ENT,)))
-    return transition_scores(s, m, strategy=_strategy(spark, sf), write_scores=reused), m
+    s = split_by_game(t, strategy="halo")
+    return transition_scores(s, m, strategy=PER_GAME, write_scores=reused), m
 
 
 def _test(spark, sf, reused=True):
@@ -163,20 +157,19 @@ METRICS_SQL = S.q(
 )
 
 
-def _metrics_rounded(spark, sf):
-    te, _ = _test(spark, sf)
-    acc = EV.accuracy(te, [ENT])
-    top2 = EV.top_k_accuracy(te, [ENT], 2)
-    return acc.join(top2, ENT).select(ENT, X.round6("accuracy").alias("accuracy"), X.round6("top2_accuracy").alias("top2_accuracy"))
-
-
 @register("S6_metrics_json", METRICS_SQL)
 def s6(spark, sf):
-    """Per-entity metrics as JSON (one folder per entity) plus the aggregate
-    summary next to them; the per-entity part is read back."""
+    """The evaluation written as JSON at full precision: metrics per entity
+    (one folder each), the report per entity and the summary.  The scores are
+    made once; the per-entity metrics are read back and rounded for the result."""
+    te, m = _test(spark, sf)
+    names = m.withColumnRenamed("pitch_type_code", "code")
+    met = materialize(EV.entity_metrics(te, classes_of(m), names, [ENT]), "metrics")
     base = shared_dir(spark, "s6")
-    io.write_json(_summary(spark, sf), f"{base}/summary")
-    return io.round_trip_json(spark, _metrics_rounded(spark, sf), f"{base}/entities", partition_by=[ENT])
+    io.write_json(EV.summary(met), f"{base}/summary")
+    io.write_json(EV.classification_report(te, classes_of(m), names, [ENT]), f"{base}/reports", partition_by=[ENT])
+    back = io.round_trip_json(spark, met, f"{base}/entities", partition_by=[ENT])
+    return back.select(ENT, X.round6("accuracy").alias("accuracy"), X.round6("top2_accuracy").alias("top2_accuracy"))
 
 
 SEQ_FEATURES = ["release_speed", "release_spin_rate", "effective_speed", "pitch_type_code"]
@@ -185,7 +178,7 @@ SEQ_FEATURES = ["release_speed", "release_spin_rate", "effective_speed", "pitch_
 def _windows(spark, sf, keep_split=True):
     s, _ = _split(spark, sf)
     w = Q.sliding_windows(
-        s, SEQ_FEATURES, "next_pitch_type_code", SEQ_LEN, ORDER, [ENT, GAME], keep=["event_id", "split"], strategy=_strategy(spark, sf)
+        s, SEQ_FEATURES, "next_pitch_type_code", SEQ_LEN, ORDER, [ENT, GAME], keep=["event_id", "split"], strategy=PER_GAME
     )
     return w
 
@@ -212,6 +205,9 @@ def _lr_inputs(spark, sf):
     """Flattened windows with the global name code as label (L2 inputs)."""
     s, m = _split(spark, sf)
     names = E.sorted_code_map(m.select(F.col("name").alias("label_name")), "label_name", code="label")
+    cols = [ENT, GAME, "event_id", *ORDER, "split", "pitch_type_code", "next_pitch_type_code", "release_speed", "release_spin_rate"]
+    s = materialize(s.select(*dict.fromkeys(cols)), "split")
+    s = W.standard_scale(s, ["release_speed", "release_spin_rate"], fit_on=F.col("split") == "train")
     s2 = s.join(
         m.select(ENT, F.col("pitch_type_code").alias("next_pitch_type_code"), F.col("name").alias("label_name")),
         [ENT, "next_pitch_type_code"],
@@ -219,18 +215,25 @@ def _lr_inputs(spark, sf):
     ).join(names, "label_name", "left")
     feats = ["release_speed", "release_spin_rate", "pitch_type_code"]
     w = Q.sliding_windows(
-        s2, feats, "label", SEQ_LEN, ORDER, [ENT, GAME], keep=["event_id", "split", "label_name"], strategy=_strategy(spark, sf)
+        s2, feats, "label", SEQ_LEN, ORDER, [ENT, GAME], keep=["event_id", "split", "label_name"], strategy=PER_GAME
     )
     w = Q.window_channels(w, feats, [])
-    flat = F.transform(F.flatten("x_num"), lambda v: F.coalesce(v, F.lit(-1.0)))
-    return w.withColumn("features", flat).withColumn("y", F.col("y").cast("double"))
+    flat = F.transform(F.flatten("x_num"), lambda v: F.coalesce(v, F.lit(0.0)))  # 0 is the scaled mean
+    w = w.withColumn("features", flat).withColumn("y", F.col("y").cast("double"))
+    return materialize(w.select(ENT, "event_id", "split", "label_name", "features", "y"), "windows")
+
+
+def _lr_fit(data):
+    """The fit of L2 and S8: balanced class weights of the training windows (L3)."""
+    train = data.filter(F.col("split") == "train")
+    return L.fit_logistic(L.sample_weights(train, train, "y", [], "weight"), "features", "y", weight="weight")
 
 
 @register("S8_training_history")
 def s8(spark, sf):
     data = _lr_inputs(spark, sf)
-    model = L.fit_logistic(data.filter(F.col("split") == "train"), "features", "y", max_iter=20)
-    hist = model.summary.objectiveHistory  # one value per iteration (<= max_iter)
+    model = _lr_fit(data)
+    hist = model.summary.objectiveHistory  # one value per iteration
     h = spark.createDataFrame([(i, float(v)) for i, v in enumerate(hist)], "epoch int, loss double")
     base = shared_dir(spark, "s8")
     # class map of the fit: label code <-> class name (M9-style dense ids)
@@ -464,7 +467,7 @@ def j3(spark, sf):
 @register("J4_rows_of_split", S.q(S.SPLIT, "select event_id, player_name, game_pk, split from sr where split = 'val'"))
 def j4(spark, sf):
     t, _ = _target(spark, sf)
-    splits = Q.game_split_table(t, GAME, ORDER, [ENT], strategy=_strategy(spark, sf, (ENT,)))
+    splits = Q.game_split_table(t, GAME, ORDER, [ENT], strategy="halo")
     return Q.rows_with_split(t, splits, GAME, [ENT], only="val").select("event_id", ENT, GAME, "split")
 
 
@@ -667,7 +670,8 @@ def a15(spark, sf):
     S.q([S.F], "select event_id, pitch_type, lead(pitch_type) over (order by " + ORD + ") as next_pitch_type from f"),
 )
 def w1(spark, sf):
-    out = W.lead(_f(spark, sf), "pitch_type", "next_pitch_type", ORDER, strategy="halo")
+    rows = _f(spark, sf).select("event_id", "pitch_type", *ORDER)
+    out = W.lead(rows, "pitch_type", "next_pitch_type", ORDER, block_rows=BLOCK_ROWS)
     return out.select("event_id", "pitch_type", "next_pitch_type")
 
 
@@ -682,7 +686,7 @@ def w1(spark, sf):
 )
 def w2(spark, sf):
     c, _ = _coded(spark, sf)
-    out = W.lead(c, "pitch_type_code", "next_pitch_type_code", ORDER, [ENT, GAME], strategy=_strategy(spark, sf))
+    out = W.lead(c, "pitch_type_code", "next_pitch_type_code", ORDER, [ENT, GAME], strategy=PER_GAME)
     return out.select("event_id", "pitch_type_code", "next_pitch_type_code")
 
 
@@ -697,13 +701,14 @@ def _roll_sql(src: str, partition: str) -> str:
 @register("W3_rolling_mean", S.q(S.CLEAN, _roll_sql("c", "player_name, game_pk")))
 def w3(spark, sf):
     c, _ = _coded(spark, sf)
-    out = W.rolling_mean(c, ROLL_COLS, 5, ORDER, [ENT, GAME], strategy=_strategy(spark, sf))
+    out = W.rolling_mean(c, ROLL_COLS, 5, ORDER, [ENT, GAME], strategy=PER_GAME)
     return out.select("event_id", *[X.round6(f"{x}_rolling_mean").alias(f"{x}_rolling_mean") for x in ROLL_COLS])
 
 
 @register("W3b_rolling_mean_global", S.q([S.F], _roll_sql("f", "")))
 def w3b(spark, sf):
-    out = W.rolling_mean(_f(spark, sf), ROLL_COLS, 5, ORDER, strategy="halo")
+    rows = _f(spark, sf).select("event_id", *ROLL_COLS, *ORDER)
+    out = W.rolling_mean(rows, ROLL_COLS, 5, ORDER, block_rows=BLOCK_ROWS)
     return out.select("event_id", *[X.round6(f"{x}_rolling_mean").alias(f"{x}_rolling_mean") for x in ROLL_COLS])
 
 
@@ -738,7 +743,7 @@ def _fill_input(spark, sf):
     ),
 )
 def w4(spark, sf):
-    out = W.fill_backward(_fill_input(spark, sf), "type", "last_pitch_result", ORDER, FILL_KEYS, strategy="halo")
+    out = W.fill_backward(_fill_input(spark, sf), "type", "last_pitch_result", ORDER, FILL_KEYS, block_rows=BLOCK_ROWS)
     return out.select("event_id", "type", "last_pitch_result")
 
 
@@ -752,7 +757,7 @@ def w4(spark, sf):
     ),
 )
 def w4b(spark, sf):
-    out = W.last_value_before(_fill_input(spark, sf), "type", "prev_pitch_result", ORDER, FILL_KEYS, strategy="halo")
+    out = W.last_value_before(_fill_input(spark, sf), "type", "prev_pitch_result", ORDER, FILL_KEYS, block_rows=BLOCK_ROWS)
     return out.select("event_id", "type", "prev_pitch_result")
 
 
@@ -832,13 +837,14 @@ def o5(spark, sf):
 # ---------------------------------------------------------------- 2.8 set operations
 @register(
     "U1_union_all",
-    S.q(S.SPLIT, "select event_id, split from sr where split = 'train' union all select event_id, split from sr where split = 'test'"),
+    S.q(S.SPLIT, " union all ".join(f"select event_id, split from sr where split = '{k}'" for k in Q.SPLITS)),
 )
 def u1(spark, sf):
+    """Every split, put back together; the split rows are written once."""
     s, _ = _split(spark, sf)
-    a = s.filter(F.col("split") == "train").select("event_id", "split")
-    b = s.filter(F.col("split") == "test").select("event_id", "split")
-    return a.unionByName(b)
+    s = materialize(s.select("event_id", "split"), "split")
+    parts = [s.filter(F.col("split") == k) for k in Q.SPLITS]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @register(
@@ -847,7 +853,8 @@ def u1(spark, sf):
 )
 def u2(spark, sf):
     s, _ = _split(spark, sf)
-    parts = [s.filter(F.col("split") == k).select(ENT, F.col("next_pitch_type_code").alias("label")) for k in Q.SPLITS]
+    s = materialize(s.select(ENT, "split", F.col("next_pitch_type_code").alias("label")), "split")
+    parts = [s.filter(F.col("split") == k).select(ENT, "label") for k in Q.SPLITS]
     return parts[0].union(parts[1]).union(parts[2]).distinct()
 
 
@@ -1141,16 +1148,13 @@ def m11(spark, sf):
     return out.select("event_id", *[X.round6(c).alias(c) for c in SCALE_COLS])
 
 
-SR0 = (
-    "sr0 as (select p.*, s.split from pitches p join (select player_name, game_pk, event_id, split from sr) s "
-    "on p.event_id = s.event_id)"
-)
+SR0 = "sr0 as (select * from sr)"
 
 
 @register("M12_standard_scale", S.q(S.SPLIT + [SR0], _scale_sql("standard")))
 def m12(spark, sf):
     s, _ = _split(spark, sf)
-    rows = pitches(spark, sf).join(s.select("event_id", "split"), "event_id")
+    rows = materialize(s.select("event_id", "split", *SCALE_COLS), "split")  # read by the fit and the scaling
     out = W.standard_scale(rows, SCALE_COLS, fit_on=F.col("split") == "train")
     return out.select("event_id", *[X.round6(c).alias(c) for c in SCALE_COLS])
 
@@ -1201,7 +1205,7 @@ M16_COLS = ["release_speed", "release_spin_rate", "effective_speed", "hit_locati
 )
 def m16(spark, sf):
     c, _ = _coded(spark, sf)
-    out = W.rolling_mean(c, M16_COLS, 5, ORDER, [ENT, GAME], strategy=_strategy(spark, sf))
+    out = W.rolling_mean(c, M16_COLS, 5, ORDER, [ENT, GAME], strategy=PER_GAME)
     return out.select("event_id", *[X.round6(f"{x}_rolling_mean").alias(f"{x}_rolling_mean") for x in M16_COLS])
 
 
@@ -1220,7 +1224,10 @@ def m16(spark, sf):
 )
 def q1(spark, sf):
     t, _ = _target(spark, sf)
-    w = Q.sliding_windows(t, ["pitch_type_code"], "next_pitch_type_code", SEQ_LEN, ORDER, label_offset=1, keep=["event_id"], strategy="halo")
+    t = t.select("event_id", *ORDER, "pitch_type_code", "next_pitch_type_code")
+    w = Q.sliding_windows(
+        t, ["pitch_type_code"], "next_pitch_type_code", SEQ_LEN, ORDER, label_offset=1, keep=["event_id"], block_rows=BLOCK_ROWS
+    )
     return w.select("event_id", F.transform("x", lambda s: s["pitch_type_code"].cast("double")).alias("codes"), "y")
 
 
@@ -1236,6 +1243,11 @@ def q2(spark, sf):
 Q3_CHANNELS = ["stand", "baserunner_state", "outs_when_up", "inning", "balls_strikes", "pitch_type_code"]
 
 
+#: what encode_columns and the channels read
+ENCODE_IN = ["stand", "p_throws", "spin_axis", "hit_location", "release_speed", "release_spin_rate", "effective_speed", "type", "balls", "strikes",
+             "on_1b", "on_2b", "on_3b", "outs_when_up", "inning"]
+
+
 def _encoded_split(spark, sf):
     """Cleaned rows with the encodings chained before the target and split.
 
@@ -1243,8 +1255,8 @@ def _encoded_split(spark, sf):
     first-seen code maps and the row join then read it instead of scanning
     the events three times."""
     c, m = _coded(spark, sf)
-    e = encode_columns(materialize(c), ORDER)
-    return split_by_game(with_target(e, strategy=_strategy(spark, sf)), strategy=_strategy(spark, sf, (ENT,))), m
+    e = encode_columns(materialize(c.select(*dict.fromkeys([ENT, GAME, "event_id", *ORDER, *ENCODE_IN, "pitch_type_code"])), "clean"), ORDER)
+    return split_by_game(with_target(e, strategy=PER_GAME), strategy="halo"), m
 
 
 Q3_SQL = S.q(
@@ -1272,7 +1284,7 @@ def q3(spark, sf):
     e, _ = _encoded_split(spark, sf)
     num = ["release_speed", "release_spin_rate", "effective_speed"]
     w = Q.sliding_windows(
-        e, num + Q3_CHANNELS, "next_pitch_type_code", SEQ_LEN, ORDER, [ENT, GAME], keep=["event_id"], strategy=_strategy(spark, sf)
+        e, num + Q3_CHANNELS, "next_pitch_type_code", SEQ_LEN, ORDER, [ENT, GAME], keep=["event_id"], strategy=PER_GAME
     )
     out = Q.window_channels(w, num, Q3_CHANNELS)
     return out.select("event_id", "x_num", *[f"x_{c}" for c in Q3_CHANNELS], "y")
@@ -1290,7 +1302,7 @@ def q3(spark, sf):
 def q4(spark, sf):
     s, _ = _split(spark, sf)
     tr = s.filter(F.col("split") == "train")
-    return Q.window_labels(tr, "pitch_type_code", SEQ_LEN, ORDER, [ENT, GAME], strategy=_strategy(spark, sf)).select("event_id", "y")
+    return Q.window_labels(tr, "pitch_type_code", SEQ_LEN, ORDER, [ENT, GAME], strategy=PER_GAME).select("event_id", "y")
 
 
 @register(
@@ -1308,13 +1320,13 @@ def q4(spark, sf):
 )
 def q5(spark, sf):
     t, _ = _target(spark, sf)
-    return Q.chronological_split(t, ORDER, [ENT], strategy=_strategy(spark, sf, (ENT,))).select("event_id", ENT, "split")
+    return Q.chronological_split(t.select("event_id", ENT, *ORDER), ORDER, [ENT]).select("event_id", ENT, "split")
 
 
 @register("Q6_game_split", S.q(S.SPLIT, "select player_name, game_pk, split from gs"))
 def q6(spark, sf):
     t, _ = _target(spark, sf)
-    return Q.game_split_table(t, GAME, ORDER, [ENT], strategy=_strategy(spark, sf, (ENT,)))
+    return Q.game_split_table(t, GAME, ORDER, [ENT], strategy="halo")
 
 
 @register("Q7_seeded_shuffle", S.q(S.SPLIT, "select event_id, split from sr where split = 'train'"))
@@ -1344,7 +1356,7 @@ def q8(spark, sf):
 )
 def l1(spark, sf):
     t, m = _target(spark, sf, context_k=2)  # contexts from the target's window node
-    ctx = split_by_game(t, strategy=_strategy(spark, sf, (ENT,)))
+    ctx = split_by_game(t, strategy="halo")
     classes = classes_of(m)
     counts = L.fit_transition_counts(ctx, [ENT], "next_pitch_type_code", 2, F.col("split") == "train")
     return L.transition_table(counts, classes, [ENT], 1.0)
@@ -1353,12 +1365,8 @@ def l1(spark, sf):
 @register("L2_logistic_regression")
 def l2(spark, sf):
     data = _lr_inputs(spark, sf)
-    train = data.filter(F.col("split") == "train")
-    # balanced class weights of the training windows as row weights (L3)
-    train = L.sample_weights(train, train, "y", [], "weight")
-    model = L.fit_logistic(train, "features", "y", weight="weight", max_iter=20)
-    scored = L.score_logistic(model, data.filter(F.col("split") == "test"), "features")
-    return scored.select(ENT, "event_id", F.col("y").cast("int").alias("y"), "pred")
+    scored = L.score_logistic(_lr_fit(data), data.filter(F.col("split") == "test"), "features")
+    return scored.select(ENT, "event_id", F.col("y").cast("int").alias("y"), "p", "pred")
 
 
 @register(
@@ -1407,13 +1415,32 @@ def l6(spark, sf):
     return L.log_loss(te, [ENT]).select(ENT, X.round6("log_loss").alias("log_loss"))
 
 
-@register("L7_grid_search")
+L7_CTES = [
+    "v as (select cx.player_name, cls.n_classes, t0.total as t0, t1.total as t1, t2.total as t2, "
+    "coalesce(c0.cnt, 0) as c0, coalesce(c1.cnt, 0) as c1, coalesce(c2.cnt, 0) as c2 from cx join cls on cls.player_name = cx.player_name "
+    + " ".join(
+        f"left join tot t{j} on t{j}.player_name = cx.player_name and t{j}.o = {j} and t{j}.ctx = cx.ctx_{j} "
+        f"left join cnt c{j} on c{j}.player_name = cx.player_name and c{j}.o = {j} and c{j}.ctx = cx.ctx_{j} and c{j}.nxt = cx.next_pitch_type_code"
+        for j in range(3)
+    )
+    + " where cx.split = 'val')",
+    "gp as (select g.k, g.alpha, case when g.k >= 2 and t2 is not null then (c2 + g.alpha) / (t2 + g.alpha * n_classes) "
+    "when t1 is not null then (c1 + g.alpha) / (t1 + g.alpha * n_classes) when t0 is not null then (c0 + g.alpha) / (t0 + g.alpha * n_classes) "
+    "else cast(1.0 as double) / n_classes end as p from v, "
+    "(select cast(k as integer) as k, cast(alpha as double) as alpha from (values (1, 0.5), (1, 1.0), (2, 0.5), (2, 1.0)) x(k, alpha)) g)",
+    "gl as (select k, alpha, avg(-ln(least(greatest(p, 1e-7), 1 - 1e-7))) as loss from gp group by k, alpha)",
+]
+
+
+@register(
+    "L7_grid_search",
+    S.q(S.MODEL + L7_CTES, "select k, alpha, round(loss, 6) as val_log_loss, row_number() over (order by loss, k, alpha) = 1 as best from gl"),
+)
 def l7(spark, sf):
     from evseq.plans.tuning import grid_search_transitions
 
     t, m = _target(spark, sf, context_k=2)
-    s = split_by_game(t, strategy=_strategy(spark, sf, (ENT,)))
-    return grid_search_transitions(s, m, ks=(1, 2), alphas=(0.5, 1.0), strategy=_strategy(spark, sf))
+    return grid_search_transitions(split_by_game(t), m, ks=(1, 2), alphas=(0.5, 1.0), strategy=PER_GAME)
 
 
 @register(
@@ -1538,11 +1565,11 @@ register("E6_class_distribution", CLASS_DIST_SQL)(a11)
     "E7_entity_metrics",
     S.q(
         S.MODEL + [S.TEST, S.MAPPING],
-        "select a.player_name, a.accuracy, a.top2_accuracy, cls.n_classes as num_classes, d.class_distribution from ("
+        "select a.player_name, a.accuracy, a.top2_accuracy, cls.n_classes as num_classes, d.class_names, d.class_counts from ("
         f"select player_name, round(avg(case when y = pred then 1.0 else 0.0 end), 6) as accuracy, "
         f"round(avg(case when list_contains({TOP2_SQL}, y) then 1.0 else 0.0 end), 6) as top2_accuracy from te group by player_name) a "
         "join cls on cls.player_name = a.player_name join ("
-        "select clsl.player_name, map_from_entries(list({'k': coalesce(mp.name, 'Unknown-' || cast(clsl.i as varchar)), 'v': coalesce(n, 0)} order by clsl.i)) as class_distribution "
+        "select clsl.player_name, list(coalesce(mp.name, 'Unknown-' || cast(clsl.i as varchar)) order by clsl.i) as class_names, list(coalesce(n, 0) order by clsl.i) as class_counts "
         "from clsl left join (select player_name, y, count(*) as n from te group by all) c on c.player_name = clsl.player_name and c.y = clsl.i "
         "left join mp on mp.player_name = clsl.player_name and mp.pitch_type_code = clsl.i "
         "group by clsl.player_name) d on d.player_name = a.player_name",
@@ -1551,7 +1578,15 @@ register("E6_class_distribution", CLASS_DIST_SQL)(a11)
 def e7(spark, sf):
     te, m = _test(spark, sf, reused=False)
     met = EV.entity_metrics(te, classes_of(m), m.withColumnRenamed("pitch_type_code", "code"), [ENT])
-    return met.select(ENT, X.round6("accuracy").alias("accuracy"), X.round6("top2_accuracy").alias("top2_accuracy"), "num_classes", "class_distribution")
+    return met.select(
+        ENT,
+        X.round6("accuracy").alias("accuracy"),
+        X.round6("top2_accuracy").alias("top2_accuracy"),
+        "num_classes",
+        # the map's entries in class order; a collected map has no order of its own
+        F.map_keys("class_distribution").alias("class_names"),
+        F.map_values("class_distribution").alias("class_counts"),
+    )
 
 
 register("E7_summary", SUMMARY_SQL)(_summary)

@@ -72,7 +72,7 @@ def label_lookup(counts: DataFrame, roles: Roles = ROLES, top_k: int = TOP_K_ENT
     r = roles
     per_entity = counts.groupBy(r.entity).agg(F.sum(F.when(F.col(r.label).isNotNull(), F.col("n"))).alias("count"))
     top = per_entity.orderBy(F.col("count").desc(), F.col(r.entity).asc_nulls_first()).limit(top_k).select(r.entity)
-    kept = counts.join(F.broadcast(top), r.entity, "left_semi")  # k rows broadcast
+    kept = counts.join(top, r.entity, "left_semi")
     w = Window.partitionBy(r.entity)
     share = F.col("n") / F.sum("n").over(w)
     merged = kept.withColumn("_merged", F.when(share < F.lit(rare), F.lit("other")).otherwise(F.col(r.label)))
@@ -137,7 +137,7 @@ def encode_columns(df: DataFrame, order: Sequence[str]) -> DataFrame:
     return out.withColumn("baserunner_state", weighted_sum(["on_1b", "on_2b", "on_3b"], (1, 2, 3)))
 
 
-def with_target(coded: DataFrame, roles: Roles = ROLES, strategy: str = "auto", context_k: int = 0) -> DataFrame:
+def with_target(coded: DataFrame, roles: Roles = ROLES, strategy: str = "halo", context_k: int = 0) -> DataFrame:
     """Next code per (entity, game), rows without one dropped.
 
     With ``context_k`` the transition contexts (last codes of the game) come
@@ -157,7 +157,7 @@ def with_target(coded: DataFrame, roles: Roles = ROLES, strategy: str = "auto",
     return context_strings(drop_nulls(led, [r.target, r.code]), r.code, context_k)
 
 
-def split_by_game(rows: DataFrame, roles: Roles = ROLES, strategy: str = "direct") -> DataFrame:
+def split_by_game(rows: DataFrame, roles: Roles = ROLES, strategy: str = "halo") -> DataFrame:
     r = roles
     splits = game_split_table(rows, r.game, list(r.order), [r.entity], strategy=strategy)
     return rows_with_split(rows, splits, r.game, [r.entity])
@@ -169,7 +169,7 @@ def transition_scores(
     roles: Roles = ROLES,
     k: int = 2,
     alpha: float = 1.0,
-    strategy: str = "auto",
+    strategy: str = "halo",
     write_scores: bool = True,
 ) -> DataFrame:
     """Fit the order-k transition model on ``split='train'`` and score every row.
@@ -183,14 +183,15 @@ def transition_scores(
     # stage boundary: fit and k+1 scoring joins all read these rows
     if f"ctx_{k}" not in split_rows.columns:
         split_rows = with_contexts(split_rows, r.code, k, list(r.order), [r.entity, r.game], strategy=strategy)
-    ctx = materialize(split_rows)
+    # only what the fit and the scores use is written
+    cols = [r.entity, r.game, *r.order, "split", r.target, *[f"ctx_{j}" for j in range(k + 1)]]
+    ctx = materialize(split_rows.select(*dict.fromkeys(cols)), "contexts")
     classes = class_counts(mapping, by, r.code)
     counts = fit_transition_counts(ctx, by, r.target, k, F.col("split") == "train")
     # the fitted model (entities x contexts rows) is an artifact of its own:
-    # written once, read by the k+1 back-off joins (pure broadcast joins)
-    model = materialize(transition_table(counts, classes, by, alpha))
-    # its size is now cheap to measure: broadcast only under the checked bound
-    scored = score_transitions(ctx, model, classes, by, k, alpha, model_rows=model.count())
+    # written once, read by the k+1 back-off joins
+    model = materialize(transition_table(counts, classes, by, alpha), "model")
+    scored = score_transitions(ctx, model, classes, by, k, alpha)
     out = scored.select(r.entity, r.game, *r.order, "split", F.col(r.target).alias("y"), "p", "pred", "order_used")
     # stage boundary: every metric of the evaluation reads the scored table
     return materialize(out) if write_scores else out

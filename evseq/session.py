@@ -1,15 +1,16 @@
 """SparkSession helpers.
 
 The library never creates a session on its own inside an operator; callers pass
-one in.  ``local_session`` is what tests and ``bench.py`` use.  ``shared_dir``
-returns a folder under the cluster's checkpoint directory (``spark.checkpoint.dir``)
-for lineage cuts and sink round trips; only when that setting is unset (local
-tests) is a fresh folder under the system temp dir set as the checkpoint dir.
+one in.  ``local_session`` is what tests and ``bench.py`` use; it alone sets
+``spark.checkpoint.dir`` where nobody did.  ``shared_dir`` returns a folder under
+that directory for lineage cuts and sink round trips, and raises when it is
+unset.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -36,23 +37,32 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    use_local_folder(spark)
     return spark
 
 
+def use_local_folder(spark: SparkSession) -> None:
+    """For tests, the bench and smoke runs on one machine: a temporary folder as
+    the checkpoint dir of a ``local[...]`` session that names none."""
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() or _configured(spark) or not re.match(r"local(\[|$)", sc.master):
+        return
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="evseq-ckpt-"))
+
+
+def _configured(spark: SparkSession) -> str | None:
+    return spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint dir the session names; set a local one only if unset."""
+    """The checkpoint dir the session names; raises when it names none."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
+    conf = _configured(spark)
     if not conf:
-        if not sc.master.startswith("local"):
-            raise RuntimeError(
-                f"{CHECKPOINT_CONF} is not set: a cluster needs a shared folder for checkpoints and stage outputs"
-            )
-        conf = tempfile.mkdtemp(prefix="evseq-ckpt-")  # local mode only (tests, bench)
+        raise RuntimeError(f"{CHECKPOINT_CONF} is not set: stages need a folder that driver and executors share")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
 
@@ -63,10 +73,11 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{base}/evseq-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage at a stage boundary: reliable ``checkpoint()`` into the
-    cluster's checkpoint dir.  Later branches read the written data instead of
-    re-running the upstream plan, and a lost executor does not force a
-    recompute from the source scan."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut lineage at a stage boundary: the rows are written as Parquet below
+    the cluster's checkpoint dir and read back.  Later branches read only the
+    columns they use instead of re-running the upstream plan, and a lost
+    executor does not force a recompute from the source scan."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -24,7 +24,7 @@ def norm(v):
     if hasattr(v, "asDict"):
         return tuple(sorted((k, norm(x)) for k, x in v.asDict().items()))
     if isinstance(v, dict):
-        return tuple(sorted((str(k), norm(x)) for k, x in v.items()))
+        return tuple((str(k), norm(x)) for k, x in v.items())  # maps are compared with their entry order
     if isinstance(v, (list, tuple)):
         return tuple(norm(x) for x in v)
     if isinstance(v, bool):
