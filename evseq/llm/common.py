@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +32,14 @@ def positional(df: DataFrame, **names: str) -> tuple[DataFrame, Sequence[str]]:
     return df.toDF(*[taken.get(i, f"__c{i}") for i in range(len(df.columns))]), list(df.columns)
 
 
+def small(batches: Iterable[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """Arrow batches in slices of few rows, so that a worker turns little text
+    into Python objects at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write a stage as Parquet in the shared folder and read it back: lineage
     ends there, later branches prune columns, and a lost executor costs a read."""

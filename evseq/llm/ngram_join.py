@@ -41,13 +41,13 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evseq.llm.common import pick, written
+from evseq.llm.common import pick, small, written
 from evseq.llm.components import connected_components
 
 SIZE = 4
 THRESHOLD = 85
 SKETCH_BITS = 20
-BUFFER = 4 << 20
+BUFFER = 1 << 18  # bytes hashed at once, few enough for the cache
 BLOCK_SETS = 2_000  # sets of one block of a cluster
 BLOCK_SHINGLES = 1_500_000
 MAX_BATCH = 256  # sets between two looks at what is connected by now
@@ -270,7 +270,7 @@ def _sketch(texts: DataFrame, size: int) -> np.ndarray:
     def count(batches):
         total = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
         shingler = Shingler(size)
-        for batch in batches:
+        for batch in small(batches):
             for s in shingler.sets(batch.column(0).to_pylist()):
                 np.add.at(total, (s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
         for part in range(parts):
@@ -297,7 +297,7 @@ def _classes(base: DataFrame, size: int) -> DataFrame:
 
     def keys(batches):
         shingler = Shingler(size)
-        for batch in batches:
+        for batch in small(batches):
             found = list(shingler.sets(batch.column(1).to_pylist()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array([class_key(s) for s in found], pa.binary())],
@@ -313,7 +313,7 @@ def _sent(base: DataFrame, size: int, threshold: int) -> DataFrame:
 
     def send(batches):
         shingler, shift = Shingler(size), np.uint64(64 - SKETCH_BITS)
-        for batch in batches:
+        for batch in small(batches):
             tokens, nodes, least = [], [], []
             rows = 0
             for s in shingler.sets(batch.column(0).to_pylist()):
@@ -400,7 +400,7 @@ def near_duplicates(
     def same_class(batches):
         # an id that repeats may carry texts of other classes
         shingler = Shingler(size)
-        for batch in batches:
+        for batch in small(batches):
             keys = pa.array([class_key(s) for s in shingler.sets(batch.column(1).to_pylist())], pa.binary())
             yield batch.filter(pa.compute.equal(keys, batch.column(2)))
 
