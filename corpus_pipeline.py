@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from evseq.llm import decontaminate, exact_dedup, ngram_join, quality, sentencepiece_codec
 from evseq.llm.common import table, tokenizer_path, written
+from evseq.session import use_local_folder
 
 ORACLE_SQL = None
 
@@ -54,6 +55,7 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    use_local_folder(spark)
     docs = table(spark, sf_dir, "documents")
     for i, (_, stage) in enumerate(STAGES):
         docs = written(stage(spark, docs, sf_dir), f"corpus-{i}")
