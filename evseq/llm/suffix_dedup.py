@@ -38,12 +38,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from evseq.llm.common import pick, written
+from evseq.llm.common import pick, small, written
 
 LENGTH = 100
 GRAM = 20
 HOT = 20_000  # occurrences of an anchor that may meet in one task
-SHARD_RUNS = 50_000  # runs in a shard, on average
+SHARD_RUNS = 25_000  # runs in a shard, on average
 BUFFER = 1 << 18  # bytes hashed at once, few enough for the cache; positions in it take 24 bits
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -251,7 +251,7 @@ def repeated_spans(
     copies = written(copies, "suffix-copies")
 
     def anchors(batches):
-        for batch in batches:
+        for batch in small(batches):
             for index, h, first, last in text_runs(batch.column(2).to_pylist(), length, gram):
                 take = pa.array(index)
                 run = (first << 16) | (last - first)
@@ -273,7 +273,7 @@ def repeated_spans(
     with_text = base.alias("b").join(own.alias("o"), _same_document("b", "o")).select("b.id", "b.tie", "b.text", "o.runs")
 
     def cut(batches, want_hot):
-        for batch in batches:
+        for batch in small(batches):
             runs = batch.column(3)
             fields = runs.flatten()
             ends = np.cumsum(runs.value_lengths().to_numpy(zero_copy_only=False))
@@ -339,7 +339,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     joined = base.alias("b").join(own.alias("o"), _same_document("b", "o"), "left").select("b.id", "b.text", "o.spans")
 
     def cut_out(batches):
-        for batch in batches:
+        for batch in small(batches):
             removed, kept = [], []
             for raw, got in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 spans = merge([(s["start"], s["end"]) for s in got or ()])
