@@ -369,13 +369,14 @@ def article_paragraphs(page: str | None) -> list[str]:
 
 
 def train(pages: DataFrame, html_col: str = "html", url_col: str = "url", max_pages: int = MAX_TRAIN_PAGES) -> boosting.Forest:
-    sample = (
+    usable = (
         pick(pages, url=url_col, html=html_col)
         .filter(F.octet_length("html").between(200, 200_000))  # training pages only; extraction reads every page
-        .orderBy(F.xxhash64("url", "html"))
-        .limit(max_pages)
-        .collect()
+        .withColumn("h", F.xxhash64("url", "html"))
     )
+    # the max_pages least hashes first, then their pages: no task sends pages that are not used
+    last = usable.select("h").distinct().orderBy("h").limit(max_pages).agg(F.max("h")).first()[0]
+    sample = usable.filter(F.col("h") <= F.lit(last)).dropDuplicates(["h"]).orderBy("h").collect() if last is not None else []
     rng = random.Random(9)
     texts = [p for r in sample if (p := article_paragraphs(r["html"]))] or [FILLER]
     x, y = [], []
