@@ -33,6 +33,11 @@ HEADLINE = [
     "L4_scored_table",
     "E4_classification_report",
     "E7_entity_metrics",
+    "S6_metrics_json",
+    "L2_logistic_regression",
+    "L7_grid_search",
+    "M12_standard_scale",
+    "U2_union_distinct_labels",
 ]
 
 

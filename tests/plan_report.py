@@ -3,9 +3,9 @@
 Usage: python tests/plan_report.py [sf_dir]   (default /root/testdata/sf0.01)
 
 For each query the executed plan (before AQE re-planning) is summarised:
-Parquet scans and their tables, checkpoint reads, shuffles, broadcasts,
-windows, sorts and joins.  Checkpoint jobs that a query runs while its plan is
-built (stage boundaries) are not part of this plan.
+Parquet scans of tables, the most columns that one of them reads, reads of
+written stages (and their most columns), shuffles, broadcasts, windows, sorts
+and joins.  Jobs that write stages while the plan is built are not part of it.
 """
 
 from __future__ import annotations
@@ -19,12 +19,26 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+def columns(schema: str) -> int:
+    """Top-level fields of a ReadSchema text."""
+    depth, n = 0, 1 if schema else 0
+    for c in schema:
+        depth += (c == "<") - (c == ">")
+        n += c == "," and depth == 0
+    return n
+
+
 def features(plan: str) -> dict[str, object]:
     tables = sorted(set(re.findall(r"/([a-z]+)\.parquet", plan)))
+    scans = [x for x in plan.split("\n") if "FileScan parquet" in x]
+    width = {x: columns(m[1]) if (m := re.search(r"ReadSchema: struct<(.*)>", x)) else 0 for x in scans}
+    stages = [x for x in scans if "/evseq-" in x]
     return {
-        "parquet scans": len(re.findall(r"FileScan parquet|Scan parquet", plan)),
+        "parquet scans": len(scans) - len(stages),
+        "columns": max([width[x] for x in scans if x not in stages], default=0),
         "tables": ", ".join(tables),
-        "checkpoint reads": len(re.findall(r"Scan ExistingRDD", plan)),
+        "stage reads": len(stages),
+        "stage columns": max([width[x] for x in stages], default=0),
         "shuffles": len(re.findall(r"Exchange (?:hash|range|Single|Round)", plan)),
         "broadcasts": len(re.findall(r"BroadcastExchange", plan)),
         "windows": len(re.findall(r"\bWindow \[", plan)),
@@ -43,15 +57,18 @@ def main() -> None:
     from evseq.plans.catalog import QUERIES
     from evseq.session import local_session
 
-    spark = local_session()
-    cols = ["parquet scans", "tables", "checkpoint reads", "shuffles", "broadcasts", "windows", "sorts", "joins", "pushed filters"]
+    spark = local_session(cpus=os.environ.get("BENCH_CPUS", "*"))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "4000")
+    spark.conf.set("spark.sql.debug.maxToStringFields", "200")
+    cols = ["parquet scans", "columns", "tables", "stage reads", "stage columns", "shuffles", "broadcasts", "windows", "sorts", "joins", "pushed filters"]
     lines = [
         "# Physical plans of the registered queries",
         "",
         f"Generated by `tests/plan_report.py` on `{os.path.basename(sf)}` (`local[*]`, 8 shuffle partitions, AQE on).",
         "Counts are taken from the plan before adaptive re-planning (AQE may still turn a",
-        "sort-merge join into a broadcast join at runtime). `checkpoint reads` are stage",
-        "boundaries written while the query was built (`spark.checkpoint.dir`).",
+        "sort-merge join into a broadcast join at runtime). `stage reads` are reads of",
+        "Parquet written while the query was built; `columns` and `stage columns` are the",
+        "most columns that one scan reads.",
         "",
         "| query | " + " | ".join(cols) + " |",
         "| --- | " + " | ".join("---" for _ in cols) + " |",
