@@ -186,11 +186,9 @@ def covered_in_shard(rows: list[tuple], length: int) -> dict[int, list[tuple[int
     spans: dict[int, list[tuple[int, int]]] = defaultdict(list)
     by_anchor: dict[int, dict[bytes, tuple[int, int]]] = defaultdict(dict)
     for rank, anchor, start, raw in sorted(rows, key=lambda r: (r[0], r[2])):
-        runs = by_anchor[anchor]
-        if raw in runs:
+        first = by_anchor[anchor].setdefault(raw, (rank, start))
+        if first != (rank, start):  # rows equal in id and text send the first run again
             spans[rank].append((start, start + len(raw)))
-        else:
-            runs[raw] = (rank, start)
     entries = [(rank, start, raw) for runs in by_anchor.values() if len(runs) > 1 for raw, (rank, start) in runs.items()]
     if not entries:
         return spans

@@ -368,6 +368,20 @@ def test_repeats_edges(docs, rows, empty, monkeypatch):
     assert suffix_dedup.remove_repeats(empty).count() == 0
 
 
+@pytest.mark.parametrize("hot", [suffix_dedup.HOT, 3])
+def test_repeated_rows_are_one_document(spark, hot):
+    a, b = prose(21, 80), prose(22, 90)
+    rows = [(None, b), (3, "head " + b[:250]), (5, a), (9, a), (10, "x" + a[40:300] + "y")]
+    want = {d: (spans, kept) for d, _, spans, kept in brute.repeats(rows)}
+    # the first copies of a and b stand on several rows, as does a document with a part of one
+    df = spark.createDataFrame(rows + [rows[0], rows[2], rows[2], rows[4]], "doc_id long, text string").repartition(4)
+    got = suffix_dedup.remove_repeats(df, hot=hot).collect()
+    assert bag(r.doc_id for r in got) == bag([None, None, 3, 5, 5, 5, 9, 10, 10])
+    for r in got:
+        assert ([(s.start, s.end) for s in r.spans], bytes(r.kept)) == want[r.doc_id]
+    assert want[5] == ([], a.encode()) and want[None] == ([], b.encode())
+
+
 def test_long_texts_are_hashed_in_buffers(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "BUFFER", 512)
     raw = prose(1, 2000).encode()
