@@ -1,11 +1,11 @@
 """Operator 9: main-text extraction with boosted trees over DOM nodes.
 
 A page is read by one regular expression into a tree of block nodes (inline
-markup stays inside its block; scripts, styles and comments are skipped; open
-paragraphs, list items and cells are closed as browsers do).  Every node gets
-features of its subtree (text, link and tag density), its attribute tokens,
-its ancestors, depth and siblings; the trees of ``boosting`` give the log odds
-that it holds main text.  Decoding is hierarchical: the best set of nodes is
+markup stays inside its block; scripts, styles and comments are skipped, scripts
+and other raw text up to their own end tag; open paragraphs, list items and
+cells are closed as browsers do).  Every node gets features of its subtree
+(text, link and tag density), its attribute tokens, its ancestors, depth and
+siblings; the trees of ``boosting`` give the log odds that it holds main text.  Decoding is hierarchical: the best set of nodes is
 taken in which a node is chosen only if its parent is, so a descendant never
 contradicts an ancestor.
 
@@ -38,13 +38,15 @@ from evseq.llm import boosting
 from evseq.llm.common import pick
 
 MAX_TRAIN_PAGES = 300
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?>[^>\"'<]++|\"[^\"<]*+\"|'[^'<]*+'|[\"'])*+)>|<[!?][^>]*>", re.S
-)
+# attributes, and > if the tag ends; < outside a quoted value, or the page's end, leaves a tag unfinished
+_ATTRIBUTES = r"""((?:[\s/]++|[^\s/><][^\s/>=<]*+(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s><]*+))?+)*+)(>?)"""
+TOKEN = re.compile(rf"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+){_ATTRIBUTES}|<[!?][^>]*>", re.S)
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 # fixed values: element kinds
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style template noscript title iframe object svg math head".split())
+RAW = set("script style noscript title iframe".split())  # only their own end tag is markup
+RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z){_ATTRIBUTES}", re.I) for tag in RAW}
+SKIPPED = set("template object svg math".split())  # markup without text for the reader
 BLOCK = set(
     "html body article main section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption "
     "nav header footer aside form fieldset legend button select option textarea label figure figcaption blockquote pre "
@@ -131,16 +133,29 @@ def parse(page: str | None) -> list[Node]:
         flush()
         del stack[position:]
 
-    at, skip_to = 0, None
-    for m in TOKEN.finditer(page):
-        if skip_to is not None:
-            # inside a script or the like: only its own end counts
-            if m[1] and m[2].lower() == skip_to:
-                skip_to, at = None, m.end()
+    at = pos = 0
+    skip_to: str | None = None
+    endless: set[str] = set()  # raw elements whose end tag is not found from here on
+    while m := TOKEN.search(page, pos):
+        pos = m.end()
+        if m[2] is not None and not m[4]:
+            continue  # an unfinished tag is text; the search goes on where it broke off, so nothing is read twice
+        opens = m[2] is not None and not m[1] and not m[3].endswith("/")
+        if skip_to is None:
+            add_text(at, m.start())
+            at = pos
+        elif m[1] and m[2].lower() == skip_to:
+            skip_to, at = None, pos
             continue
-        add_text(at, m.start())
-        at = m.end()
-        if m[2] is None:
+        if opens and (raw := m[2].lower()) in RAW and raw not in endless:
+            # a script or the like is no markup: only its own end counts
+            if end := RAW_END[raw].search(page, pos):
+                at = pos = end.end()
+            elif skip_to is None:
+                at = pos = len(page)
+            else:  # in a drawing, it ends with that
+                endless.add(raw)
+        if skip_to is not None or m[2] is None:
             continue
         tag = m[2].lower()
         if m[1]:
@@ -160,8 +175,9 @@ def parse(page: str | None) -> list[Node]:
                 run.append(" ")
             continue
         if tag in RAW:
-            if tag != "head":
-                skip_to = tag
+            continue
+        if tag in SKIPPED:
+            skip_to = tag
             continue
         if tag == "a":
             link_depth += 1

@@ -2,6 +2,7 @@
 
 import collections
 import random
+import time
 
 import numpy as np
 import pytest
@@ -447,6 +448,33 @@ def test_parse_text():
     assert html_extract.parse(None)[0].text == "" and html_extract.parse("plain")[0].text == "plain"
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ('<script>var s="<!--";</script><article><p>T</p></article>', "T"),
+        ("<p>a</p><SCRIPT>for(i=0;i<n;i++)f(i)</Script ><p>b</p><script>g()</script>c", "a b c"),
+        ("<style>a::after{content:'<!--'}</style><title>x<y</title><noscript><!-- </noscript><p>T</p>", "T"),
+        ("<script>s='</scripts>'+\"<p>\"</script\n><p>T</p><script>never closed <p>U</p>", "T"),
+        ('<svg><style>b{content:"<!--"}</style><!-- </svg> --><text>x</text></svg><p>T</p>', "T"),
+        ("<svg><style>b{} </svg><p>T</p>", "T"),
+        ('<p title="a<b">T</p><p data-x=\'<p>"no"</p>\'>U</p>', "T U"),
+        ('<p title=it\'s>T</p><p class="a"">U</p><p class="b">don\'t</p>', "T U don't"),
+        ('<p title="a>T</p><p>U</p>', "T U"),
+        ("<p>1 <2, a <b and c</p><p>U</p>", "1 <2, a <b and c U"),
+    ],
+)
+def test_parse_raw_text_and_quotes(page, text):
+    nodes = html_extract.parse(page)
+    assert html_extract.main_text(nodes, [True] * len(nodes)) == text
+
+
+@pytest.mark.parametrize("part", ['x="<a y" ', "<a x='<b \"", "<a<a", "<script>", '<a x="', "<svg><style>", "<p title=\"a<b' "])
+def test_parse_reads_hostile_pages_once(part):
+    start = time.perf_counter()
+    html_extract.parse("<a " + part * 40_000)
+    assert time.perf_counter() - start < 10
+
+
 def test_extract_edges(spark, forest):
     long = "".join(f"<p>{prose(i, 60)}.</p>" for i in range(400))
     rows = [
