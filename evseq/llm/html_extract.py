@@ -236,6 +236,7 @@ def features(nodes: list[Node]) -> np.ndarray:
     total = max(1, nodes[0].chars)
     out = np.zeros((len(nodes), N_FEATURES))
     above = [np.zeros(16)] * len(nodes)  # counts of what the ancestors are
+    largest = [max((nodes[c].chars for c in node.children), default=0) for node in nodes]
     seen = 0
     order = _page_order(nodes)
     place = {}
@@ -265,13 +266,13 @@ def features(nodes: list[Node]) -> np.ndarray:
         base += 16
         chars = max(1, node.chars)
         siblings = nodes[node.parent].children if node.parent >= 0 else [i]
-        sizes = [nodes[s].chars for s in siblings] if len(siblings) < 50 else None
+        most = largest[node.parent] if node.parent >= 0 else node.chars
         n_words = node.text.count(" ") + 1 if node.text else 0
         mean = (nodes[node.parent].chars / len(siblings)) if node.parent >= 0 else chars
         out[i, base:] = (
             node.depth, np.log1p(node.chars), np.log1p(n_words), node.links / chars, node.tags / chars, node.marks / chars,
             node.paragraphs, node.chars / total, place[i] / total, (place[i] + node.chars) / total, len(siblings),
-            node.chars / max(1.0, mean), max(sizes) / total if sizes else 0.0, np.log1p(mean), len(node.children),
+            node.chars / max(1.0, mean), most / total, np.log1p(mean), len(node.children),
         )
     return out
 
@@ -351,7 +352,9 @@ def build_page(rng: random.Random, paragraphs: list[str]) -> str:
         return re.sub(r"\{W\}", lambda _: words(rng.randint(1, 4)), frame)
 
     own = rng.sample(paragraphs, min(len(paragraphs), rng.randint(1, 12)))
-    if rng.random() < 0.25:  # short articles
+    if rng.random() < 0.04:  # long articles
+        own = rng.choices(paragraphs, k=rng.randint(50, 400))
+    elif rng.random() < 0.25:  # short articles
         own = [" ".join(p.split()[: rng.randint(1, 12)]) or p for p in own[: rng.randint(1, 2)]]
     parts = [f"<h1>{MARK}{html.escape(own[0][: rng.randint(20, 80)])}</h1>"]
     for p in own:

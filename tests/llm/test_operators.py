@@ -475,6 +475,19 @@ def test_parse_reads_hostile_pages_once(part):
     assert time.perf_counter() - start < 10
 
 
+@pytest.mark.parametrize("n", [2, 49, 50, 300])
+def test_largest_sibling_share_at_every_count(n):
+    nodes = html_extract.parse("<article>" + "<p>ab</p>" * (n - 1) + "<p>abcdefgh</p></article>")
+    shares = html_extract.features(nodes)[2:, -3]
+    assert len(shares) == n and np.allclose(shares, 8 / (2 * n + 6))
+
+
+def test_some_built_pages_are_long():
+    rng, paragraphs = random.Random(1), [prose(i, 8) for i in range(6)]
+    counts = [html_extract.build_page(rng, paragraphs).count(html_extract.MARK) for _ in range(300)]
+    assert sum(c >= 50 for c in counts) >= 3 and max(counts) >= 200
+
+
 def test_extract_edges(spark, forest):
     long = "".join(f"<p>{prose(i, 60)}.</p>" for i in range(400))
     rows = [
