@@ -294,17 +294,18 @@ def _sketch(texts: DataFrame, size: int) -> np.ndarray:
 
 def _classes(base: DataFrame, size: int) -> DataFrame:
     id_type = base.schema["id"].dataType.simpleString()
+    extra = base.columns[2:]
 
     def keys(batches):
         shingler = Shingler(size)
         for batch in small(batches):
             found = list(shingler.sets(batch.column(1).to_pylist()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array([class_key(s) for s in found], pa.binary())],
-                ["id", "n", "node"],
+                [batch.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array([class_key(s) for s in found], pa.binary()), *batch.columns[2:]],
+                ["id", "n", "node", *extra],
             )
 
-    return base.mapInArrow(keys, f"id {id_type}, n long, node binary")
+    return base.mapInArrow(keys, ", ".join([f"id {id_type}, n long, node binary", *[f"{c} binary" for c in extra]]))
 
 
 def _sent(base: DataFrame, size: int, threshold: int) -> DataFrame:
@@ -374,6 +375,10 @@ def _join_blocks(tasks: DataFrame, size: int, threshold: int) -> DataFrame:
     return tasks.groupBy("cluster", "i", "j").applyInArrow(links, "u binary, v binary")
 
 
+def text_hash(text) -> F.Column:
+    return F.unhex(F.md5(F.encode(text, "UTF-8")))
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -382,10 +387,13 @@ def near_duplicates(
     threshold: int = THRESHOLD,
     block_sets: int = BLOCK_SETS,
     block_shingles: int = BLOCK_SHINGLES,
+    hashed: bool = False,
 ) -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id (least id linked to)."""
+    """Per document: doc_id, n_shingles, component_id (least id linked to); with
+    ``hashed`` also text_md5, which tells rows that share an id apart."""
     base = pick(docs, id=id_col, text=text_col)
-    classes = written(_classes(base, size), "ngram-classes")
+    extra = {"text_md5": text_hash(F.col("text"))} if hashed else {}
+    classes = written(_classes(base.withColumns(extra), size), "ngram-classes")
     shared = _shared(_shared(_sent(base, size, threshold), "ngram-1"), "ngram-2")
     pivot = shared.groupBy("token").agg(F.min("node").alias("u"))
     near = shared.join(pivot, "token").select("u", F.col("node").alias("v"))
@@ -439,8 +447,8 @@ def near_duplicates(
     least = labelled.groupBy("component").agg(F.min("id").alias("component_id"))
     linked = labelled.filter("n > 0").join(least, "component")
     alone = labelled.filter("n = 0").withColumn("component_id", F.col("id"))
-    cols = ["id", "n", "component_id"]
-    return linked.select(cols).unionByName(alone.select(cols)).toDF("doc_id", "n_shingles", "component_id")
+    cols = ["id", "n", "component_id", *extra]
+    return linked.select(cols).unionByName(alone.select(cols)).toDF("doc_id", "n_shingles", "component_id", *extra)
 
 
 def _second_step(placed: DataFrame, components: DataFrame, size: int, threshold: int, block_sets: int) -> DataFrame:
@@ -471,10 +479,12 @@ def _second_step(placed: DataFrame, components: DataFrame, size: int, threshold:
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
     """One document of each component stays (its least id), all columns as they
-    were; of rows that share the id of a component one stays for each text class."""
+    were; of rows that share an id only those with a linked text go.  Rows
+    without an id stay."""
     names = docs.columns
-    at = names.index(id_col)
-    found = near_duplicates(docs, id_col, text_col, **kw)
-    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
+    at, text = names.index(id_col), names.index(text_col)
+    found = near_duplicates(docs, id_col, text_col, hashed=True, **kw)
+    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("__gone"), "text_md5").distinct()
     renamed = docs.toDF(*[f"__c{i}" for i in range(len(names))])
-    return renamed.join(gone, F.col(f"__c{at}") == F.col("__gone"), "left_anti").toDF(*names)
+    same = (F.col(f"__c{at}") == F.col("__gone")) & (text_hash(F.col(f"__c{text}")) == F.col("text_md5"))
+    return renamed.join(gone, same, "left_anti").toDF(*names)

@@ -114,6 +114,14 @@ def test_keep_one(docs, rows):
     assert bag(r[0] for r in left.collect()) == bag(d for d, _ in rows if d not in gone)
 
 
+def test_keep_one_tells_rows_of_an_id_apart(spark):
+    a, b = prose(31, 80), prose(32, 80)
+    near = a + " tail"
+    rows = [(1, a), (2, near), (2, b), (3, near), (2, None), (2, "")]
+    left = ngram_join.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert bag(map(tuple, left.collect())) == bag([(1, a), (2, b), (2, None), (2, "")])
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7)]
     got = connected_components(spark.createDataFrame(edges, "u long, v long")).collect()
