@@ -25,7 +25,7 @@ import math
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -142,6 +142,11 @@ def merge_spans(spans: Iterable[Iterable[int]]) -> list[list[int]]:
     return out
 
 
+def in_block(n_blocks: int) -> Column:
+    """Block of a row of ``windows``: by window and item, as many items may share a window."""
+    return F.pmod(F.xxhash64("window", "item"), F.lit(n_blocks))
+
+
 def annotate(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -160,7 +165,7 @@ def annotate(
     df = renamed.withColumn("__hits", F.lit(None).cast(HIT_TYPE))
     spark = docs.sparkSession
     for block in range(n_blocks):
-        part = wins.filter(F.pmod(F.xxhash64("window"), F.lit(n_blocks)) == block)
+        part = wins.filter(in_block(n_blocks) == block)
         rows = spark.sparkContext.broadcast([tuple(r) for r in part.collect()])  # at most about BLOCK_BYTES
 
         def scan(batches, rows=rows):

@@ -42,6 +42,19 @@ def test_contamination(docs, rows, items, monkeypatch, block_bytes):
     assert bag((r.doc_id, r.n_words, r.n_hit, r.n_items, tuple(r["items"])) for r in got) == bag(want)
 
 
+def test_items_of_one_window_are_dealt_over_blocks(spark, docs, rows, monkeypatch):
+    quote = " ".join(prose(3, 40).split()[5:15])
+    found = [(i, quote) for i in range(200)]
+    bench = spark.createDataFrame(found, "item_id long, text string")
+    per = decontaminate.windows(bench).groupBy(decontaminate.in_block(4).alias("b")).count().collect()
+    assert len(per) == 4 and max(r["count"] for r in per) < 100
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 5_000)
+    got = decontaminate.contamination(docs, bench).collect()
+    assert bag((r.doc_id, r.n_words, r.n_hit, tuple(r["items"])) for r in got) == bag(
+        (d, n, h, tuple(i)) for d, n, h, i in brute.contamination(rows, found)
+    )
+
+
 def test_long_texts_are_searched_in_pieces(monkeypatch):
     monkeypatch.setattr(decontaminate, "PIECE_BYTES", 64)
     text = prose(8, 600)
