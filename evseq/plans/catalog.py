@@ -59,9 +59,6 @@ def register(name: str, sql: str | None = None):
 
 
 # ---------------------------------------------------------------- builders
-#: the rows of one game are few by the meaning of the data, so windows per game
-#: are plain windows; all others (per entity, global) run over halo blocks
-PER_GAME = "direct"
 #: rows of a halo block in the registered queries: small, so that the oracle
 #: crosses block edges at every scale (the operators' default is larger)
 BLOCK_ROWS = 1_000
@@ -77,7 +74,7 @@ def _coded(spark, sf):
 
 def _target(spark, sf, context_k=0):
     c, m = _coded(spark, sf)
-    return with_target(c, strategy=PER_GAME, context_k=context_k), m
+    return with_target(c, context_k=context_k), m
 
 
 def _split(spark, sf):
@@ -89,7 +86,7 @@ def _scored(spark, sf, reused=True):
     """Scored rows; written (lineage cut) only when ``reused`` by several aggregates."""
     t, m = _target(spark, sf, context_k=2)  # contexts from the target's window node
     s = split_by_game(t, strategy="halo")
-    return transition_scores(s, m, strategy=PER_GAME, write_scores=reused), m
+    return transition_scores(s, m, write_scores=reused), m
 
 
 def _test(spark, sf, reused=True):
@@ -178,7 +175,7 @@ SEQ_FEATURES = ["release_speed", "release_spin_rate", "effective_speed", "pitch_
 def _windows(spark, sf, keep_split=True):
     s, _ = _split(spark, sf)
     w = Q.sliding_windows(
-        s, SEQ_FEATURES, "next_pitch_type_code", SEQ_LEN, ORDER, [ENT, GAME], keep=["event_id", "split"], strategy=PER_GAME
+        s, SEQ_FEATURES, "next_pitch_type_code", SEQ_LEN, ORDER, [ENT, GAME], keep=["event_id", "split"]
     )
     return w
 
@@ -215,7 +212,7 @@ def _lr_inputs(spark, sf):
     ).join(names, "label_name", "left")
     feats = ["release_speed", "release_spin_rate", "pitch_type_code"]
     w = Q.sliding_windows(
-        s2, feats, "label", SEQ_LEN, ORDER, [ENT, GAME], keep=["event_id", "split", "label_name"], strategy=PER_GAME
+        s2, feats, "label", SEQ_LEN, ORDER, [ENT, GAME], keep=["event_id", "split", "label_name"]
     )
     w = Q.window_channels(w, feats, [])
     flat = F.transform(F.flatten("x_num"), lambda v: F.coalesce(v, F.lit(0.0)))  # 0 is the scaled mean
@@ -686,7 +683,7 @@ def w1(spark, sf):
 )
 def w2(spark, sf):
     c, _ = _coded(spark, sf)
-    out = W.lead(c, "pitch_type_code", "next_pitch_type_code", ORDER, [ENT, GAME], strategy=PER_GAME)
+    out = W.lead(c, "pitch_type_code", "next_pitch_type_code", ORDER, [ENT, GAME])
     return out.select("event_id", "pitch_type_code", "next_pitch_type_code")
 
 
@@ -701,7 +698,7 @@ def _roll_sql(src: str, partition: str) -> str:
 @register("W3_rolling_mean", S.q(S.CLEAN, _roll_sql("c", "player_name, game_pk")))
 def w3(spark, sf):
     c, _ = _coded(spark, sf)
-    out = W.rolling_mean(c, ROLL_COLS, 5, ORDER, [ENT, GAME], strategy=PER_GAME)
+    out = W.rolling_mean(c, ROLL_COLS, 5, ORDER, [ENT, GAME])
     return out.select("event_id", *[X.round6(f"{x}_rolling_mean").alias(f"{x}_rolling_mean") for x in ROLL_COLS])
 
 
@@ -1205,7 +1202,7 @@ M16_COLS = ["release_speed", "release_spin_rate", "effective_speed", "hit_locati
 )
 def m16(spark, sf):
     c, _ = _coded(spark, sf)
-    out = W.rolling_mean(c, M16_COLS, 5, ORDER, [ENT, GAME], strategy=PER_GAME)
+    out = W.rolling_mean(c, M16_COLS, 5, ORDER, [ENT, GAME])
     return out.select("event_id", *[X.round6(f"{x}_rolling_mean").alias(f"{x}_rolling_mean") for x in M16_COLS])
 
 
@@ -1256,7 +1253,7 @@ def _encoded_split(spark, sf):
     the events three times."""
     c, m = _coded(spark, sf)
     e = encode_columns(materialize(c.select(*dict.fromkeys([ENT, GAME, "event_id", *ORDER, *ENCODE_IN, "pitch_type_code"])), "clean"), ORDER)
-    return split_by_game(with_target(e, strategy=PER_GAME), strategy="halo"), m
+    return split_by_game(with_target(e), strategy="halo"), m
 
 
 Q3_SQL = S.q(
@@ -1284,7 +1281,7 @@ def q3(spark, sf):
     e, _ = _encoded_split(spark, sf)
     num = ["release_speed", "release_spin_rate", "effective_speed"]
     w = Q.sliding_windows(
-        e, num + Q3_CHANNELS, "next_pitch_type_code", SEQ_LEN, ORDER, [ENT, GAME], keep=["event_id"], strategy=PER_GAME
+        e, num + Q3_CHANNELS, "next_pitch_type_code", SEQ_LEN, ORDER, [ENT, GAME], keep=["event_id"]
     )
     out = Q.window_channels(w, num, Q3_CHANNELS)
     return out.select("event_id", "x_num", *[f"x_{c}" for c in Q3_CHANNELS], "y")
@@ -1302,7 +1299,7 @@ def q3(spark, sf):
 def q4(spark, sf):
     s, _ = _split(spark, sf)
     tr = s.filter(F.col("split") == "train")
-    return Q.window_labels(tr, "pitch_type_code", SEQ_LEN, ORDER, [ENT, GAME], strategy=PER_GAME).select("event_id", "y")
+    return Q.window_labels(tr, "pitch_type_code", SEQ_LEN, ORDER, [ENT, GAME]).select("event_id", "y")
 
 
 @register(
@@ -1440,7 +1437,7 @@ def l7(spark, sf):
     from evseq.plans.tuning import grid_search_transitions
 
     t, m = _target(spark, sf, context_k=2)
-    return grid_search_transitions(split_by_game(t), m, ks=(1, 2), alphas=(0.5, 1.0), strategy=PER_GAME)
+    return grid_search_transitions(split_by_game(t), m, ks=(1, 2), alphas=(0.5, 1.0))
 
 
 @register(

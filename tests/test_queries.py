@@ -1,6 +1,7 @@
 """Every registered query against its DuckDB oracle on the smallest tables."""
 
 import os
+import re
 
 import pytest
 
@@ -29,6 +30,15 @@ def test_query_matches_oracle(spark, con, name):
     assert status in ("ok", "rows-only"), info
 
 
+@pytest.mark.parametrize("name", ["M13_next_event_target", "W3_rolling_mean"])
+def test_windows_per_game_run_over_blocks(spark, name):
+    from evseq.plans.catalog import QUERIES
+
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().analyzed().toString()
+    per_game = re.findall(r"windowspecdefinition\(player_name#\d+, game_pk#\d+[^,]*, (\w+)", plan)
+    assert per_game and set(per_game) == {"_blk"}
+
+
 def test_entry_smoke(spark):
     import __spark_entry__ as entry
 
