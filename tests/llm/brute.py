@@ -117,3 +117,55 @@ def tokens(docs, tokenizer, end=2):
         out.append((doc, at, len(ids), zlib.crc32(ids.tobytes())))
         at += len(ids)
     return out
+
+
+def importance(docs, items, buckets=10_000, seed=7, min_words=20, percent=25):
+    """[(id, text)], [(item, text)] -> {id: (n_features, weight, score, rank)} for distinct ids."""
+    import math
+
+    word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+    def words(text):
+        return word.findall((text or "").translate(UPPER))
+
+    def features(text):
+        w = words(text)
+        return [zlib.crc32(f.encode()) % buckets for f in w + [f"{a} {b}" for a, b in zip(w, w[1:])]]
+
+    s = collections.Counter(f for _, text in docs for f in features(text))
+    t = collections.Counter(f for _, text in items for f in features(text))
+    all_s, all_t = sum(s.values()), sum(t.values())
+    gain = [
+        math.floor(1000 * math.log((t[b] + 1) * (all_s + buckets) / ((s[b] + 1) * (all_t + buckets)))) for b in range(buckets)
+    ]
+    out, eligible = [], []
+    for at, (doc, text) in enumerate(docs):
+        f = features(text)
+        weight = sum(gain[b] for b in f) // len(f) if f else 0
+        h = int(hashlib.sha256(f"{seed}:{'' if doc is None else doc}".encode()).hexdigest()[:8], 16)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        out.append([doc, len(f), weight, score, None])
+        if len(words(text)) >= min_words:
+            eligible.append((-score, doc is None, doc or 0, at))
+    for rank, (*_, at) in enumerate(sorted(eligible)[: percent * len(eligible) // 100], 1):
+        out[at][4] = rank
+    return [tuple(r) for r in out]
+
+
+def whitening(vectors, components=8):
+    """[vector] -> (n, exact deviations, whitened up to sign, eigenvalues, trace)."""
+    import math
+    from fractions import Fraction
+
+    import numpy as np
+
+    x = [[math.floor(1024 * c) + 100_000 for c in v] for v in vectors]
+    n, d = len(x), len(x[0])
+    sums = [sum(r[i] for r in x) for i in range(d)]
+    deviation = [sum((n * a - s) ** 2 for a, s in zip(r, sums)) for r in x]
+    centred = [[n * a - s for a, s in zip(r, sums)] for r in x]
+    cov = np.array([[float(Fraction(sum(r[i] * r[j] for r in centred), n**3)) for j in range(d)] for i in range(d)])
+    values, directions = np.linalg.eigh(cov)
+    order = np.argsort(values)[::-1][:components]
+    z = np.array([[a / n for a in r] for r in centred]) @ directions[:, order] / np.sqrt(values[order])
+    return n, deviation, z, values[order], cov.trace()

@@ -140,3 +140,26 @@ def test_stages_on_nothing(spark):
         out = stage(spark, docs, SF)
         assert out.count() == 0
         docs = out if out.columns == docs.columns else docs
+
+
+def test_op12(spark, con):
+    got = collected(spark, "op12_shuffle_shards")
+    texts = dict(con.execute("select doc_id, text from documents").fetchall())
+    raw = {i: (t or "").encode() for i, t in texts.items()}
+    assert {r.doc_id: (r["size"], r.text_crc32) for r in got} == {i: (len(b) + 1, zlib.crc32(b)) for i, b in raw.items()}
+    sizes = collections.Counter(r.shard for r in got)
+    assert sorted(sizes) == list(range(8)) and max(sizes.values()) - min(sizes.values()) <= 1
+    assert len({(r.shard, r.slot) for r in got}) == len(got) and all(r.slot < sizes[r.shard] for r in got)
+
+
+def test_op13(spark):
+    import pyarrow.parquet as pq
+
+    rows = pq.read_table(f"{SF}/embeddings.parquet").to_pylist()
+    n, deviation, z, values, trace = brute.whitening([r["embedding"] for r in rows])
+    want = {r["vec_id"]: (d, w) for r, d, w in zip(rows, deviation, z)}
+    got = collected(spark, "op13_whitening")
+    assert len(got) == 8 * len(rows) and {r.n for r in got} == {n}
+    assert all(r.deviation == want[r.vec_id][0] for r in got)
+    assert all(abs(abs(r.whitened) - abs(want[r.vec_id][1][r.component - 1])) < 1e-9 for r in got)
+    assert all(abs(r.explained - values[r.component - 1] / trace) < 1e-12 and r.identity_error < 1e-4 for r in got)
