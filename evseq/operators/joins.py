@@ -40,7 +40,7 @@ def strict_lookup(
 ) -> DataFrame:
     """Data-derived map joined on ``on``; a non-null ``source_col`` without
     a match raises (strict), null passes."""
-    joined = df.join(mapping.select(*on, F.col(value_col).alias("_hit")), list(on), "left")
+    joined = null_safe_join(df, mapping.select(*on, F.col(value_col).alias("_hit")), list(on))
     src = F.col(source_col)
     checked = (
         F.when(src.isNull(), F.lit(None).cast(mapping.schema[value_col].dataType))
@@ -61,6 +61,6 @@ def inverse_lookup(
 ) -> DataFrame:
     """Code -> name, ``Unknown-{code}`` when the code is not in the map."""
     m = mapping.select(*on, F.col(name_col).alias("_name"))
-    joined = codes.join(m, list(on), "left")
+    joined = null_safe_join(codes, m, list(on))
     name = F.coalesce(F.col("_name"), F.concat(F.lit(default_prefix), F.col(code_col).cast("string")))
     return joined.withColumn(out, name).drop("_name")

@@ -75,3 +75,16 @@ def test_rows_get_codes_weights_and_merges(spark, df):
     )
     weighted = L.sample_weights(df, df, "v", ["g"])
     assert weighted.filter("v is not null and weight is null").count() == 0
+
+
+def test_lookups(spark):
+    """Strict and inverse lookups find the map of the null group."""
+    from evseq.operators import joins as J
+
+    rows = spark.createDataFrame([(1, "a", "x"), (2, None, "x"), (3, None, None)], "id int, g string, v string")
+    codes = spark.createDataFrame([("a", "x", 5), (None, "x", 7)], "g string, v string, code int")
+    got = J.strict_lookup(rows, codes, ["g", "v"], "code", "out", "v")
+    assert bag(got, "id", "out") == [(1, 5), (2, 7), (3, None)]
+    asked = spark.createDataFrame([("a", 5), (None, 7), (None, 8)], "g string, code int")
+    names = J.inverse_lookup(asked, codes, ["g", "code"], "v", "name", "code")
+    assert bag(names, "g", "code", "name") == sorted([("a", 5, "x"), (None, 7, "x"), (None, 8, "Unknown-8")], key=repr)

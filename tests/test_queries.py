@@ -12,6 +12,7 @@ pytestmark = pytest.mark.skipif(not os.path.exists(SF), reason="driver tables no
 
 
 def _names():
+    from evseq.plans import learned  # noqa: F401  (registers its queries)
     from evseq.plans.catalog import QUERIES
 
     return list(QUERIES)
