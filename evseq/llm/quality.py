@@ -1,7 +1,8 @@
 """Operator 4: quality classifier, gradient-boosted trees over document statistics.
 
 ``features`` turns a whole text into fixed statistics of its bytes, words and
-lines; nothing else (language, source, id) enters a score.  The trees are
+lines, which are the same at every length (memory grows with a text's distinct
+words, word pairs and lines); nothing else (language, source, id) enters a score.  The trees are
 fitted on the driver from at most ``MAX_TRAIN`` labelled rows, a bounded
 sample taken by the hash of the id; rows whose crc32(id) mod 5 is 0 are held
 out.  The flattened trees (a few ten kB) are broadcast and every document is
@@ -16,7 +17,9 @@ are ignored (``keep_good`` keeps them).
 
 from __future__ import annotations
 
+import re
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +32,8 @@ from evseq.llm.common import pick, positional
 MAX_TRAIN = 20_000  # labelled rows fitted at most
 THRESHOLD = 0.3
 FOLDS = 5
-PIECE = 1 << 20  # bytes of a text counted at once
+PIECE = 1 << 20  # bytes of a text split into words at once
+SPACE, LINE_END = re.compile(rb"\s"), re.compile(rb"\n")
 MARKS = b"$#%&*!|.,;:?-\"'()/\\<>=@_+~^{}[]"
 N_FEATURES = 21 + len(MARKS)
 
@@ -38,36 +42,52 @@ def held_out(id_col: str) -> Column:
     return F.coalesce(F.crc32(F.encode(F.col(id_col).cast("string"), "UTF-8")) % FOLDS == 0, F.lit(False))
 
 
+def pieces(raw: bytes, separator: re.Pattern[bytes]) -> Iterator[bytes]:
+    """A text in pieces that end before a separator, so no word or line is cut."""
+    at = 0
+    while at < len(raw):
+        cut = separator.search(raw, at + PIECE)
+        end = cut.start() if cut else len(raw)
+        yield raw[at:end]
+        at = end
+
+
 def features(text: str | None) -> np.ndarray:
-    """Statistics of a whole text, added up over pieces of ``PIECE`` bytes."""
+    """Statistics of a whole text.  Words, word pairs and lines are counted over
+    all of it; ``PIECE`` only bounds the word list held at once."""
     raw = (text or "").encode()
     if not raw:
         return np.zeros(N_FEATURES)
     size = len(raw)
     count = np.bincount(np.frombuffer(raw, np.uint8), minlength=256)
-    words = unique = repeats = top = long_words = marked = capital = upper = 0
-    lines = distinct_lines = top_line = short_lines = pairs = 0
-    word_bytes = 0
-    for at in range(0, size, PIECE):
-        piece = raw[at : at + PIECE]
+    by_word: Counter[bytes] = Counter()
+    by_line: Counter[bytes] = Counter()
+    pairs: set[tuple[bytes, bytes]] = set()
+    repeats, last = 0, None
+    for piece in pieces(raw, SPACE):
         w = piece.split()
-        by_word = Counter(w)
-        words += len(w)
-        unique += len(by_word)
-        top += max(by_word.values(), default=0)
+        if not w:
+            continue
+        if last is not None:
+            repeats += last == w[0]
+            pairs.add((last, w[0]))
+        by_word.update(w)
         repeats += sum(map(bytes.__eq__, w, w[1:]))
-        pairs += len(set(zip(w, w[1:])))
-        for x, k in by_word.items():
-            word_bytes += k * len(x)
-            long_words += k * (len(x) > 14)
-            marked += k * (len(x) > 3 and x[-1] == x[-2] == x[-3])
-            capital += k * x[:1].isupper()
-            upper += k * (len(x) > 1 and x.isupper())
-        by_line = Counter(x for x in piece.split(b"\n") if x)
-        lines += sum(by_line.values())
-        distinct_lines += len(by_line)
-        top_line += max(by_line.values(), default=0)
-        short_lines += sum(k for x, k in by_line.items() if len(x) < 30)
+        pairs.update(zip(w, w[1:]))
+        last = w[-1]
+    for piece in pieces(raw, LINE_END):
+        by_line.update(x for x in piece.split(b"\n") if x)
+    words = word_bytes = long_words = marked = capital = upper = 0
+    for x, k in by_word.items():
+        words += k
+        word_bytes += k * len(x)
+        long_words += k * (len(x) > 14)
+        marked += k * (len(x) > 3 and x[-1] == x[-2] == x[-3])
+        capital += k * x[:1].isupper()
+        upper += k * (len(x) > 1 and x.isupper())
+    unique, top = len(by_word), max(by_word.values(), default=0)
+    lines, distinct_lines, top_line = sum(by_line.values()), len(by_line), max(by_line.values(), default=0)
+    short_lines = sum(k for x, k in by_line.items() if len(x) < 30)
     nw, nl = max(words, 1), max(lines, 1)
     shares = [
         count[65:91].sum() / size,
@@ -80,7 +100,7 @@ def features(text: str | None) -> np.ndarray:
     return np.array(
         [
             np.log1p(size), np.log1p(words), np.log1p(lines), word_bytes / nw, unique / nw, repeats / nw, top / nw,
-            pairs / nw, long_words / nw, marked / nw, capital / nw, upper / nw, distinct_lines / nl, top_line / nl,
+            len(pairs) / nw, long_words / nw, marked / nw, capital / nw, upper / nw, distinct_lines / nl, top_line / nl,
             short_lines / nl, *shares, *(count[list(MARKS)] / size),
         ]
     )
