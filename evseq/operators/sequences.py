@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from evseq.operators.joins import null_safe_join
-from evseq.operators.ordered import GPOS, ordered_window, with_global_position
+from evseq.operators.ordered import GPOS, ordered_window, rank_in_groups, with_global_position
 
 SPLITS = ("train", "val", "test")
 
@@ -176,6 +176,69 @@ def seeded_shuffle(df: DataFrame, key: Sequence[str], seed: int = 42) -> DataFra
     return df.orderBy(F.xxhash64(*[F.col(c) for c in key], F.lit(seed)), *key)
 
 
+def block_shuffle(
+    df: DataFrame, key: Sequence[str], epoch: int = 0, seed: int = 42, block_rows: int = 100_000, n_rows: int | None = None
+) -> DataFrame:
+    """Q7 without a global sort: rows are dealt to blocks of about ``block_rows``
+    by a seeded hash of the key and put in a second hash's order inside; one hash
+    exchange, and never more than a block to sort at a time.  Another ``epoch``
+    gives another order.  Adds ``block`` and ``slot`` (place in the block); the key
+    must tell rows apart.  ``n_rows``: the number of rows where it is known."""
+    n = df.count() if n_rows is None else n_rows
+    blocks = max(1, -(-n // block_rows))
+    mixed = [F.lit(seed), F.lit(epoch), *[F.col(c) for c in key]]
+    block = F.pmod(F.xxhash64(F.lit("block"), *mixed), F.lit(blocks))
+    order = Window.partitionBy("block").orderBy(F.xxhash64(F.lit("slot"), *mixed), *key)
+    return df.withColumn("block", block).withColumn("slot", F.row_number().over(order) - 1)
+
+
+def padded_windows(
+    df: DataFrame,
+    features: Sequence[str],
+    label: str,
+    length: int,
+    order_by: Sequence[str],
+    partition_by: Sequence[str] = (),
+    buckets: Sequence[int] = (),
+    keep: Sequence[str] = (),
+    **kw,
+) -> DataFrame:
+    """Windows of all rows, those with fewer than ``length`` rows before them too.
+
+    ``x`` is padded in front with nulls up to ``bucket``, the smallest of
+    ``buckets`` (``length`` is always one) that holds the rows there are, and
+    ``mask`` is 1 where a row stands.  Rows without a label are dropped."""
+    L = int(length)
+    sizes = sorted({b for b in buckets if 0 < b < L} | {L})
+
+    def build(w: WindowSpec) -> dict[str, Column]:
+        frame = w.rowsBetween(-(L - 1), 0)
+        return {"x": F.collect_list(F.struct(*[F.col(c) for c in features])).over(frame), "y": F.col(label)}
+
+    out = ordered_window(df, partition_by, order_by, build, before=L - 1, after=0, **kw).filter(F.col("y").isNotNull())
+    n = F.size("x")
+    bucket = F.coalesce(*[F.when(n <= b, F.lit(b)) for b in sizes])
+    key = list(dict.fromkeys([*partition_by, *order_by, *keep]))
+    pad = bucket - n
+    empty = F.lit(None).cast(out.schema["x"].dataType.elementType)
+    return out.select(
+        *key,
+        F.concat(F.array_repeat(empty, pad), "x").alias("x"),
+        F.concat(F.array_repeat(F.lit(0), pad), F.array_repeat(F.lit(1), n)).alias("mask"),
+        bucket.alias("bucket"),
+        "y",
+    )
+
+
+def mini_batches(df: DataFrame, by: Sequence[str], order_by: Sequence[str], batch_rows: int) -> DataFrame:
+    """Number rows into batches of ``batch_rows`` in order, from 0 for each value of
+    ``by`` (split, length bucket), so that no batch crosses one; the last batch of
+    each may be short.  ``order_by`` must make rows of a group distinct."""
+    ranked = rank_in_groups(df, by, order_by, "_at")
+    b = F.lit(int(batch_rows))
+    return ranked.withColumn("batch", F.floor(F.col("_at") / b).cast("long")).withColumn("slot", (F.col("_at") % b).cast("int")).drop("_at")
+
+
 def flatten_windows(windows: DataFrame, key: Sequence[str], array_col: str = "x_num", features: Sequence[str] = ()) -> DataFrame:
     """Q8: window x step -> one row per (window, step) with one column per feature."""
     ex = windows.select(*key, F.posexplode(array_col).alias("step", "_v"))

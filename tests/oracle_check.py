@@ -89,6 +89,7 @@ def compare(spark, con, name, fn, sql, sf_dir):
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 and argv[1].startswith("/") else "/root/testdata/sf0.01"
     prefixes = [a for a in argv[1:] if not a.startswith("/")]
+    from evseq.plans import learned  # noqa: F401
     from evseq.plans.catalog import ORACLE, QUERIES
     from evseq.session import local_session
 
