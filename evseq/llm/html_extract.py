@@ -5,9 +5,9 @@ markup stays inside its block; scripts, styles and comments are skipped, scripts
 and other raw text up to their own end tag; open paragraphs, list items and
 cells are closed as browsers do).  Every node gets features of its subtree
 (text, link and tag density), its attribute tokens, its ancestors, depth and
-siblings; the trees of ``boosting`` give the log odds that it holds main text.  Decoding is hierarchical: the best set of nodes is
-taken in which a node is chosen only if its parent is, so a descendant never
-contradicts an ancestor.
+siblings; the trees of ``boosting`` give the log odds that it holds main text.
+Decoding is hierarchical: the best set of nodes is taken in which a node is
+chosen only if its parent is, so a descendant never contradicts an ancestor.
 
 No labels exist, so the trees are trained on ``MAX_TRAIN_PAGES`` pages (a
 bounded sample by the hash of the url) whose text lies in one article or main
@@ -17,7 +17,8 @@ around and between them, and the place of each paragraph is its label.  Each
 page is then extracted on its own in one streaming pass.
 
 Defined cases: a null or empty page, or one without text, gives the empty
-text; markup that is never closed ends with its page; repeated rows are each
+text; markup that is never closed ends with its page; nesting of any depth is
+read in time linear in the tags; repeated rows are each
 extracted; without a usable page the frames are filled with built-in words; an
 empty table gives no rows; other columns are ignored.
 """
@@ -27,6 +28,7 @@ from __future__ import annotations
 import html
 import random
 import re
+from collections import defaultdict
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -107,6 +109,7 @@ def parse(page: str | None) -> list[Node]:
     """Block nodes in page order; children always come after their parent."""
     nodes = [Node("html", -1, 0)]
     stack = [0]
+    opened: defaultdict[str, list[int]] = defaultdict(list)  # places in the stack by tag, so that nothing walks it
     run: list[str] = []
     run_links = link_depth = 0
     runs: list[tuple[int, str, int]] = []  # (node, text, characters in links)
@@ -131,7 +134,8 @@ def parse(page: str | None) -> list[Node]:
 
     def close_to(position: int) -> None:
         flush()
-        del stack[position:]
+        while len(stack) > position:
+            opened[nodes[stack.pop()].tag].pop()
 
     at = pos = 0
     skip_to: str | None = None
@@ -162,10 +166,8 @@ def parse(page: str | None) -> list[Node]:
             if tag == "a":
                 link_depth = max(0, link_depth - 1)
             elif tag in BLOCK:
-                for i in range(len(stack) - 1, 0, -1):
-                    if nodes[stack[i]].tag == tag:
-                        close_to(i)
-                        break
+                if opened[tag]:
+                    close_to(opened[tag][-1])
                 link_depth = 0
             continue
         if stack[-1] < len(nodes):
@@ -189,17 +191,14 @@ def parse(page: str | None) -> list[Node]:
             nodes[0].words += _attribute_words(m[3])
             continue
         ends = set(SAME.get(tag, "").split()) | ({"p"} if tag in CLOSES_P else set())
-        if ends:
-            for i in range(len(stack) - 1, 0, -1):
-                open_tag = nodes[stack[i]].tag
-                if open_tag in ends:
-                    close_to(i)
-                    break
-                if open_tag in SCOPE and open_tag not in ends:
-                    break
+        if here := [opened[t][-1] for t in ends if opened[t]]:
+            scope = max((opened[t][-1] for t in SCOPE - ends if opened[t]), default=0)
+            if max(here) > scope:
+                close_to(max(here))
         parent = stack[-1]
         nodes.append(Node(tag, parent, nodes[parent].depth + 1, _attribute_words(m[3])))
         nodes[parent].children.append(len(nodes) - 1)
+        opened[tag].append(len(stack))
         stack.append(len(nodes) - 1)
     if skip_to is None:
         add_text(at, len(page))

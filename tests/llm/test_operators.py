@@ -496,6 +496,18 @@ def test_parse_reads_hostile_pages_once(part):
     assert time.perf_counter() - start < 10
 
 
+@pytest.mark.parametrize(
+    "page",
+    ["<div>" * 100_000 + "</p>" * 100_000, "<h1>x" * 100_000, "<table><tr><td>" * 40_000, "<ul><li>" * 50_000 + "</ul>" * 50_000]
+    + ["<p>" + "<div>" * 50_000 + "<li>x" * 50_000],
+)
+def test_nested_pages_take_linear_time(page):
+    start = time.perf_counter()
+    nodes = html_extract.parse(page)
+    html_extract.decode(nodes, html_extract.features(nodes)[:, 0])
+    assert time.perf_counter() - start < 10
+
+
 @pytest.mark.parametrize("n", [2, 49, 50, 300])
 def test_largest_sibling_share_at_every_count(n):
     nodes = html_extract.parse("<article>" + "<p>ab</p>" * (n - 1) + "<p>abcdefgh</p></article>")
