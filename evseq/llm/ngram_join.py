@@ -46,6 +46,7 @@ from evseq.llm.components import connected_components
 
 SIZE = 4
 THRESHOLD = 85
+SKETCH_PARTS, FAN_IN = 256, 64
 SKETCH_BITS = 20
 BUFFER = 1 << 18  # bytes hashed at once, few enough for the cache
 BLOCK_SETS = 2_000  # sets of one block of a cluster
@@ -264,8 +265,10 @@ def tree_links(
 
 
 def _sketch(texts: DataFrame, size: int) -> np.ndarray:
-    """Counts of all shingles in 2**SKETCH_BITS cells, of fixed size."""
-    parts, width = 16, (1 << SKETCH_BITS) // 16
+    """Counts of all shingles in 2**SKETCH_BITS cells, of fixed size.  A task sends
+    its counts in parts; they are added one by one, first those of every FAN_IN-th
+    task, then these sums."""
+    parts, width = SKETCH_PARTS, (1 << SKETCH_BITS) // SKETCH_PARTS
 
     def count(batches):
         total = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
@@ -280,13 +283,20 @@ def _sketch(texts: DataFrame, size: int) -> np.ndarray:
                     [pa.array([part], pa.int32()), pa.array([cells.tobytes()], pa.binary())], ["part", "cells"]
                 )
 
-    def add(t: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(c, np.int64) for c in t.column("cells").to_pylist())
-        return pa.table({"part": t.column("part").slice(0, 1), "cells": pa.array([total.tobytes()], pa.binary())})
+    def add(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # one running sum, however many tasks have counted
+        total = np.zeros(width, dtype=np.int64)
+        for batch in batches:
+            column = batch.column(batch.schema.get_field_index("cells"))
+            for i in range(batch.num_rows):
+                total += np.frombuffer(column[i].as_py(), np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["part", "cells"])
 
     schema = "part int, cells binary"
-    rows = texts.select("text").mapInArrow(count, schema).groupBy("part").applyInArrow(add, schema).collect()
-    out = np.zeros(1 << SKETCH_BITS, dtype=np.int64)  # at most 16 rows, 8 MB in all
+    counted = texts.select("text").mapInArrow(count, schema).withColumn("task", F.pmod(F.spark_partition_id(), F.lit(FAN_IN)))
+    some = counted.groupBy("part", "task").applyInArrow(add, schema)
+    rows = some.groupBy("part").applyInArrow(add, schema).collect()
+    out = np.zeros(1 << SKETCH_BITS, dtype=np.int64)  # SKETCH_PARTS rows, 8 MB in all
     for r in rows:
         out[r["part"] * width : (r["part"] + 1) * width] = np.frombuffer(r["cells"], np.int64)
     return np.minimum(out, np.iinfo(np.int32).max).astype(np.int32)
