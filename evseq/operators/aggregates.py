@@ -51,13 +51,27 @@ def scalar_max(df: DataFrame, expr: Column, alias: str) -> DataFrame:
     return df.agg(F.max(expr).alias(alias))
 
 
+def distinct_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(column, n): distinct values of each column, null as one value.
+
+    The columns are stacked as (column, value) and made distinct map-side; several
+    ``count_distinct`` in one aggregate would expand every row once per column.
+    Values are compared by their text, -0.0 as 0.0.  An empty table gives no rows."""
+
+    def text(c: str) -> Column:
+        real = df.schema[c].dataType.typeName() in ("float", "double")
+        return (F.col(c) + F.lit(0.0) if real else F.col(c)).cast("string")
+
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), text(c).alias("value")) for c in cols])
+    found = df.select(F.explode(pairs).alias("_p")).select("_p.*").distinct()
+    return found.groupBy("column").agg(F.count(F.lit(1)).alias("n"))
+
+
 def n_unique(df: DataFrame, cols: Sequence[str], prefix: str = "n_unique_") -> DataFrame:
     """Distinct count with null counted as one value (one row)."""
-    exprs = [
-        (F.count_distinct(F.col(c)) + F.max(F.col(c).isNull().cast("int"))).cast("bigint").alias(f"{prefix}{c}")
-        for c in cols
-    ]
-    return df.agg(*exprs)
+    counts = distinct_counts(df, cols)
+    # without rows a maximum over nothing is null, as it is for one column alone
+    return counts.agg(*[F.max(F.when(F.col("column") == c, F.col("n"))).cast("bigint").alias(f"{prefix}{c}") for c in cols])
 
 
 def _unpivot(wide: DataFrame, names: Sequence[str], value_cols: Sequence[Sequence[str]], out_names: Sequence[str]) -> DataFrame:

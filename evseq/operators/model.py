@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from evseq.functions.exprs import argmax, clip
-from evseq.operators.aggregates import balanced_class_weights
+from evseq.operators.aggregates import balanced_class_weights, distinct_counts
 from evseq.operators.joins import null_safe_join
 from evseq.operators.ordered import ordered_window
 
@@ -143,14 +143,8 @@ def log_loss(scored: DataFrame, by: Sequence[str] = (), p: str = "p", y: str = "
 def cardinalities(df: DataFrame, cols: Sequence[str], plus_one: Sequence[str] = ()) -> DataFrame:
     """Number of distinct values (null counts as one) per model input, long
     form; ``plus_one`` columns report n + 1 (an embedding sized max+1)."""
-    aggs = []
-    for c in cols:
-        n = F.count_distinct(F.col(c)) + F.max(F.col(c).isNull().cast("int"))
-        if c in plus_one:
-            n = n + 1
-        aggs.append(n.cast("bigint").alias(c))
-    wide = df.agg(*aggs)
-    return wide.select(F.explode(F.array(*[F.struct(F.lit(c).alias("input"), F.col(c).alias("cardinality")) for c in cols])).alias("_s")).select("_s.*")
+    more = F.when(F.col("column").isin(*plus_one), 1).otherwise(0) if plus_one else F.lit(0)
+    return distinct_counts(df, cols).select(F.col("column").alias("input"), (F.col("n") + more).cast("bigint").alias("cardinality"))
 
 
 def fit_logistic(

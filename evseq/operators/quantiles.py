@@ -7,8 +7,8 @@ interpolation between the order statistics at ``q * (n - 1)``) come from:
 
 1. a histogram ``(group, value, count)`` by partial aggregation (duplicates
    collapse map-side);
-2. ``repartitionByRange(group, value)`` of the histogram, written with
-   ``checkpoint()``: a hot group is spread over many partitions in value order;
+2. ``repartitionByRange(group, value)`` of the histogram, written with its
+   partition: a hot group is spread over many partitions in value order;
 3. running counts inside each (partition, group) and per-(partition, group)
    offsets from a small summary (one row per group and partition it touches);
 4. only the histogram rows that hold the ranks ``floor(q(n-1))`` and
@@ -25,23 +25,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from evseq.session import ensure_checkpoint_dir
+from evseq.operators.joins import null_safe_join
+from evseq.session import materialize
 
 VAL = "_qv"
 CNT = "_qc"
 PID = "_qpid"
 
 
-def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Inner join where a null group key matches a null key (a null group is a group)."""
-    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
-    cond = None
-    for k in keys:
-        term = left[k].eqNullSafe(r[f"_r_{k}"])
-        cond = term if cond is None else cond & term
-    return left.join(r, cond, "inner").drop(*[f"_r_{k}" for k in keys])
-
-
 def _histogram(df: DataFrame, value: Column, by: Sequence[str]) -> DataFrame:
     return (
         df.select(*by, value.cast("double").alias(VAL))
@@ -62,9 +53,8 @@ def quantiles_from_histogram(hist: DataFrame, by: Sequence[str], probs: Sequence
     G = list(by)
     spark = hist.sparkSession
     n = n_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ensure_checkpoint_dir(spark)
-    ranged = hist.repartitionByRange(n, *G, VAL).sortWithinPartitions(*G, VAL).checkpoint(eager=True)
-    t = ranged.withColumn(PID, F.spark_partition_id())
+    ranged = hist.repartitionByRange(n, *G, VAL).sortWithinPartitions(*G, VAL)
+    t = materialize(ranged.withColumn(PID, F.spark_partition_id()), "quantiles")
     # running count inside (partition, group); a growing frame, one pass
     w = Window.partitionBy(PID, *G).orderBy(VAL).rowsBetween(Window.unboundedPreceding, 0)
     local = t.withColumn("_run", F.sum(CNT).over(w))
@@ -74,7 +64,7 @@ def quantiles_from_histogram(hist: DataFrame, by: Sequence[str], probs: Sequence
     part = part.withColumn("_off", F.sum("_pt").over(wo) - F.col("_pt"))
     wn = Window.partitionBy(*G) if G else Window.partitionBy()
     part = part.withColumn("_n", F.sum("_pt").over(wn)).drop("_pt")
-    pos = _join_null_safe(local, part, [PID, *G])
+    pos = null_safe_join(local, part, [PID, *G], "inner")
     pos = pos.withColumn("_end", F.col("_off") + F.col("_run")).withColumn("_start", F.col("_end") - F.col(CNT))
     # wanted ranks: floor and ceil of q * (n - 1), per q
     qs = F.explode(F.array(*[F.lit(float(q)) for q in probs])).alias("q")

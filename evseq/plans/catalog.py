@@ -59,11 +59,6 @@ def register(name: str, sql: str | None = None):
 
 
 # ---------------------------------------------------------------- builders
-#: rows of a halo block in the registered queries: small, so that the oracle
-#: crosses block edges at every scale (the operators' default is larger)
-BLOCK_ROWS = 1_000
-
-
 def _f(spark, sf):
     return FL.drop_nulls(pitches(spark, sf), ["pitch_type", "release_speed"])
 
@@ -668,7 +663,7 @@ def a15(spark, sf):
 )
 def w1(spark, sf):
     rows = _f(spark, sf).select("event_id", "pitch_type", *ORDER)
-    out = W.lead(rows, "pitch_type", "next_pitch_type", ORDER, block_rows=BLOCK_ROWS)
+    out = W.lead(rows, "pitch_type", "next_pitch_type", ORDER)
     return out.select("event_id", "pitch_type", "next_pitch_type")
 
 
@@ -705,7 +700,7 @@ def w3(spark, sf):
 @register("W3b_rolling_mean_global", S.q([S.F], _roll_sql("f", "")))
 def w3b(spark, sf):
     rows = _f(spark, sf).select("event_id", *ROLL_COLS, *ORDER)
-    out = W.rolling_mean(rows, ROLL_COLS, 5, ORDER, block_rows=BLOCK_ROWS)
+    out = W.rolling_mean(rows, ROLL_COLS, 5, ORDER)
     return out.select("event_id", *[X.round6(f"{x}_rolling_mean").alias(f"{x}_rolling_mean") for x in ROLL_COLS])
 
 
@@ -740,7 +735,7 @@ def _fill_input(spark, sf):
     ),
 )
 def w4(spark, sf):
-    out = W.fill_backward(_fill_input(spark, sf), "type", "last_pitch_result", ORDER, FILL_KEYS, block_rows=BLOCK_ROWS)
+    out = W.fill_backward(_fill_input(spark, sf), "type", "last_pitch_result", ORDER, FILL_KEYS)
     return out.select("event_id", "type", "last_pitch_result")
 
 
@@ -754,7 +749,7 @@ def w4(spark, sf):
     ),
 )
 def w4b(spark, sf):
-    out = W.last_value_before(_fill_input(spark, sf), "type", "prev_pitch_result", ORDER, FILL_KEYS, block_rows=BLOCK_ROWS)
+    out = W.last_value_before(_fill_input(spark, sf), "type", "prev_pitch_result", ORDER, FILL_KEYS)
     return out.select("event_id", "type", "prev_pitch_result")
 
 
@@ -1223,7 +1218,7 @@ def q1(spark, sf):
     t, _ = _target(spark, sf)
     t = t.select("event_id", *ORDER, "pitch_type_code", "next_pitch_type_code")
     w = Q.sliding_windows(
-        t, ["pitch_type_code"], "next_pitch_type_code", SEQ_LEN, ORDER, label_offset=1, keep=["event_id"], block_rows=BLOCK_ROWS
+        t, ["pitch_type_code"], "next_pitch_type_code", SEQ_LEN, ORDER, label_offset=1, keep=["event_id"]
     )
     return w.select("event_id", F.transform("x", lambda s: s["pitch_type_code"].cast("double")).alias("codes"), "y")
 
