@@ -1,11 +1,11 @@
-"""Streaming use of the row-local operators.
+"""Structured Streaming forms of the operators.
 
-The analytics here have no stream operator of their own (no watermark, stream
-window or state).  What carries over to Structured Streaming unchanged are the
-row-local cleaning expressions; ``clean_stream`` applies them to a streaming
-DataFrame so new events arrive already encoded.
+``clean_stream`` applies the row-local cleaning expressions, which carry over
+unchanged; ``keyed.next_event_stream`` keeps state per (entity, game) and gives
+next events and contexts once the watermark has passed them.
 """
 
+from evseq.streaming.keyed import next_event_stream
 from evseq.streaming.rowlocal import clean_stream
 
-__all__ = ["clean_stream"]
+__all__ = ["clean_stream", "next_event_stream"]
