@@ -67,13 +67,16 @@ def _coded(spark, sf):
     return clean_slice(pitches(spark, sf))
 
 
-def _target(spark, sf, context_k=0):
+def _target(spark, sf, context_k=0, keep=()):
+    """Rows with the next code: keys, order, code and the columns in ``keep``.
+    The ordered stage is written, so what it does not hold is never read."""
     c, m = _coded(spark, sf)
+    c = c.select(*dict.fromkeys([ENT, GAME, "event_id", *ORDER, "pitch_type_code", *keep]))
     return with_target(c, context_k=context_k), m
 
 
-def _split(spark, sf):
-    t, m = _target(spark, sf)
+def _split(spark, sf, keep=()):
+    t, m = _target(spark, sf, keep=keep)
     return split_by_game(t), m
 
 
@@ -95,7 +98,7 @@ TGT_COLS = "player_name, game_pk, event_id, pitch_type, pitch_type_code, next_pi
 def flagship(spark: SparkSession, sf: str) -> DataFrame:
     """Minimal slice: required non-null, top-2 entities, rare merge per
     entity, codes per entity, next code per (entity, game)."""
-    t, _ = _target(spark, sf)
+    t, _ = _target(spark, sf, keep=["pitch_type"])
     return t.select(ENT, GAME, "event_id", "pitch_type", "pitch_type_code", "next_pitch_type_code")
 
 
@@ -168,7 +171,7 @@ SEQ_FEATURES = ["release_speed", "release_spin_rate", "effective_speed", "pitch_
 
 
 def _windows(spark, sf, keep_split=True):
-    s, _ = _split(spark, sf)
+    s, _ = _split(spark, sf, keep=SEQ_FEATURES)
     w = Q.sliding_windows(
         s, SEQ_FEATURES, "next_pitch_type_code", SEQ_LEN, ORDER, [ENT, GAME], keep=["event_id", "split"]
     )
@@ -195,7 +198,7 @@ def s7(spark, sf):
 
 def _lr_inputs(spark, sf):
     """Flattened windows with the global name code as label (L2 inputs)."""
-    s, m = _split(spark, sf)
+    s, m = _split(spark, sf, keep=["release_speed", "release_spin_rate"])
     names = E.sorted_code_map(m.select(F.col("name").alias("label_name")), "label_name", code="label")
     cols = [ENT, GAME, "event_id", *ORDER, "split", "pitch_type_code", "next_pitch_type_code", "release_speed", "release_spin_rate"]
     s = materialize(s.select(*dict.fromkeys(cols)), "split")
@@ -1145,7 +1148,7 @@ SR0 = "sr0 as (select * from sr)"
 
 @register("M12_standard_scale", S.q(S.SPLIT + [SR0], _scale_sql("standard")))
 def m12(spark, sf):
-    s, _ = _split(spark, sf)
+    s, _ = _split(spark, sf, keep=SCALE_COLS)
     rows = materialize(s.select("event_id", "split", *SCALE_COLS), "split")  # read by the fit and the scaling
     out = W.standard_scale(rows, SCALE_COLS, fit_on=F.col("split") == "train")
     return out.select("event_id", *[X.round6(c).alias(c) for c in SCALE_COLS])

@@ -37,7 +37,7 @@ MAX_EPOCHS, PATIENCE, RATE = 5, 2, 0.02
 def training_windows(spark: SparkSession, sf: str) -> tuple[DataFrame, int]:
     """Windows as a recurrent model reads them, written by split and batch, and
     the number of classes (label names over all entities)."""
-    s, m = C._split(spark, sf)
+    s, m = C._split(spark, sf, keep=NUMERIC)
     names = materialize(E.sorted_code_map(m.select(F.col("name").alias("label_name")), "label_name", code="label"), "classes")
     n_classes = names.count()  # one row a class
     lookup = m.join(names, m["name"] == names["label_name"]).select(C.ENT, "pitch_type_code", "label")
@@ -223,7 +223,7 @@ BATCH_SQL = (
 )
 def s7_batches(spark: SparkSession, sf: str) -> DataFrame:
     """Padded windows in fixed-size batches per split and length."""
-    s, _ = C._split(spark, sf)
+    s, _ = C._split(spark, sf, keep=C.SEQ_FEATURES)
     w = Q.padded_windows(
         s, C.SEQ_FEATURES, "next_pitch_type_code", SEQ_LEN, C.ORDER, [C.ENT, C.GAME], buckets=BUCKETS, keep=["event_id", "split"]
     )
