@@ -5,16 +5,27 @@ model, ends flushed and has a checksum, so blocks are read independently.  All
 blocks of a call are coded side by side: step t handles id t of every block
 with numpy, which is how a sequential coder runs fast here.
 
-Model of one id, after the two ids before it:
+Ids go by their number in order of appearance in the block.  Three predictors
+give each number a probability:
 
-* order 2 and order 1 each predict one id (the last that followed the hashed
-  context) with a confidence of 0 to 3;
-* the mixture weights of order 2, order 1, order 0 and "new in this block" are
-  adaptive counts in the context of both confidences and of the predictions'
-  agreement;
-* order 0 gives every id met in the block a probability by adaptive counts
-  over its number in order of appearance, in two steps (64 groups of 32);
-* an id that is new in its block is sent as 16 plain bits.
+* order 0: its share of the block so far (exact counts);
+* order 1 and order 2: the number that last followed the hash of the one or
+  two ids before, with a confidence of 0 to 3.
+
+A fourth says that the id is new.  The coder's probability of a number is the
+weighted sum of all that predict it, so what several orders agree on adds up:
+
+    p(x) = (w2 [x = p2] + w1 [x = p1] + w0 count(x) / t + wn [x is new]) / sum of w
+
+in whole numbers throughout, hence alike on every machine.  The weights are
+kept per context (both confidences, and whether the orders agree) and move by
+1/2**RATE towards each predictor's share of the probability that the id really
+got.  Cumulative sums run over numbers, and the masses of orders 1 and 2 lie
+before the order-0 mass of their number, so a reader finds x by comparing with
+at most two places and searching the order-0 sums (``GROUPS`` of ``MEMBERS``).
+
+A new id follows by a fixed law that falls with the id (vocabularies number
+their tokens by merge rank).
 
 The arithmetic coder keeps 48 bits of low and range, sends 16-bit words and
 shortens the range where a carry could arise, so no word sent ever changes.
@@ -26,59 +37,132 @@ import zlib
 
 import numpy as np
 
-BLOCK = 2048
-STEP = 12  # added to a count; BLOCK * STEP + 64 stays under 2**16
-SLOTS1, SLOTS2 = 1024, 2048
-GROUPS, MEMBERS = 64, 32  # BLOCK = GROUPS * MEMBERS numbers
-MIX = 32
+BLOCK = 4096
+SLOTS1, SLOTS2 = 2048, 4096
+GROUPS, MEMBERS = 64, 64  # BLOCK = GROUPS * MEMBERS numbers
+CONTEXTS = 32
+WEIGHT, RATE = 1 << 14, 5  # sum of the weights, and how slowly they move
+HALF = 1 << RATE - 1  # rounds; no weight falls below it
+EMPTY = 0xFFFF  # of a slot without a number
 MASK = (1 << 48) - 1
+SHORT = 1 << 30  # least range; totals stay below 2**27
 WORST = 6  # 16-bit words an id may take
-#: what a symbol adds to the running counts of its row
-_ADD = {k: np.triu(np.full((k, k), STEP, dtype=np.uint16)) for k in (4, MEMBERS, GROUPS)}
+#: what number j of a row adds to the sums before the others
+_ADD = np.triu(np.ones((64, 64), dtype=np.uint16), 1)
+_NEW = np.concatenate([[0], np.cumsum((1 << 22) // (np.arange(1 << 16) + 512) + 1)]).astype(np.int64)
+
+
+def _start_weights() -> np.ndarray:
+    """Order 2, order 1, order 0, new; for every context."""
+    two, one = np.divmod(np.arange(CONTEXTS) >> 1, 4)
+    parts = np.stack([1 + 3 * two, 1 + 2 * one, np.full(CONTEXTS, 6), np.full(CONTEXTS, 4)])
+    return parts * WEIGHT // parts.sum(axis=0)
 
 
 class _Model:
-    """State of all blocks.  Rows of counts are kept as running sums."""
+    """State of all blocks.  ``groups`` and ``members`` hold counts of the
+    numbers before each, within the block and within the group."""
 
     def __init__(self, lanes: int):
-        self.groups = np.tile(np.arange(1, GROUPS + 1, dtype=np.uint16), (lanes, 1))
-        self.members = np.tile(np.arange(1, MEMBERS + 1, dtype=np.uint16), (lanes * GROUPS, 1))
-        self.mix = np.tile(np.array([1, 2, 5, 9], dtype=np.uint16), (lanes * MIX, 1))
-        self.first = np.full(lanes * SLOTS1, 0xFFFF, dtype=np.int32)  # id | confidence << 16
-        self.second = np.full(lanes * SLOTS2, 0xFFFF, dtype=np.int32)
-        self.one = np.zeros(lanes, dtype=np.int64)  # the id before
-        self.two = np.zeros(lanes, dtype=np.int64)  # and the one before it
         self.lane = np.arange(lanes, dtype=np.int64)
+        self.count = np.zeros(lanes * BLOCK, dtype=np.uint16)
+        self.groups = np.zeros((lanes, GROUPS), dtype=np.uint16)
+        self.members = np.zeros((lanes * GROUPS, MEMBERS), dtype=np.uint16)
+        self.weights = np.tile(_start_weights(), lanes)
+        self.first = np.full(lanes * SLOTS1, EMPTY, dtype=np.int32)  # number | confidence << 16
+        self.second = np.full(lanes * SLOTS2, EMPTY, dtype=np.int32)
+        self.one = np.zeros(lanes, dtype=np.int64)  # the number before
+        self.two = np.zeros(lanes, dtype=np.int64)  # and the one before it
 
-    def predict(self, n: int):
+    def before(self, n: int, x) -> np.ndarray:
+        """Ids so far with a smaller number than x."""
+        group = self.lane[:n] * GROUPS + (x >> 6)
+        return self.groups.ravel()[group] + self.members.ravel()[group * MEMBERS + (x & 63)].astype(np.int64)
+
+    def predict(self, n: int, t: int) -> None:
+        """What the orders expect as id t of the first n blocks."""
         lane, one = self.lane[:n], self.one[:n]
-        at1 = lane * SLOTS1 + ((one * 40503) >> 3) % SLOTS1
-        at2 = lane * SLOTS2 + ((one * 30011 + self.two[:n] * 52391) >> 4) % SLOTS2
-        p1, p2 = self.first[at1], self.second[at2]
-        id1, id2 = p1 & 0xFFFF, p2 & 0xFFFF
-        context = lane * MIX + ((p2 >> 16) * 8 + (p1 >> 16) * 2 + (id1 == id2))
-        return at1, at2, p1, p2, id1, id2, context
-
-    def learn(self, n: int, at1, at2, p1, p2, id1, id2, ids) -> None:
-        for table, at, packed, guess in ((self.first, at1, p1, id1), (self.second, at2, p2, id2)):
+        self.at1 = lane * SLOTS1 + one % SLOTS1
+        self.at2 = lane * SLOTS2 + ((one * 30011 + self.two[:n] * 52391) >> 4) % SLOTS2
+        self.packed1, self.packed2 = self.first[self.at1], self.second[self.at2]
+        self.p1, self.p2 = self.packed1 & 0xFFFF, self.packed2 & 0xFFFF
+        self.row = lane * CONTEXTS + ((self.packed2 >> 16) * 8 + (self.packed1 >> 16) * 2 + (self.p1 == self.p2))
+        self.w = np.take(self.weights, self.row, axis=1)
+        self.scale = max(t, 1)
+        self.mass2 = self.w[0] * (self.p2 != EMPTY) * self.scale
+        self.mass1 = self.w[1] * (self.p1 != EMPTY) * self.scale
+        self.mass_new = self.w[3] * self.scale
+        self.total = self.w[2] * t + self.mass2 + self.mass1 + self.mass_new
+
+    def interval(self, n: int, x, new) -> tuple[np.ndarray, np.ndarray]:
+        """Start and size of number x; the weights learn from it."""
+        w0 = self.w[2]
+        start = w0 * self.before(n, x) + self.mass1 * (self.p1 < x) + self.mass2 * (self.p2 < x)
+        share = np.empty_like(self.w)
+        np.multiply(self.mass2, self.p2 == x, out=share[0])
+        np.multiply(self.mass1, self.p1 == x, out=share[1])
+        np.multiply(w0, self.count[self.lane[:n] * BLOCK + x], out=share[2])
+        np.multiply(self.mass_new, new, out=share[3])
+        size = share.sum(axis=0)
+        share *= WEIGHT
+        share //= size
+        share -= self.w
+        share += HALF
+        share >>= RATE
+        self.weights[:, self.row] = self.w + share
+        return start, size
+
+    def find(self, n: int, value) -> tuple[np.ndarray, np.ndarray]:
+        """The number whose interval holds the value, and which are new."""
+        new = value >= self.total - self.mass_new
+        p1, p2 = (np.where(p == EMPTY, 0, p).astype(np.int64) for p in (self.p1, self.p2))
+        swap = p2 < p1
+        a, b = np.minimum(p1, p2), np.maximum(p1, p2)
+        mass_a, mass_b = np.where(swap, self.mass2, self.mass1), np.where(swap, self.mass1, self.mass2)
+        w0 = self.w[2]
+        start_a, start_b = w0 * self.before(n, a), w0 * self.before(n, b)
+        past_a = value >= start_a + mass_a
+        is_a = (value >= start_a) & ~past_a
+        value = value - mass_a * past_a
+        past_b = past_a & (value >= start_b + mass_b)
+        is_b = past_a & (value >= start_b) & ~past_b
+        value = (value - mass_b * past_b) // w0
+        group = np.maximum(np.count_nonzero(self.groups[:n] <= value[:, None], axis=1) - 1, 0)
+        row = self.lane[:n] * GROUPS + group
+        value = value - self.groups.ravel()[row]
+        member = np.maximum(np.count_nonzero(np.take(self.members, row, axis=0) <= value[:, None], axis=1) - 1, 0)
+        return np.where(is_a, a, np.where(is_b, b, group * MEMBERS + member)), new
+
+    def learn(self, n: int, x) -> None:
+        for table, at, packed, guess in ((self.first, self.at1, self.packed1, self.p1), (self.second, self.at2, self.packed2, self.p2)):
             level = packed >> 16
-            hit = guess == ids
-            up = np.minimum(level + 1, 3)
-            # a miss lowers the confidence; without any the new id takes the slot
-            table[at] = np.where(hit, guess | (up << 16), np.where(level > 0, guess | ((level - 1) << 16), ids | (1 << 16)))
+            # a miss lowers the confidence; without any the number takes the slot
+            missed = np.where(level > 0, packed - (1 << 16), x | (1 << 16))
+            table[at] = np.where(guess == x, np.minimum(packed + (1 << 16), guess | (3 << 16)), missed)
         self.two[:n] = self.one[:n]
-        self.one[:n] = ids
+        self.one[:n] = x
+        self.count[self.lane[:n] * BLOCK + x] += 1
+        group = x >> 6
+        self.groups[:n] += np.take(_ADD, group, axis=0)
+        row = self.lane[:n] * GROUPS + group
+        self.members[row] = np.take(self.members, row, axis=0) + np.take(_ADD, x & 63, axis=0)
 
 
-def _numbers(grid: np.ndarray, lanes: int) -> tuple[np.ndarray, np.ndarray]:
-    """For ids (lanes, BLOCK): the number of each in order of appearance in
+def _numbers(grid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For ids (blocks, BLOCK): the number of each in order of appearance in
     its block, and whether it is there for the first time."""
-    key = (np.arange(lanes, dtype=np.int64)[:, None] << 16 | grid).ravel()
-    _, place, inverse = np.unique(key, return_index=True, return_inverse=True)
-    new = np.zeros(len(key), dtype=bool)
-    new[place] = True
-    number = (np.cumsum(new.reshape(lanes, BLOCK), axis=1) - 1).ravel()
-    return number[place][inverse.ravel()].reshape(lanes, BLOCK), new.reshape(lanes, BLOCK)
+    order = np.argsort(grid, axis=1, kind="stable")
+    ranked = np.take_along_axis(grid, order, axis=1)
+    head = np.ones(grid.shape, dtype=bool)
+    head[:, 1:] = ranked[:, 1:] != ranked[:, :-1]
+    new = np.zeros(grid.shape, dtype=bool)
+    np.put_along_axis(new, order, head, axis=1)
+    seen = np.cumsum(new, axis=1, dtype=np.int32) - 1
+    # equal ids are neighbours in the order, the earliest place first
+    own = np.take_along_axis(seen, order, axis=1)[head][np.cumsum(head.ravel()) - 1]
+    number = np.empty(grid.shape, dtype=np.uint16)
+    np.put_along_axis(number, order, own.reshape(grid.shape).astype(np.uint16), axis=1)
+    return number, new
 
 
 class _Coder:
@@ -86,20 +170,18 @@ class _Coder:
 
     def __init__(self, lanes: int):
         self.low, self.span = np.zeros(lanes, dtype=np.int64), np.full(lanes, MASK, dtype=np.int64)
-        self.index = np.arange(lanes, dtype=np.int64)
 
     def _narrow(self, lane, lo, sp, move) -> None:
         """Take the new low and range; ``move`` handles a word of some lanes."""
-        while True:
-            same = (lo ^ (lo + sp)) < (1 << 32)
-            w = np.flatnonzero(same | (sp < (1 << 16)))
-            if not len(w):
-                break
-            cut = w[~same[w]]
-            sp[cut] = -lo[cut] & 0xFFFF
+        w = np.flatnonzero(((lo ^ (lo + sp)) < (1 << 32)) | (sp < SHORT))
+        while len(w):
+            low, span = lo[w], sp[w]
+            cut = (low ^ (low + span)) >= (1 << 32)
+            span = np.where(cut, -low & (SHORT - 1), span) << 16
             move(w, lo)
-            lo[w] = (lo[w] << 16) & MASK
-            sp[w] <<= 16
+            low = (low << 16) & MASK
+            lo[w], sp[w] = low, span
+            w = w[((low ^ (low + span)) < (1 << 32)) | (span < SHORT)]
         self.low[lane], self.span[lane] = lo, sp
 
 
@@ -108,31 +190,18 @@ class _Writer(_Coder):
         super().__init__(lanes)
         room = WORST * BLOCK + 4
         self.out = np.zeros(lanes * room, dtype=np.uint16)
-        self.begin = self.index * room
+        self.begin = np.arange(lanes, dtype=np.int64) * room
         self.at = self.begin.copy()
 
-    def _send(self, lane, lo, sp) -> None:
+    def put(self, lane, start, size, total) -> None:
+        r = self.span[lane] // total
+
         def move(w, lo):
             target = lane[w]
             self.out[self.at[target]] = lo[w] >> 32
             self.at[target] += 1
 
-        self._narrow(lane, lo, sp, move)
-
-    def put(self, lane, table, row, symbol) -> None:
-        k = table.shape[1]
-        counts = np.take(table, row, axis=0)
-        flat, j = counts.ravel(), self.index[: len(row)] * k + symbol
-        high = flat[j].astype(np.int64)
-        start = np.where(symbol > 0, flat[j - 1], 0).astype(np.int64)
-        r = self.span[lane] // counts[:, -1]
-        lo, sp = self.low[lane] + r * start, r * (high - start)
-        table[row] = counts + np.take(_ADD[k], symbol, axis=0)
-        self._send(lane, lo, sp)
-
-    def plain(self, lane, value) -> None:
-        r = self.span[lane] >> 16
-        self._send(lane, self.low[lane] + r * value, r)
+        self._narrow(lane, self.low[lane] + r * start, r * size, move)
 
     def finish(self) -> None:
         for shift in (32, 16, 0):
@@ -148,37 +217,22 @@ class _Reader(_Coder):
         self.code = (self.words[self.at] << 32) | (self.words[self.at + 1] << 16) | self.words[self.at + 2]
         self.at += 3
 
-    def _take(self, lane, lo, sp, code) -> None:
+    def value(self, lane, total) -> np.ndarray:
+        r = self.span[lane] // total
+        return np.clip((self.code[lane] - self.low[lane]) // r, 0, total - 1)  # in bounds even in damaged blocks
+
+    def take(self, lane, start, size, total) -> None:
+        r = self.span[lane] // total
+        code = self.code[lane]
+
         def move(w, lo):
             source = lane[w]
             code[w] = ((code[w] << 16) & MASK) | self.words[np.minimum(self.at[source], len(self.words) - 1)]
             self.at[source] += 1
 
-        self._narrow(lane, lo, sp, move)
+        self._narrow(lane, self.low[lane] + r * start, r * size, move)
         self.code[lane] = code
 
-    def get(self, lane, table, row) -> np.ndarray:
-        k = table.shape[1]
-        counts = np.take(table, row, axis=0)
-        lo, code = self.low[lane], self.code[lane]
-        total = counts[:, -1].astype(np.int64)
-        r = self.span[lane] // total
-        value = np.clip((code - lo) // r, 0, total - 1).astype(np.uint16)  # in bounds even in damaged blocks
-        symbol = np.count_nonzero(counts <= value[:, None], axis=1)
-        flat, j = counts.ravel(), self.index[: len(row)] * k + symbol
-        high = flat[j].astype(np.int64)
-        start = np.where(symbol > 0, flat[j - 1], 0).astype(np.int64)
-        table[row] = counts + np.take(_ADD[k], symbol, axis=0)
-        self._take(lane, lo + r * start, r * (high - start), code)
-        return symbol
-
-    def plain(self, lane) -> np.ndarray:
-        lo, code = self.low[lane], self.code[lane]
-        r = self.span[lane] >> 16
-        value = np.clip((code - lo) // r, 0, 0xFFFF)
-        self._take(lane, lo + r * value, r, code)
-        return value
-
 
 def encode(ids: np.ndarray) -> list[tuple[bytes, int, int]]:
     """(bytes, crc32, ids) of each block."""
@@ -186,29 +240,26 @@ def encode(ids: np.ndarray) -> list[tuple[bytes, int, int]]:
     lanes = -(-len(ids) // BLOCK)
     if not lanes:
         return []
-    grid = np.zeros(lanes * BLOCK, dtype=np.int64)
+    grid = np.zeros(lanes * BLOCK, dtype=np.uint16)
     grid[: len(ids)] = ids
-    number, new = _numbers(grid.reshape(lanes, BLOCK), lanes)
-    grid, number, new = (np.ascontiguousarray(x.T) for x in (grid.reshape(lanes, BLOCK), number, new))
+    grid = grid.reshape(lanes, BLOCK)
+    number, new = np.empty((BLOCK, lanes), dtype=np.uint16), np.empty((BLOCK, lanes), dtype=bool)
+    for k in range(0, lanes, 64):
+        some, first = _numbers(grid[k : k + 64])
+        number[:, k : k + 64], new[:, k : k + 64] = some.T, first.T
+    grid = np.ascontiguousarray(grid.T)
     tail = len(ids) - (lanes - 1) * BLOCK
     model, writer = _Model(lanes), _Writer(lanes)
     for t in range(BLOCK if lanes > 1 else tail):
         n = lanes if t < tail else lanes - 1
-        now = grid[t, :n]
-        at1, at2, p1, p2, id1, id2, context = model.predict(n)
-        source = np.where(id2 == now, 0, np.where(id1 == now, 1, np.where(new[t, :n], 3, 2)))
-        # an empty prediction is no id, though an id may have its value
-        source[new[t, :n]] = 3
-        writer.put(model.lane[:n], model.mix, context, source)
-        met = np.flatnonzero(source == 2)
-        if len(met):
-            own = number[t, met]
-            writer.put(met, model.groups, met, own >> 5)
-            writer.put(met, model.members, met * GROUPS + (own >> 5), own & 31)
-        fresh = np.flatnonzero(source == 3)
+        x = number[t, :n].astype(np.int64)
+        model.predict(n, t)
+        writer.put(model.lane[:n], *model.interval(n, x, new[t, :n]), model.total)
+        fresh = np.flatnonzero(new[t, :n])
         if len(fresh):
-            writer.plain(fresh, now[fresh])
-        model.learn(n, at1, at2, p1, p2, id1, id2, now)
+            own = grid[t, fresh].astype(np.int64)
+            writer.put(fresh, _NEW[own], _NEW[own + 1] - _NEW[own], _NEW[-1])
+        model.learn(n, x)
     writer.finish()
     raw = ids.astype("<u2").tobytes()
     result = []
@@ -223,32 +274,34 @@ def decode(blocks: list[tuple[bytes, int, int]]) -> list[np.ndarray]:
     come from several streams and have any lengths up to ``BLOCK``."""
     if not blocks:
         return []
+    if max(size for _, _, size in blocks) > BLOCK:
+        raise ValueError("a block is longer than any that is written")
     order = sorted(range(len(blocks)), key=lambda i: -blocks[i][2])  # longest first
     sizes = np.array([blocks[i][2] for i in order], dtype=np.int64)
     lanes = len(blocks)
     reader, model = _Reader([blocks[i][0] for i in order]), _Model(lanes)
     grid = np.zeros((int(sizes[0]), lanes), dtype=np.uint16)
-    met_ids = np.zeros(lanes * BLOCK, dtype=np.int64)  # ids by their number
-    n_met = model.lane * BLOCK
+    met_ids = np.zeros(lanes * BLOCK, dtype=np.uint16)  # ids by their number
+    n_met = np.zeros(lanes, dtype=np.int64)
     n = lanes
     for t in range(int(sizes[0])):
         while sizes[n - 1] <= t:
             n -= 1
-        at1, at2, p1, p2, id1, id2, context = model.predict(n)
-        source = reader.get(model.lane[:n], model.mix, context)
-        now = np.where(source == 0, id2, id1).astype(np.int64)
-        met = np.flatnonzero(source == 2)
-        if len(met):
-            group = reader.get(met, model.groups, met)
-            now[met] = met_ids[met * BLOCK + group * MEMBERS + reader.get(met, model.members, met * GROUPS + group)]
-        fresh = np.flatnonzero(source == 3)
+        lane = model.lane[:n]
+        model.predict(n, t)
+        x, new = model.find(n, reader.value(lane, model.total))
+        # a damaged block may name a number that is not met yet
+        new |= x >= n_met[:n]
+        fresh = np.flatnonzero(new)
+        x[fresh] = n_met[fresh]
+        reader.take(lane, *model.interval(n, x, new), model.total)
         if len(fresh):
-            value = reader.plain(fresh)
-            now[fresh] = value
-            met_ids[n_met[fresh]] = value
+            own = np.searchsorted(_NEW, reader.value(fresh, _NEW[-1]), side="right") - 1
+            reader.take(fresh, _NEW[own], _NEW[own + 1] - _NEW[own], _NEW[-1])
+            met_ids[fresh * BLOCK + n_met[fresh]] = own
             n_met[fresh] += 1
-        model.learn(n, at1, at2, p1, p2, id1, id2, now)
-        grid[t, :n] = now
+        grid[t, :n] = met_ids[lane * BLOCK + x]
+        model.learn(n, x)
     result: list[np.ndarray] = [np.zeros(0, np.uint16)] * lanes
     columns = np.ascontiguousarray(grid.T)
     for k, i in enumerate(order):

@@ -8,7 +8,7 @@ task:
     part, pack     place in the order of ids
     doc_ids        ids of the pack's documents
     n_ids          number of token ids
-    payload        magic 'CMR1', u32 documents, u32 blocks, u64 token ids,
+    payload        magic 'CMR2', u32 documents, u32 blocks, u64 token ids,
                    u32 token ids of each document, then for each block u32
                    bytes, u32 crc32 and u32 token ids, then the blocks of
                    ``range_coder``, each readable on its own
@@ -46,11 +46,12 @@ from evseq.llm.common import pick
 from evseq.session import shared_dir
 
 END_ID = 2
-PACK_IDS = 1 << 21
+PACK_IDS = 1 << 22
 PART_BYTES = 32 << 20  # text of a range partition
+MOST_PARTS = 20_000  # from there on the partitions grow
 CACHE_CHUNKS = 500_000
 GROUP_CHARS = 1 << 20
-MAGIC = b"CMR1"
+MAGIC = b"CMR2"
 CHUNK = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 ODD_SPACE = re.compile(r"[^\S \n]|[\x1c-\x1f\x85]")
 
@@ -123,7 +124,7 @@ def read_payload(payload: bytes) -> list[np.ndarray]:
 def write_tokens(docs: DataFrame, path: str, tokenizer_json: str, id_col: str = "doc_id", text_col: str = "text") -> None:
     base = pick(docs, id=id_col, text=text_col)
     size = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(1, math.ceil(size / PART_BYTES))
+    parts = max(1, min(math.ceil(size / PART_BYTES), MOST_PARTS))
     ordered = base.withColumn("tie", F.xxhash64("text")).repartitionByRange(parts, "id", "tie").sortWithinPartitions("id", "tie")
     shared = base.sparkSession.sparkContext.broadcast(tokenizer_json)
     id_type = base.schema["id"].dataType.simpleString()
@@ -167,7 +168,7 @@ def _placed(spark: SparkSession, path: str) -> DataFrame:
     packs = spark.read.parquet(path)
     sizes = packs.select("part", "pack", "n_ids")
     parts = sizes.groupBy("part").agg(F.sum("n_ids").alias("n"))
-    # one row a part, each of PART_BYTES of text
+    # one row a part, at most MOST_PARTS
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("part_start"))
     inside = Window.partitionBy("part").orderBy("pack").rowsBetween(Window.unboundedPreceding, -1)
