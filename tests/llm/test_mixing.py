@@ -98,11 +98,11 @@ def test_blocks_are_reset_and_checked():
     assert len({b for b, _, _ in blocks}) == 1  # equal blocks give equal bytes: nothing is carried over
     assert np.array_equal(np.concatenate(rc.decode([blocks[2], (rc.encode(ids[:77])[0])])), np.concatenate([ids[: rc.BLOCK], ids[:77]]))
     rng = random.Random(9)
-    data, crc, n = blocks[0]
+    with pytest.raises(ValueError):
+        rc.decode([(*blocks[0][:2], rc.BLOCK + 1)])
+    data, crc, n = rc.encode(ids[:500])[0]
     for _ in range(12):
         at = rng.randrange(len(data) - 8)
         for bad in (data[:at] + bytes([data[at] ^ (1 << rng.randrange(8))]) + data[at + 1 :], data[:at], bytes(rng.randrange(256) for _ in range(len(data)))):
             with pytest.raises(ValueError):
                 rc.decode([(bad[: len(bad) // 2 * 2], crc, n)])
-    with pytest.raises(ValueError):
-        rc.decode([(data, crc, rc.BLOCK + 1)])
