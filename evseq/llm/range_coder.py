@@ -22,7 +22,7 @@ kept per context (both confidences, and whether the orders agree) and move by
 1/2**RATE towards each predictor's share of the probability that the id really
 got.  Cumulative sums run over numbers, and the masses of orders 1 and 2 lie
 before the order-0 mass of their number, so a reader finds x by comparing with
-at most two places and searching the order-0 sums (``GROUPS`` of ``MEMBERS``).
+at most two places and searching the order-0 sums (three levels of ``WIDTH``).
 
 A new id follows by a fixed law that falls with the id (vocabularies number
 their tokens by merge rank).
@@ -39,16 +39,18 @@ import numpy as np
 
 BLOCK = 4096
 SLOTS1, SLOTS2 = 2048, 4096
-GROUPS, MEMBERS = 64, 64  # BLOCK = GROUPS * MEMBERS numbers
+WIDTH = 16  # BLOCK = WIDTH**3 numbers
+ROW = np.dtype("V32")  # WIDTH 16-bit counts, moved as one value
 CONTEXTS = 32
 WEIGHT, RATE = 1 << 14, 5  # sum of the weights, and how slowly they move
 HALF = 1 << RATE - 1  # rounds; no weight falls below it
-EMPTY = 0xFFFF  # of a slot without a number
+LEVEL, ONE = np.int16(3 << 12), np.int16(1 << 12)  # confidence in a slot
+EMPTY = np.int16(1 << 14)  # of a slot without a number
 MASK = (1 << 48) - 1
 SHORT = 1 << 30  # least range; totals stay below 2**27
 WORST = 6  # 16-bit words an id may take
 #: what number j of a row adds to the sums before the others
-_ADD = np.triu(np.ones((64, 64), dtype=np.uint16), 1)
+_ADD = np.triu(np.ones((WIDTH, WIDTH), dtype=np.uint16), 1).view(ROW).ravel()
 _NEW = np.concatenate([[0], np.cumsum((1 << 22) // (np.arange(1 << 16) + 512) + 1)]).astype(np.int64)
 
 
@@ -60,92 +62,122 @@ def _start_weights() -> np.ndarray:
 
 
 class _Model:
-    """State of all blocks.  ``groups`` and ``members`` hold counts of the
-    numbers before each, within the block and within the group."""
+    """State of all blocks.  ``high``, ``middle`` and ``low`` hold counts of the
+    numbers before each: within the block by 256, within 256 by 16, within 16.
+    Probabilities are whole numbers below 2**53 in float64, whose quotients cut
+    down are exact; slots hold number | confidence << 12, and ``weights`` the
+    four 16-bit weights of a context as one value."""
 
     def __init__(self, lanes: int):
         self.lane = np.arange(lanes, dtype=np.int64)
+        self.base = self.lane * BLOCK
+        self.slot1, self.slot2, self.context = self.lane * SLOTS1, self.lane * SLOTS2, self.lane * CONTEXTS
         self.count = np.zeros(lanes * BLOCK, dtype=np.uint16)
-        self.groups = np.zeros((lanes, GROUPS), dtype=np.uint16)
-        self.members = np.zeros((lanes * GROUPS, MEMBERS), dtype=np.uint16)
-        self.weights = np.tile(_start_weights(), lanes)
-        self.first = np.full(lanes * SLOTS1, EMPTY, dtype=np.int32)  # number | confidence << 16
-        self.second = np.full(lanes * SLOTS2, EMPTY, dtype=np.int32)
+        self.high = np.zeros((lanes, WIDTH), dtype=np.uint16)
+        self.middle = np.zeros(lanes * WIDTH, dtype=ROW)
+        self.low = np.zeros(lanes * WIDTH * WIDTH, dtype=ROW)
+        self.levels = self.high.ravel(), self.middle.view(np.uint16), self.low.view(np.uint16)
+        start = np.ascontiguousarray(_start_weights().T, dtype=np.int16).view(np.int64).ravel()
+        self.weights = np.tile(start, lanes)
+        self.first = np.full(lanes * SLOTS1, EMPTY, dtype=np.int16)
+        self.second = np.full(lanes * SLOTS2, EMPTY, dtype=np.int16)
         self.one = np.zeros(lanes, dtype=np.int64)  # the number before
         self.two = np.zeros(lanes, dtype=np.int64)  # and the one before it
 
-    def before(self, n: int, x) -> np.ndarray:
-        """Ids so far with a smaller number than x."""
-        group = self.lane[:n] * GROUPS + (x >> 6)
-        return self.groups.ravel()[group] + self.members.ravel()[group * MEMBERS + (x & 63)].astype(np.int64)
+    def before(self, at) -> np.ndarray:
+        """Ids so far with a smaller number; ``at`` is base + number."""
+        high, middle, low = self.levels
+        return high.take(at >> 8, mode="clip") + middle.take(at >> 4, mode="clip") + low.take(at, mode="clip")
 
     def predict(self, n: int, t: int) -> None:
         """What the orders expect as id t of the first n blocks."""
-        lane, one = self.lane[:n], self.one[:n]
-        self.at1 = lane * SLOTS1 + one % SLOTS1
-        self.at2 = lane * SLOTS2 + ((one * 30011 + self.two[:n] * 52391) >> 4) % SLOTS2
-        self.packed1, self.packed2 = self.first[self.at1], self.second[self.at2]
-        self.p1, self.p2 = self.packed1 & 0xFFFF, self.packed2 & 0xFFFF
-        self.row = lane * CONTEXTS + ((self.packed2 >> 16) * 8 + (self.packed1 >> 16) * 2 + (self.p1 == self.p2))
-        self.w = np.take(self.weights, self.row, axis=1)
-        self.scale = max(t, 1)
-        self.mass2 = self.w[0] * (self.p2 != EMPTY) * self.scale
-        self.mass1 = self.w[1] * (self.p1 != EMPTY) * self.scale
-        self.mass_new = self.w[3] * self.scale
+        one = self.one[:n]
+        self.at1 = self.slot1[:n] + (one & SLOTS1 - 1)
+        self.at2 = self.slot2[:n] + ((one * 30011 + self.two[:n] * 52391) >> 4 & SLOTS2 - 1)
+        self.packed1, self.packed2 = self.first.take(self.at1, mode="clip"), self.second.take(self.at2, mode="clip")
+        self.p1, self.p2 = self.packed1 & ~LEVEL, self.packed2 & ~LEVEL
+        self.row = self.context[:n] + ((self.packed2 & LEVEL) >> 9 | (self.packed1 & LEVEL) >> 11 | (self.p1 == self.p2))
+        packed = self.weights.take(self.row, mode="clip").view(np.int16).reshape(n, 4)
+        self.w = np.array(packed.T, dtype=np.float64, order="C")
+        scale = max(t, 1)
+        self.mass2 = self.w[0] * scale * (self.p2 != EMPTY)
+        self.mass1 = self.w[1] * scale * (self.p1 != EMPTY)
+        self.mass_new = self.w[3] * scale
         self.total = self.w[2] * t + self.mass2 + self.mass1 + self.mass_new
 
     def interval(self, n: int, x, new) -> tuple[np.ndarray, np.ndarray]:
         """Start and size of number x; the weights learn from it."""
+        at, x = self.base[:n] + x, x.astype(np.int16)
         w0 = self.w[2]
-        start = w0 * self.before(n, x) + self.mass1 * (self.p1 < x) + self.mass2 * (self.p2 < x)
+        start = w0 * self.before(at) + self.mass1 * (self.p1 < x) + self.mass2 * (self.p2 < x)
         share = np.empty_like(self.w)
         np.multiply(self.mass2, self.p2 == x, out=share[0])
         np.multiply(self.mass1, self.p1 == x, out=share[1])
-        np.multiply(w0, self.count[self.lane[:n] * BLOCK + x], out=share[2])
+        np.multiply(w0, self.count.take(at, mode="clip"), out=share[2])
         np.multiply(self.mass_new, new, out=share[3])
-        size = share.sum(axis=0)
+        size = share[0] + share[1] + share[2] + share[3]
         share *= WEIGHT
-        share //= size
+        share /= size
+        np.floor(share, out=share)
         share -= self.w
         share += HALF
-        share >>= RATE
-        self.weights[:, self.row] = self.w + share
+        share *= 1 / (1 << RATE)
+        np.floor(share, out=share)
+        share += self.w
+        packed = np.empty((n, 4), dtype=np.int16)
+        packed.T[...] = share
+        self.weights[self.row] = packed.view(np.int64).ravel()
         return start, size
 
     def find(self, n: int, value) -> tuple[np.ndarray, np.ndarray]:
         """The number whose interval holds the value, and which are new."""
         new = value >= self.total - self.mass_new
-        p1, p2 = (np.where(p == EMPTY, 0, p).astype(np.int64) for p in (self.p1, self.p2))
-        swap = p2 < p1
+        p1, p2 = self.p1 & BLOCK - 1, self.p2 & BLOCK - 1  # 0 where empty
+        base, w0 = self.base[:n], self.w[2]
         a, b = np.minimum(p1, p2), np.maximum(p1, p2)
-        mass_a, mass_b = np.where(swap, self.mass2, self.mass1), np.where(swap, self.mass1, self.mass2)
-        w0 = self.w[2]
-        start_a, start_b = w0 * self.before(n, a), w0 * self.before(n, b)
+        mass_a = np.where(p2 < p1, self.mass2, self.mass1)
+        mass_b = self.mass1 + self.mass2 - mass_a
+        start_a, start_b = w0 * self.before(base + a), w0 * self.before(base + b)
         past_a = value >= start_a + mass_a
         is_a = (value >= start_a) & ~past_a
         value = value - mass_a * past_a
         past_b = past_a & (value >= start_b + mass_b)
         is_b = past_a & (value >= start_b) & ~past_b
-        value = (value - mass_b * past_b) // w0
-        group = np.maximum(np.count_nonzero(self.groups[:n] <= value[:, None], axis=1) - 1, 0)
-        row = self.lane[:n] * GROUPS + group
-        value = value - self.groups.ravel()[row]
-        member = np.maximum(np.count_nonzero(np.take(self.members, row, axis=0) <= value[:, None], axis=1) - 1, 0)
-        return np.where(is_a, a, np.where(is_b, b, group * MEMBERS + member)), new
+        # what exceeds the block belongs to new ids
+        rest = np.minimum((value - mass_b * past_b) / w0, BLOCK - 1).astype(np.uint16)
+        high, middle, _ = self.levels
+        at = self.lane[:n] * WIDTH + _last(self.high[:n], rest)
+        rest -= high.take(at, mode="clip")
+        at2 = at * WIDTH + _last(_counts(self.middle[at]), rest)
+        rest -= middle.take(at2, mode="clip")
+        x = at2 * WIDTH + _last(_counts(self.low[at2]), rest) - base
+        return np.where(is_a, a, np.where(is_b, b, x)), new
 
     def learn(self, n: int, x) -> None:
-        for table, at, packed, guess in ((self.first, self.at1, self.packed1, self.p1), (self.second, self.at2, self.packed2, self.p2)):
-            level = packed >> 16
+        at, number = self.base[:n] + x, x.astype(np.int16)
+        for table, slot, packed, guess in ((self.first, self.at1, self.packed1, self.p1), (self.second, self.at2, self.packed2, self.p2)):
             # a miss lowers the confidence; without any the number takes the slot
-            missed = np.where(level > 0, packed - (1 << 16), x | (1 << 16))
-            table[at] = np.where(guess == x, np.minimum(packed + (1 << 16), guess | (3 << 16)), missed)
+            missed = np.where(packed & LEVEL, packed - ONE, number | ONE)
+            table[slot] = np.where(guess == number, np.minimum(packed + ONE, guess | LEVEL), missed)
         self.two[:n] = self.one[:n]
         self.one[:n] = x
-        self.count[self.lane[:n] * BLOCK + x] += 1
-        group = x >> 6
-        self.groups[:n] += np.take(_ADD, group, axis=0)
-        row = self.lane[:n] * GROUPS + group
-        self.members[row] = np.take(self.members, row, axis=0) + np.take(_ADD, x & 63, axis=0)
+        self.count[at] = self.count.take(at, mode="clip") + np.uint16(1)
+        self.high[:n] += _counts(_ADD[x >> 8])
+        for table, place in ((self.middle, at >> 4), (self.low, at)):
+            row = place >> 4
+            rows = table[row]
+            _counts(rows)[...] += _counts(_ADD[place & WIDTH - 1])
+            table[row] = rows
+
+
+def _counts(rows: np.ndarray) -> np.ndarray:
+    return rows.view(np.uint16).reshape(-1, WIDTH)
+
+
+def _last(rows: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """In each row of rising counts, which start at 0, the place of the last not above the value."""
+    below = np.bitwise_count((rows <= value[:, None]).view(np.uint64))
+    return below[:, 0].astype(np.int64) + below[:, 1] - 1
 
 
 def _numbers(grid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -166,7 +198,7 @@ def _numbers(grid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class _Coder:
-    """48-bit low and range of all blocks."""
+    """48-bit low and range of all blocks; ``lane`` is a slice or places of them."""
 
     def __init__(self, lanes: int):
         self.low, self.span = np.zeros(lanes, dtype=np.int64), np.full(lanes, MASK, dtype=np.int64)
@@ -194,14 +226,15 @@ class _Writer(_Coder):
         self.at = self.begin.copy()
 
     def put(self, lane, start, size, total) -> None:
-        r = self.span[lane] // total
+        r = np.floor(self.span[lane] / total)
 
         def move(w, lo):
-            target = lane[w]
-            self.out[self.at[target]] = lo[w] >> 32
-            self.at[target] += 1
+            target = w if isinstance(lane, slice) else lane[w]
+            at = self.at[target]
+            self.out[at] = lo[w] >> 32
+            self.at[target] = at + 1
 
-        self._narrow(lane, self.low[lane] + r * start, r * size, move)
+        self._narrow(lane, self.low[lane] + (r * start).astype(np.int64), (r * size).astype(np.int64), move)
 
     def finish(self) -> None:
         for shift in (32, 16, 0):
@@ -218,19 +251,20 @@ class _Reader(_Coder):
         self.at += 3
 
     def value(self, lane, total) -> np.ndarray:
-        r = self.span[lane] // total
-        return np.clip((self.code[lane] - self.low[lane]) // r, 0, total - 1)  # in bounds even in damaged blocks
+        """Where in the total the code lies; ``take`` follows for the same blocks."""
+        self.r = np.floor(self.span[lane] / total)
+        return np.clip(np.floor((self.code[lane] - self.low[lane]) / self.r), 0, total - 1)  # in bounds even in damaged blocks
 
-    def take(self, lane, start, size, total) -> None:
-        r = self.span[lane] // total
-        code = self.code[lane]
+    def take(self, lane, start, size) -> None:
+        code = self.code[lane]  # a view for a slice
 
         def move(w, lo):
-            source = lane[w]
-            code[w] = ((code[w] << 16) & MASK) | self.words[np.minimum(self.at[source], len(self.words) - 1)]
-            self.at[source] += 1
+            source = w if isinstance(lane, slice) else lane[w]
+            at = self.at[source]
+            code[w] = ((code[w] << 16) & MASK) | self.words.take(at, mode="clip")
+            self.at[source] = at + 1
 
-        self._narrow(lane, self.low[lane] + r * start, r * size, move)
+        self._narrow(lane, self.low[lane] + (self.r * start).astype(np.int64), (self.r * size).astype(np.int64), move)
         self.code[lane] = code
 
 
@@ -254,7 +288,7 @@ def encode(ids: np.ndarray) -> list[tuple[bytes, int, int]]:
         n = lanes if t < tail else lanes - 1
         x = number[t, :n].astype(np.int64)
         model.predict(n, t)
-        writer.put(model.lane[:n], *model.interval(n, x, new[t, :n]), model.total)
+        writer.put(slice(n), *model.interval(n, x, new[t, :n]), model.total)
         fresh = np.flatnonzero(new[t, :n])
         if len(fresh):
             own = grid[t, fresh].astype(np.int64)
@@ -289,15 +323,15 @@ def decode(blocks: list[tuple[bytes, int, int]]) -> list[np.ndarray]:
             n -= 1
         lane = model.lane[:n]
         model.predict(n, t)
-        x, new = model.find(n, reader.value(lane, model.total))
+        x, new = model.find(n, reader.value(slice(n), model.total))
         # a damaged block may name a number that is not met yet
         new |= x >= n_met[:n]
         fresh = np.flatnonzero(new)
         x[fresh] = n_met[fresh]
-        reader.take(lane, *model.interval(n, x, new), model.total)
+        reader.take(slice(n), *model.interval(n, x, new))
         if len(fresh):
-            own = np.searchsorted(_NEW, reader.value(fresh, _NEW[-1]), side="right") - 1
-            reader.take(fresh, _NEW[own], _NEW[own + 1] - _NEW[own], _NEW[-1])
+            own = np.searchsorted(_NEW, reader.value(fresh, _NEW[-1]).astype(np.int64), side="right") - 1
+            reader.take(fresh, _NEW[own], _NEW[own + 1] - _NEW[own])
             met_ids[fresh * BLOCK + n_met[fresh]] = own
             n_met[fresh] += 1
         grid[t, :n] = met_ids[lane * BLOCK + x]

@@ -15,8 +15,9 @@ task:
 
 Token ids must fit 16 bits.  A text is split before white space that follows
 other characters, where no token of a byte-level vocabulary of this kind can
-reach across, and each distinct chunk goes to the tokenizer once; a text with
-white space other than blanks and line ends goes to it whole.
+reach across, and each distinct chunk goes to the tokenizer once while it is
+remembered, many at once as lines of a text; a text with white space other than
+blanks and line ends goes to it whole.
 
 Reading needs one small aggregate: the number of ids in each part gives where
 every pack starts.
@@ -49,7 +50,8 @@ END_ID = 2
 PACK_IDS = 1 << 22
 PART_BYTES = 32 << 20  # text of a range partition
 MOST_PARTS = 20_000  # from there on the partitions grow
-CACHE_CHUNKS = 500_000
+CACHE_CHUNKS = 500_000  # in two halves
+TOGETHER = 2_000  # chunks to a call of the tokenizer
 GROUP_CHARS = 1 << 20
 MAGIC = b"CMR2"
 CHUNK = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
@@ -67,22 +69,48 @@ class Encoder:
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("token ids do not fit 16 bits")
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}  # the cache before, whose chunks move over when met again
+        line = self._tokenize(["\n"])[0]
+        self.line = int.from_bytes(line, "little") if len(line) == 2 else None
 
     def _tokenize(self, texts: list[str]) -> list[bytes]:
         got = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype="<u2").tobytes() for e in got]
 
+    def _tokenize_chunks(self, chunks: list[str]) -> list[bytes]:
+        """Ids of chunks without line ends or blanks but one in front: as lines
+        of one text, since a line end before them is a token of its own."""
+        raw = self._tokenize(["\n".join(chunks)])[0]
+        ends = 2 * np.flatnonzero(np.frombuffer(raw, "<u2") == self.line)
+        if len(ends) != len(chunks) - 1:
+            return self._tokenize(chunks)
+        return [raw[a:b] for a, b in zip([0, *(ends + 2).tolist()], [*ends.tolist(), len(raw)])]
+
+    def _remember(self, met: set[str]) -> set[str]:
+        """Bring the chunks into the cache; returns those with odd white space, which stay out."""
+        if len(self.cache) > CACHE_CHUNKS // 2:
+            self.older, self.cache = self.cache, {}
+        new = met.difference(self.cache)
+        known = {c: self.older[c] for c in new if c in self.older}
+        self.cache.update(known)
+        new.difference_update(known)
+        odd = {c for c in new if ODD_SPACE.search(c)} if ODD_SPACE.search(" ".join(new)) else set()
+        lines, rest = [], []
+        for c in new - odd:
+            (rest if self.line is None or "\n" in c or c[:2] in (" ", "  ") else lines).append(c)
+        for some, tokenize in ((lines, self._tokenize_chunks), (rest, self._tokenize)):
+            for at in range(0, len(some), TOGETHER):
+                part = some[at : at + TOGETHER]
+                self.cache.update(zip(part, tokenize(part)))
+        return odd
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        chunks = [None if ODD_SPACE.search(t) else CHUNK.findall(t) for t in texts]
-        if len(self.cache) > CACHE_CHUNKS:
-            self.cache.clear()
-        new = list({c for own in chunks if own for c in own if c not in self.cache})
-        for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
-            self.cache.update(zip(part, self._tokenize(part)))
+        chunks = [CHUNK.findall(t) for t in texts]
+        odd = self._remember(set().union(*chunks))
+        whole = [bool(odd) and not odd.isdisjoint(own) for own in chunks]
+        alone = iter(self._tokenize([t for t, w in zip(texts, whole) if w]))
         end = END_ID.to_bytes(2, "little")
-        whole = iter(self._tokenize([t for t, own in zip(texts, chunks) if own is None]))
-        return [(next(whole) if own is None else b"".join(map(self.cache.__getitem__, own))) + end for own in chunks]
+        return [(next(alone) if w else b"".join(map(self.cache.__getitem__, own))) + end for own, w in zip(chunks, whole)]
 
 
 @lru_cache(maxsize=1)
