@@ -4,7 +4,9 @@ The escaped text falls into marked words (a run of the space mark and what
 follows it); no piece of the vocabulary reaches across their borders, which is
 checked when the vocabulary is read.  The distinct new words of a batch are
 sorted, which is the depth-first order of their trie; a stack holds the
-forward state of the current path, so a common prefix is computed once.
+forward state of the current path, so a common prefix is computed once.  The
+pieces that may end a prefix are found by one step from those of the prefix
+before: by the longest part of any piece that ends it.
 
 The vocabulary is of the merge kind.  The best path by added piece scores is
 not what such a model means (its scores are ranks of merges), so the forward
@@ -38,7 +40,9 @@ from pyspark.sql import functions as F
 from evseq.llm.common import pick, positional
 
 MARK = "▁"  # the escaped space
-CACHE_WORDS = 600_000  # about 150 MB a worker
+MARKS = (" ", MARK)
+CACHE_WORDS = 600_000  # in two halves; about 150 MB a worker
+MOST_KNOWN = 500_000  # steps and pairs
 PIECE = 1 << 20  # characters split into words at once
 
 
@@ -64,16 +68,18 @@ class Vocabulary:
                 self.raw.append(piece.encode())
         if any(re.search(f"[^{MARK}]{MARK}", p) for p in self.ids):
             raise ValueError("a piece reaches across words")
-        #: every ending of a piece: a walk backwards stops where none goes on
-        self.endings = {p[i:] for p in self.ids for i in range(len(p))}
+        #: every part of a piece: the longest that ends a text is a state of the walk
+        self.parts = {p[i:j] for p in self.ids for i in range(len(p)) for j in range(i + 1, len(p) + 1)}
         self.whole = {p for p in self.ids if self.merge(p) == [p]}
+        self.steps: dict[str, tuple[str, tuple]] = {}
+        self.pairs: dict[str, dict[str, bool]] = {}
+        self.known = 0  # steps and pairs remembered
         chars = set("".join(self.ids))
         # a line end outside the vocabulary stands alone, so it may part words too
-        part = MARK if "\n" in chars else MARK + "\n"
+        part = f" {MARK}" if "\n" in chars else f" {MARK}\n"
         alone = "" if "\n" in chars else "|\n"
-        self.words = re.compile(f"{MARK}*[^{part}]+|{MARK}+{alone}")
+        self.words = re.compile(f"[ {MARK}]*[^{part}]+|[ {MARK}]+{alone}")
         self.code = {p: i.to_bytes(4, "little") for p, i in self.ids.items()}
-        self.follows: dict[tuple[str, str], bool] = {}
 
     def merge(self, text: str) -> list[str]:
         """Pieces of a short text by the merges themselves: the best pair first, the leftmost of equals."""
@@ -93,16 +99,34 @@ class Vocabulary:
         """Ids of a character outside the vocabulary: its bytes' pieces."""
         return b"".join(self.byte_ids[b].to_bytes(4, "little") for b in char.encode())
 
+    def step(self, moved: str) -> tuple[str, tuple]:
+        """For a state with the next character: the new state, and the pieces
+        that end it, longest first, each with its length and the pieces before
+        it that are known to stay or not."""
+        found = self.steps.get(moved)
+        if found is None:
+            self._count()
+            state = moved
+            while state and state not in self.parts:
+                state = state[1:]
+            ending = [state[i:] for i in range(len(state)) if state[i:] in self.whole]
+            found = self.steps[moved] = (state, tuple((len(p), p, self.pairs.setdefault(p, {})) for p in ending))
+        return found
+
     def stays(self, left: str, right: str) -> bool:
         """Whether the merges leave the two pieces side by side."""
-        key = (left, right)
-        known = self.follows.get(key)
-        if known is None:
-            if len(self.follows) > 500_000:
-                self.follows.clear()
-            known = self.follows[key] = self.merge(left + right) == [left, right]
+        self._count()
+        known = self.pairs[right][left] = self.merge(left + right) == [left, right]
         return known
 
+    def _count(self) -> None:
+        self.known += 1
+        if self.known > MOST_KNOWN:
+            self.known = 0
+            self.steps.clear()
+            for before in self.pairs.values():
+                before.clear()
+
 
 class Codec:
     """Encoder and decoder; words met before are remembered, up to a bound."""
@@ -110,31 +134,32 @@ class Codec:
     def __init__(self, model: bytes):
         self.vocabulary = Vocabulary(model)
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}  # the cache before, whose words move over when met again
 
     def _encode_words(self, words: Iterable[str]) -> None:
         """Depth-first over the trie of the words (their sorted order)."""
         v = self.vocabulary
-        endings, whole, follows, stays, code = v.endings, v.whole, v.follows, v.stays, v.code
+        steps, step, stays, code = v.steps, v.step, v.stays, v.code
         path = ""
         last: list[str] = [""]  # last[i]: the piece that ends the encoding of path[:i]
-        for word in sorted(words):
+        states: list[str] = [""]  # states[i]: the longest part of a piece that ends path[:i]
+        for text in sorted(words):
+            word = text.replace(" ", MARK)
             keep, limit = 0, min(len(path), len(word))
             while keep < limit and path[keep] == word[keep]:
                 keep += 1
-            del last[keep + 1 :]
+            del last[keep + 1 :], states[keep + 1 :]
+            state = states[keep]
             for end in range(keep + 1, len(word) + 1):
                 found = word[end - 1]  # a character outside the vocabulary stands alone
-                start, ending = end - 1, []
-                while start >= 0 and (piece := word[start:end]) in endings:
-                    if piece in whole:
-                        ending.append(piece)
-                    start -= 1
-                for piece in reversed(ending):
-                    before = last[end - len(piece)]
-                    if not before or follows.get((before, piece)) or stays(before, piece):
+                state, ending = steps.get(state + found) or step(state + found)
+                for size, piece, pairs in ending:
+                    before = last[end - size]
+                    if not before or pairs.get(before) or (before not in pairs and stays(before, piece)):
                         found = piece
                         break
                 last.append(found)
+                states.append(state)
             path = word
             parts, end = [], len(word)
             while end:
@@ -142,30 +167,44 @@ class Codec:
                 parts.append(code.get(piece) or v.alone(piece))
                 end -= len(piece)
             parts.reverse()
-            self.cache[word] = b"".join(parts)
+            self.cache[text] = b"".join(parts)
+
+    def _remember(self, met: set[str]) -> None:
+        """Bring all words into the cache."""
+        if len(self.cache) > CACHE_WORDS // 2:
+            self.older, self.cache = self.cache, {}
+        new = met.difference(self.cache)
+        known = {w: self.older[w] for w in new if w in self.older}
+        self.cache.update(known)
+        new.difference_update(known)
+        self._encode_words(new)
+
+    def _code(self, words: list[str]) -> bytes:
+        return b"".join(map(self.cache.__getitem__, words))
+
+    def _encode_long(self, text: str) -> bytes:
+        """Ids of a text piece by piece."""
+        parts: list[bytes] = []
+        at = 0
+        while at < len(text):
+            # cut before a mark that ends a word
+            end = at + PIECE
+            while end < len(text) and not (text[end] in MARKS and text[end - 1] not in MARKS):
+                end += 1
+            words = self.vocabulary.words.findall(text[at:end])
+            self._remember(set(words))
+            parts.append(self._code(words))
+            at = end
+        return b"".join(parts)
 
     def encode_all(self, texts: list[str | None]) -> list[np.ndarray]:
-        """Ids of each whole text."""
-        out = []
-        for text in texts:
-            parts: list[bytes] = []
-            rest = MARK + text.replace(" ", MARK) if text else ""
-            at = 0
-            while at < len(rest):
-                # cut before a mark that ends a word
-                end = at + PIECE
-                while end < len(rest) and not (rest[end] == MARK and rest[end - 1] != MARK):
-                    end += 1
-                words = self.vocabulary.words.findall(rest[at:end])
-                if len(self.cache) > CACHE_WORDS:
-                    self.cache.clear()
-                new = {w for w in words if w not in self.cache}
-                if new:
-                    self._encode_words(new)
-                parts.append(b"".join(map(self.cache.__getitem__, words)))
-                at = end
-            out.append(np.frombuffer(b"".join(parts), "<u4"))
-        return out
+        """Ids of each whole text; the new words of short ones are sorted together."""
+        texts = [" " + t if t else "" for t in texts]
+        words = {i: self.vocabulary.words.findall(t) for i, t in enumerate(texts) if len(t) <= PIECE}
+        self._remember(set().union(*words.values()))
+        coded = {i: self._code(own) for i, own in words.items()}
+        out = (coded[i] if i in coded else self._encode_long(t) for i, t in enumerate(texts))
+        return [np.frombuffer(ids, "<u4") for ids in out]
 
     def decode(self, ids: np.ndarray) -> str:
         raw = b"".join(map(self.vocabulary.raw.__getitem__, ids.tolist()))
@@ -190,17 +229,7 @@ def _groups(texts: list[str | None], size: int = PIECE):
 
 
 def encode_batch(codec: Codec, texts: list[str | None]) -> list[np.ndarray]:
-    out: list[np.ndarray] = []
-    for a, b in _groups(texts):
-        group = texts[a:b]
-        words = {
-            w for t in group if t and len(t) < PIECE for w in codec.vocabulary.words.findall(MARK + t.replace(" ", MARK))
-        }
-        if len(codec.cache) > CACHE_WORDS:
-            codec.cache.clear()
-        codec._encode_words(w for w in words if w not in codec.cache)
-        out += codec.encode_all(group)
-    return out
+    return [ids for a, b in _groups(texts) for ids in codec.encode_all(texts[a:b])]
 
 
 def read_model(path: str) -> bytes:
