@@ -8,16 +8,24 @@ task:
     part, pack     place in the order of ids
     doc_ids        ids of the pack's documents
     n_ids          number of token ids
-    payload        magic 'CMR2', u32 documents, u32 blocks, u64 token ids,
-                   u32 token ids of each document, then for each block u32
-                   bytes, u32 crc32 and u32 token ids, then the blocks of
-                   ``range_coder``, each readable on its own
+    payload        magic 'CMR3', u32 documents, u32 blocks, u64 token ids, u32
+                   symbols, u32 bytes of the symbols' table, u32 token ids of
+                   each document, then for each block u32 bytes, u32 crc32 and
+                   u32 symbols, then the table, then the blocks of
+                   ``range_coder``
+
+What is coded are symbols: the token ids of the pack, and the phrases (the ids
+of a word or of the marks behind it) that occur ``LEAST`` times or more in it,
+the commonest first.  A phrase goes as one symbol; all others go id by id.  The
+table (zlib) holds the token ids of each symbol as u32 and, for those of one id,
+the ids as u16; the stream of symbols starts with the spelling of the phrases.
+So a block is coded on its own, and read with the table and those first symbols.
 
 Token ids must fit 16 bits.  A text is split before white space that follows
 other characters, where no token of a byte-level vocabulary of this kind can
-reach across, and each distinct chunk goes to the tokenizer once while it is
-remembered, many at once as lines of a text; a text with white space other than
-blanks and line ends goes to it whole.
+reach across, and a word from the marks behind it.  Each distinct part goes to
+the tokenizer once while it is remembered, many at once as lines of a text; a
+text with white space other than blanks and line ends goes to it whole.
 
 Reading needs one small aggregate: the number of ids in each part gives where
 every pack starts.
@@ -34,10 +42,12 @@ import os
 import re
 import struct
 import zlib
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -47,15 +57,25 @@ from evseq.llm.common import pick
 from evseq.session import shared_dir
 
 END_ID = 2
-PACK_IDS = 1 << 22
+PACK_IDS = 1 << 24
 PART_BYTES = 32 << 20  # text of a range partition
 MOST_PARTS = 20_000  # from there on the partitions grow
+MOST_PHRASES = 500_000  # different ones of a pack, which ends there
+LEAST = 3  # times that a phrase of several ids occurs to be a symbol
+SYMBOLS = 1 << 16
 CACHE_CHUNKS = 500_000  # in two halves
 TOGETHER = 2_000  # chunks to a call of the tokenizer
-GROUP_CHARS = 1 << 20
-MAGIC = b"CMR2"
+GROUP_BYTES = 8 << 20
+SLICE = 1 << 20  # of an array that is spelled out
+MAGIC = b"CMR3"
+HEAD = struct.Struct("<4sIIQII")
 CHUNK = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
-ODD_SPACE = re.compile(r"[^\S \n]|[\x1c-\x1f\x85]")
+ODD_SPACE = r"[\t\x0b-\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+#: texts in which white space holds a blank other than its last character
+BLANKS = r"^ |  | $| \n"
+#: a token that starts with a letter goes on only with letters
+MARKS = r"([A-Za-zÀ-ÖØ-öø-ÿ])([!-/:-@\[-`{-~])"
+CUT = "\x1e"  # one of the odd white space
 
 
 class Encoder:
@@ -68,6 +88,8 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         if self.tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("token ids do not fit 16 bits")
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
+        self.apart = "|".join([BLANKS, *added])
         self.cache: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}  # the cache before, whose chunks move over when met again
         line = self._tokenize(["\n"])[0]
@@ -86,31 +108,46 @@ class Encoder:
             return self._tokenize(chunks)
         return [raw[a:b] for a, b in zip([0, *(ends + 2).tolist()], [*ends.tolist(), len(raw)])]
 
-    def _remember(self, met: set[str]) -> set[str]:
-        """Bring the chunks into the cache; returns those with odd white space, which stay out."""
+    def _remember(self, met: set[str]) -> None:
+        """Bring the chunks into the cache."""
         if len(self.cache) > CACHE_CHUNKS // 2:
             self.older, self.cache = self.cache, {}
         new = met.difference(self.cache)
         known = {c: self.older[c] for c in new if c in self.older}
         self.cache.update(known)
         new.difference_update(known)
-        odd = {c for c in new if ODD_SPACE.search(c)} if ODD_SPACE.search(" ".join(new)) else set()
         lines, rest = [], []
-        for c in new - odd:
-            (rest if self.line is None or "\n" in c or c[:2] in (" ", "  ") else lines).append(c)
+        for c in new:
+            (rest if self.line is None or "\n" in c or c[:2] in ("", " ", "  ") else lines).append(c)
         for some, tokenize in ((lines, self._tokenize_chunks), (rest, self._tokenize)):
             for at in range(0, len(some), TOGETHER):
                 part = some[at : at + TOGETHER]
                 self.cache.update(zip(part, tokenize(part)))
-        return odd
+
+    def phrases(self, texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+        """Different phrases, their numbers in the texts, one after the other,
+        and how many each text has (an end included)."""
+        texts = texts.fill_null("")
+        cut = pc.replace_substring(texts, " ", CUT + " ")
+        cut = pc.replace_substring_regex(cut, r"\n+", CUT + r"\0")
+        cut = pc.split_pattern(pc.replace_substring_regex(cut, MARKS, r"\1" + CUT + r"\2"), CUT)
+        chunks = cut.flatten().dictionary_encode()
+        own = np.split(chunks.indices.to_numpy(), cut.offsets.to_numpy()[1:-1])
+        numbers = {c: k for k, c in enumerate(chunks.dictionary.to_pylist())}
+        odd = np.flatnonzero(pc.match_substring_regex(texts, ODD_SPACE).to_numpy(zero_copy_only=False)).tolist()
+        for i in np.flatnonzero(pc.match_substring_regex(texts, self.apart).to_numpy(zero_copy_only=False)).tolist():
+            own[i] = np.array([numbers.setdefault(c, len(numbers)) for c in CHUNK.findall(texts[i].as_py())], dtype=np.int32)
+        self._remember(set(numbers))
+        found = [*map(self.cache.__getitem__, numbers), END_ID.to_bytes(2, "little")]
+        end = np.array([len(numbers)], dtype=np.int32)
+        for i, ids in zip(odd, self._tokenize(texts.take(odd).to_pylist()) if odd else ()):
+            own[i] = np.array([len(found)], dtype=np.int32)
+            found.append(ids)
+        return found, np.concatenate([a for some in own for a in (some, end)]), np.array([len(a) + 1 for a in own])
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        chunks = [CHUNK.findall(t) for t in texts]
-        odd = self._remember(set().union(*chunks))
-        whole = [bool(odd) and not odd.isdisjoint(own) for own in chunks]
-        alone = iter(self._tokenize([t for t, w in zip(texts, whole) if w]))
-        end = END_ID.to_bytes(2, "little")
-        return [(next(alone) if w else b"".join(map(self.cache.__getitem__, own))) + end for own, w in zip(chunks, whole)]
+        found, at, sizes = self.phrases(pa.array(texts, pa.string()))
+        return [b"".join(found[k] for k in own) for own in np.split(at, np.cumsum(sizes)[:-1])]
 
 
 @lru_cache(maxsize=1)
@@ -118,37 +155,145 @@ def _encoder(tokenizer_json: str) -> Encoder:
     return Encoder(tokenizer_json)
 
 
-def pack_payload(documents: list[bytes]) -> bytes:
-    ids = np.frombuffer(b"".join(documents), "<u2")
-    blocks = range_coder.encode(ids)
-    lengths = np.array([len(d) // 2 for d in documents], dtype="<u4")
-    table = np.array([(len(b), crc, n) for b, crc, n in blocks], dtype="<u4").reshape(-1, 3)
-    head = MAGIC + struct.pack("<IIQ", len(documents), len(blocks), len(ids))
-    return head + lengths.tobytes() + table.tobytes() + b"".join(b for b, _, _ in blocks)
+def _spelled(flat: np.ndarray, size: np.ndarray, at: np.ndarray, begin: np.ndarray | None = None) -> np.ndarray:
+    """Entries ``at`` of a table one after the other; entry k is ``size[k]`` values of ``flat``."""
+    begin = np.cumsum(size) - size if begin is None else begin
+    parts = [flat[:0]]
+    for k in range(0, len(at), SLICE):
+        some = at[k : k + SLICE]
+        n = size[some]
+        ends = np.cumsum(n)
+        place = np.repeat(begin[some] - ends + n, n)
+        place += np.arange(len(place))
+        parts.append(flat[place])
+    return np.concatenate(parts)
+
+
+class Pack:
+    """Documents on their way into a payload: numbers of phrases in order of appearance."""
+
+    def __init__(self, encoder: Encoder):
+        self.encoder = encoder
+        self.numbers: dict[bytes, int] = {}
+        self.phrases: list[np.ndarray] = []
+        self.lengths: list[np.ndarray] = []
+        self.n_ids = 0
+
+    def add(self, texts: pa.Array) -> None:
+        found, at, sizes = self.encoder.phrases(texts)
+        fresh = [p for p in dict.fromkeys(found) if p not in self.numbers]
+        self.numbers.update(zip(fresh, range(len(self.numbers), len(self.numbers) + len(fresh))))
+        self.phrases.append(np.fromiter(map(self.numbers.__getitem__, found), np.int32, len(found))[at])
+        n_ids = np.fromiter(map(len, found), np.int64, len(found)) // 2
+        self.lengths.append(np.add.reduceat(n_ids[at], np.cumsum(sizes) - sizes))
+        self.n_ids += int(self.lengths[-1].sum())
+
+    def full(self) -> bool:
+        return self.n_ids >= PACK_IDS or len(self.numbers) >= MOST_PHRASES
+
+    def payload(self) -> bytes:
+        lengths = np.concatenate(self.lengths).astype("<u4")
+        sizes, table, stream = self._symbols()
+        blocks = range_coder.encode(stream)
+        places = np.array([(len(b), crc, n) for b, crc, n in blocks], dtype="<u4").reshape(-1, 3)
+        table = zlib.compress(sizes.astype("<u4").tobytes() + table.astype("<u2").tobytes(), 1)
+        head = HEAD.pack(MAGIC, len(lengths), len(blocks), self.n_ids, len(sizes), len(table))
+        return b"".join([head, lengths.tobytes(), places.tobytes(), table, *(b for b, _, _ in blocks)])
+
+    def _symbols(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """How many ids each symbol has, those of one id, and the stream."""
+        sequence, self.phrases = np.concatenate(self.phrases), []
+        size = np.array([len(p) // 2 for p in self.numbers])
+        flat = np.frombuffer(b"".join(self.numbers), "<u2").astype(np.int64)
+        count, begin = np.bincount(sequence, minlength=len(size)), np.cumsum(size) - size
+        ids = np.flatnonzero(np.bincount(flat, minlength=SYMBOLS))
+        room = SYMBOLS - len(ids)
+        # phrases that save most beyond pairs
+        own = np.flatnonzero((size > 2) & (count >= LEAST))
+        own = own[np.argsort(-count[own] * ((size[own] - 1) // 2), kind="stable")[: room // 2]]
+        times = count.copy()
+        times[own] = 0
+        times = np.repeat(times, size)
+        inside = np.arange(len(flat)) - np.repeat(begin, size)
+        two = np.flatnonzero((inside % 2 == 0) & (inside + 1 < np.repeat(size, size)) & (times > 0))
+        pairs, which = np.unique(flat[two] << 16 | flat[two + 1], return_inverse=True)
+        often = np.bincount(which, times[two], len(pairs)).astype(np.int64)
+        best = np.flatnonzero(often >= LEAST)
+        best = best[np.argsort(-often[best], kind="stable")[: room - len(own)]]
+        place = np.full(len(pairs), -1)
+        place[best] = np.arange(len(best))
+        two, which = two[place[which] >= 0], place[which[place[which] >= 0]]
+        kept = np.ones(len(flat), dtype=bool)
+        kept[two + 1] = False
+        times[two] = 0
+        # symbols in order of their counts
+        single = np.bincount(flat, times * kept, SYMBOLS)[ids].astype(np.int64)
+        entries = np.concatenate([single, often[best], count[own]])
+        order = np.argsort(-entries, kind="stable")
+        symbol = np.empty(len(order), dtype=np.uint16)
+        symbol[order] = np.arange(len(order))
+        of_id = np.zeros(SYMBOLS, dtype=np.uint16)
+        of_id[ids] = symbol[: len(ids)]
+        of_pair, of_phrase = symbol[len(ids) : len(ids) + len(best)], symbol[len(ids) + len(best) :]
+        # ids of each symbol, and the symbols of each phrase
+        spelling = of_id[np.concatenate([ids, np.stack([pairs[best] >> 16, pairs[best] & 0xFFFF], 1).ravel(), flat])]
+        sizes = np.concatenate([np.ones(len(ids), dtype=np.int64), np.full(len(best), 2), size[own]])
+        from_ = np.concatenate([np.arange(len(ids)), len(ids) + 2 * np.arange(len(best)), len(ids) + 2 * len(best) + begin[own]])
+        first = _spelled(spelling, sizes, order[sizes[order] > 1], from_)
+        coded = of_id[flat]
+        coded[two] = of_pair[which]
+        ends = np.concatenate([[0], np.cumsum(kept)])
+        size, begin = ends[begin + size] - ends[begin], ends[begin]
+        size[own], begin[own] = 1, ends[-1] + np.arange(len(own))
+        rest = _spelled(np.concatenate([coded[kept], of_phrase]), size, sequence, begin)
+        return sizes[order], ids[order[order < len(ids)]], np.concatenate([first, rest])
 
 
 def read_payload(payload: bytes) -> list[np.ndarray]:
     """Token ids of each document of a pack; checks all checksums."""
     if payload[:4] != MAGIC:
         raise ValueError("not a pack of token ids")
-    n_docs, n_blocks, n_ids = struct.unpack_from("<IIQ", payload, 4)
-    at = 20
+    _, n_docs, n_blocks, n_ids, n_symbols, n_table = HEAD.unpack_from(payload)
+    at = HEAD.size
     lengths = np.frombuffer(payload, "<u4", n_docs, at)
     at += 4 * n_docs
-    table = np.frombuffer(payload, "<u4", 3 * n_blocks, at).reshape(-1, 3)
+    places = np.frombuffer(payload, "<u4", 3 * n_blocks, at).reshape(-1, 3)
     at += 12 * n_blocks
+    try:
+        table = zlib.decompress(payload[at : at + n_table])
+    except zlib.error as e:
+        raise ValueError("a pack's table is damaged") from e
+    at += n_table
     blocks = []
-    for size, crc, n in table.tolist():
+    for size, crc, n in places.tolist():
         blocks.append((payload[at : at + size], crc, n))
         at += size
-    parts = range_coder.decode(blocks)
-    ids = np.concatenate(parts) if parts else np.zeros(0, np.uint16)
+    stream = np.concatenate([np.zeros(0, np.uint16), *range_coder.decode(blocks)])
+    sizes = np.frombuffer(table, "<u4", n_symbols).astype(np.int64)
+    alone = sizes == 1
+    by_symbol = np.zeros(n_symbols, dtype=np.uint16)
+    by_symbol[alone] = np.frombuffer(table, "<u2", offset=4 * n_symbols)
+    n_first = int(sizes[~alone].sum())
+    flat = np.empty(int(sizes.sum()), dtype=np.uint16)
+    one = np.repeat(alone, sizes)
+    flat[one], flat[~one] = by_symbol[alone], by_symbol[stream[:n_first]]
+    ids = _spelled(flat, sizes, stream[n_first:])
     if len(ids) != n_ids or lengths.sum() != n_ids:
         raise ValueError("a pack's lengths do not add up")
     ends = np.cumsum(lengths.astype(np.int64))
     return np.split(ids, ends[:-1])
 
 
+def _groups(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of some ``GROUP_BYTES`` of text, one document at least."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(), dtype=np.int64)
+    start = done = 0
+    while start < batch.num_rows:
+        stop = max(start + 1, int(np.searchsorted(ends, done + GROUP_BYTES, side="right")))
+        yield batch.slice(start, stop - start)
+        start, done = stop, int(ends[stop - 1])
+
+
 def write_tokens(docs: DataFrame, path: str, tokenizer_json: str, id_col: str = "doc_id", text_col: str = "text") -> None:
     base = pick(docs, id=id_col, text=text_col)
     size = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -160,31 +305,22 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_json: str, id_col: str =
     def pack(batches):
         encoder, part, number = _encoder(shared.value), TaskContext.get().partitionId(), 0
         ids: list = []
-        coded: list[bytes] = []
-        total = 0
+        packed = Pack(encoder)
 
         def row():
             return pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([[x for a in ids for x in a.to_pylist()]], pa.list_(ids[0].type)), pa.array([total // 2], pa.int64()), pa.array([pack_payload(coded)], pa.binary())],
+                [pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([[x for a in ids for x in a.to_pylist()]], pa.list_(ids[0].type)), pa.array([packed.n_ids], pa.int64()), pa.array([packed.payload()], pa.binary())],
                 ["part", "pack", "doc_ids", "n_ids", "payload"],
             )
 
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            start = chars = 0
-            for i, text in enumerate(texts):
-                chars += len(text)
-                if chars < GROUP_CHARS and i < len(texts) - 1:
-                    continue
-                got = encoder.encode(texts[start : i + 1])
-                ids.append(batch.column(0).slice(start, i + 1 - start))
-                coded += got
-                total += sum(map(len, got))
-                start, chars = i + 1, 0
-                if total >= 2 * PACK_IDS:
+            for some in _groups(batch):
+                ids.append(some.column(0))
+                packed.add(some.column(1))
+                if packed.full():
                     yield row()
-                    ids, coded, total, number = [], [], 0, number + 1
-        if coded:
+                    ids, packed, number = [], Pack(encoder), number + 1
+        if ids:
             yield row()
 
     schema = f"part int, pack int, doc_ids array<{id_type}>, n_ids long, payload binary"
