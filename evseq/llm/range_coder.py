@@ -126,7 +126,7 @@ class _Model:
         share += self.w
         packed = np.empty((n, 4), dtype=np.int16)
         packed.T[...] = share
-        self.weights[self.row] = packed.view(np.int64).ravel()
+        self.weights.put(self.row, packed.view(np.int64).ravel(), mode="clip")
         return start, size
 
     def find(self, n: int, value) -> tuple[np.ndarray, np.ndarray]:
@@ -148,9 +148,9 @@ class _Model:
         high, middle, _ = self.levels
         at = self.lane[:n] * WIDTH + _last(self.high[:n], rest)
         rest -= high.take(at, mode="clip")
-        at2 = at * WIDTH + _last(_counts(self.middle[at]), rest)
+        at2 = at * WIDTH + _last(_counts(self.middle.take(at, mode="clip")), rest)
         rest -= middle.take(at2, mode="clip")
-        x = at2 * WIDTH + _last(_counts(self.low[at2]), rest) - base
+        x = at2 * WIDTH + _last(_counts(self.low.take(at2, mode="clip")), rest) - base
         return np.where(is_a, a, np.where(is_b, b, x)), new
 
     def learn(self, n: int, x) -> None:
@@ -158,16 +158,18 @@ class _Model:
         for table, slot, packed, guess in ((self.first, self.at1, self.packed1, self.p1), (self.second, self.at2, self.packed2, self.p2)):
             # a miss lowers the confidence; without any the number takes the slot
             missed = np.where(packed & LEVEL, packed - ONE, number | ONE)
-            table[slot] = np.where(guess == number, np.minimum(packed + ONE, guess | LEVEL), missed)
+            table.put(slot, np.where(guess == number, np.minimum(packed + ONE, guess | LEVEL), missed), mode="clip")
         self.two[:n] = self.one[:n]
         self.one[:n] = x
-        self.count[at] = self.count.take(at, mode="clip") + np.uint16(1)
-        self.high[:n] += _counts(_ADD[x >> 8])
+        self.count.put(at, self.count.take(at, mode="clip") + np.uint16(1), mode="clip")
+        high = self.high[:n]
+        high += _counts(_ADD.take(x >> 8, mode="clip"))
         for table, place in ((self.middle, at >> 4), (self.low, at)):
             row = place >> 4
-            rows = table[row]
-            _counts(rows)[...] += _counts(_ADD[place & WIDTH - 1])
-            table[row] = rows
+            rows = table.take(row, mode="clip")
+            counts = _counts(rows)
+            counts += _counts(_ADD.take(place & WIDTH - 1, mode="clip"))
+            table.put(row, rows, mode="clip")
 
 
 def _counts(rows: np.ndarray) -> np.ndarray:

@@ -44,6 +44,7 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -64,7 +65,7 @@ MOST_PHRASES = 500_000  # different ones of a pack, which ends there
 LEAST = 3  # times that a phrase of several ids occurs to be a symbol
 SYMBOLS = 1 << 16
 CACHE_CHUNKS = 500_000  # in two halves
-TOGETHER = 2_000  # chunks to a call of the tokenizer
+TOGETHER = 250  # chunks to a call of the tokenizer
 GROUP_BYTES = 8 << 20
 SLICE = 1 << 20  # of an array that is spelled out
 MAGIC = b"CMR3"
@@ -124,30 +125,37 @@ class Encoder:
                 part = some[at : at + TOGETHER]
                 self.cache.update(zip(part, tokenize(part)))
 
-    def phrases(self, texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-        """Different phrases, their numbers in the texts, one after the other,
-        and how many each text has (an end included)."""
+    def cut(self, texts: pa.Array) -> tuple[list[np.ndarray], list[str], list[str]]:
+        """Of each text the numbers of its chunks, the different chunks, and
+        after them in number the texts that are not cut."""
         texts = texts.fill_null("")
-        cut = pc.replace_substring(texts, " ", CUT + " ")
-        cut = pc.replace_substring_regex(cut, r"\n+", CUT + r"\0")
-        cut = pc.split_pattern(pc.replace_substring_regex(cut, MARKS, r"\1" + CUT + r"\2"), CUT)
-        chunks = cut.flatten().dictionary_encode()
-        own = np.split(chunks.indices.to_numpy(), cut.offsets.to_numpy()[1:-1])
-        numbers = {c: k for k, c in enumerate(chunks.dictionary.to_pylist())}
-        odd = np.flatnonzero(pc.match_substring_regex(texts, ODD_SPACE).to_numpy(zero_copy_only=False)).tolist()
-        for i in np.flatnonzero(pc.match_substring_regex(texts, self.apart).to_numpy(zero_copy_only=False)).tolist():
-            own[i] = np.array([numbers.setdefault(c, len(numbers)) for c in CHUNK.findall(texts[i].as_py())], dtype=np.int32)
-        self._remember(set(numbers))
-        found = [*map(self.cache.__getitem__, numbers), END_ID.to_bytes(2, "little")]
-        end = np.array([len(numbers)], dtype=np.int32)
-        for i, ids in zip(odd, self._tokenize(texts.take(odd).to_pylist()) if odd else ()):
-            own[i] = np.array([len(found)], dtype=np.int32)
-            found.append(ids)
-        return found, np.concatenate([a for some in own for a in (some, end)]), np.array([len(a) + 1 for a in own])
+        odd, apart = pc.match_substring_regex(texts, ODD_SPACE), pc.match_substring_regex(texts, self.apart)
+        plain = pc.if_else(pc.or_(odd, apart), "", texts)
+        plain = pc.replace_substring_regex(pc.replace_substring(plain, " ", CUT + " "), r"\n+", CUT + r"\0")
+        parts = pc.split_pattern(pc.replace_substring_regex(plain, MARKS, r"\1" + CUT + r"\2"), CUT)
+        coded = parts.flatten().dictionary_encode()
+        own = np.split(coded.indices.to_numpy(), parts.offsets.to_numpy()[1:-1])
+        joined = pc.binary_join(pa.ListArray.from_arrays([0, len(coded.dictionary)], coded.dictionary), CUT)
+        chunks = joined[0].as_py().split(CUT)
+        apart = pc.indices_nonzero(pc.and_not(apart, odd)).to_pylist()
+        if apart:
+            numbers = {c: k for k, c in enumerate(chunks)}
+            for i in apart:
+                own[i] = np.array([numbers.setdefault(c, len(numbers)) for c in CHUNK.findall(texts[i].as_py())], dtype=np.int32)
+            chunks = list(numbers)
+        whole: dict[str, int] = {}
+        for i in pc.indices_nonzero(odd).to_pylist():
+            own[i] = np.array([whole.setdefault(texts[i].as_py(), len(chunks) + len(whole))], dtype=np.int32)
+        return own, chunks, list(whole)
+
+    def ids(self, chunks: list[str], whole: list[str]) -> list[bytes]:
+        self._remember(set(chunks))
+        return [*map(self.cache.__getitem__, chunks), *(self._tokenize(whole) if whole else ())]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        found, at, sizes = self.phrases(pa.array(texts, pa.string()))
-        return [b"".join(found[k] for k in own) for own in np.split(at, np.cumsum(sizes)[:-1])]
+        own, chunks, whole = self.cut(pa.array(texts, pa.string()))
+        ids, end = self.ids(chunks, whole), END_ID.to_bytes(2, "little")
+        return [b"".join([*map(ids.__getitem__, numbers.tolist()), end]) for numbers in own]
 
 
 @lru_cache(maxsize=1)
@@ -174,22 +182,35 @@ class Pack:
 
     def __init__(self, encoder: Encoder):
         self.encoder = encoder
-        self.numbers: dict[bytes, int] = {}
-        self.phrases: list[np.ndarray] = []
+        self.numbers: dict[str, int] = {}
+        self.phrases = [END_ID.to_bytes(2, "little")]  # token ids by number
+        self.sizes = np.ones(1, dtype=np.int64)
+        self.stream: list[np.ndarray] = []
         self.lengths: list[np.ndarray] = []
         self.n_ids = 0
 
     def add(self, texts: pa.Array) -> None:
-        found, at, sizes = self.encoder.phrases(texts)
-        fresh = [p for p in dict.fromkeys(found) if p not in self.numbers]
-        self.numbers.update(zip(fresh, range(len(self.numbers), len(self.numbers) + len(fresh))))
-        self.phrases.append(np.fromiter(map(self.numbers.__getitem__, found), np.int32, len(found))[at])
-        n_ids = np.fromiter(map(len, found), np.int64, len(found)) // 2
-        self.lengths.append(np.add.reduceat(n_ids[at], np.cumsum(sizes) - sizes))
+        own, chunks, whole = self.encoder.cut(texts)
+        every = chunks + whole
+        number = np.fromiter(map(self.numbers.get, every, repeat(-1)), np.int32, len(every))
+        fresh = np.flatnonzero(number < 0)
+        number[fresh] = np.arange(len(self.phrases), len(self.phrases) + len(fresh))
+        n_chunks = int(np.searchsorted(fresh, len(chunks)))
+        new = [every[k] for k in fresh.tolist()]
+        ids = self.encoder.ids(new[:n_chunks], new[n_chunks:])
+        self.numbers.update(zip(new, number[fresh].tolist()))
+        self.phrases += ids
+        self.sizes = np.concatenate([self.sizes, np.fromiter(map(len, ids), np.int64, len(ids)) // 2])
+        number = np.append(number, np.int32(0))  # the end
+        end = np.array([len(every)], dtype=np.int32)
+        stream = number[np.concatenate([a for some in own for a in (some, end)])]
+        starts = np.cumsum([0] + [len(a) + 1 for a in own[:-1]])
+        self.stream.append(stream)
+        self.lengths.append(np.add.reduceat(self.sizes[stream], starts))
         self.n_ids += int(self.lengths[-1].sum())
 
     def full(self) -> bool:
-        return self.n_ids >= PACK_IDS or len(self.numbers) >= MOST_PHRASES
+        return self.n_ids >= PACK_IDS or len(self.phrases) >= MOST_PHRASES
 
     def payload(self) -> bytes:
         lengths = np.concatenate(self.lengths).astype("<u4")
@@ -202,9 +223,8 @@ class Pack:
 
     def _symbols(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """How many ids each symbol has, those of one id, and the stream."""
-        sequence, self.phrases = np.concatenate(self.phrases), []
-        size = np.array([len(p) // 2 for p in self.numbers])
-        flat = np.frombuffer(b"".join(self.numbers), "<u2").astype(np.int64)
+        sequence, size = np.concatenate(self.stream), self.sizes.copy()
+        flat = np.frombuffer(b"".join(self.phrases), "<u2").astype(np.int64)
         count, begin = np.bincount(sequence, minlength=len(size)), np.cumsum(size) - size
         ids = np.flatnonzero(np.bincount(flat, minlength=SYMBOLS))
         room = SYMBOLS - len(ids)

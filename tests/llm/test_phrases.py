@@ -66,10 +66,13 @@ class Given:
     """Documents of given phrases."""
 
     def __init__(self, phrases, at):
-        self.given = phrases, at
+        self.phrases, self.at = phrases, at
 
-    def phrases(self, texts):
-        return *self.given, np.array([len(self.given[1])])
+    def cut(self, texts):
+        return [self.at], [str(k) for k in range(len(self.phrases))], []
+
+    def ids(self, chunks, whole):
+        return [self.phrases[int(c)] for c in chunks]
 
 
 @pytest.mark.parametrize("size", [2, 3, 7])
@@ -79,7 +82,7 @@ def test_more_phrases_than_symbols(size):
     at = np.concatenate([np.arange(40_000), rng.permutation(40_000), rng.permutation(40_000)])
     pack = packed(Given([r.tobytes() for r in ids], at), ["x"])
     (got,) = token_files.read_payload(pack.payload())
-    assert np.array_equal(got, ids[at].ravel())
+    assert np.array_equal(got, [*ids[at].ravel(), token_files.END_ID])
 
 
 def test_all_ids_used_leave_no_room():
@@ -87,7 +90,7 @@ def test_all_ids_used_leave_no_room():
     phrases = [ids.tobytes(), ids[7:9].tobytes(), ids[5:8].tobytes()]
     pack = packed(Given(phrases, np.array([0, 1, 1, 1, 2, 2, 2, 0])), ["x"])
     (got,) = token_files.read_payload(pack.payload())
-    assert np.array_equal(got, np.concatenate([ids, np.tile(ids[7:9], 3), np.tile(ids[5:8], 3), ids]))
+    assert np.array_equal(got, np.concatenate([ids, np.tile(ids[7:9], 3), np.tile(ids[5:8], 3), ids, [token_files.END_ID]]))
 
 
 def test_damage_is_found(encoder):
