@@ -25,7 +25,7 @@ Token ids must fit 16 bits.  A text is split before white space that follows
 other characters, where no token of a byte-level vocabulary of this kind can
 reach across, and a word from the marks behind it.  Each distinct part goes to
 the tokenizer once while it is remembered, many at once as lines of a text; a
-text with white space other than blanks and line ends goes to it whole.
+text with the separators 1C to 1F goes to it whole.
 
 Reading needs one small aggregate: the number of ids in each part gives where
 every pack starts.
@@ -62,6 +62,7 @@ PACK_IDS = 1 << 24
 PART_BYTES = 32 << 20  # text of a range partition
 MOST_PARTS = 20_000  # from there on the partitions grow
 MOST_PHRASES = 500_000  # different ones of a pack, which ends there
+MOST_SPELLED = 1 << 22  # or where these have so many ids
 LEAST = 3  # times that a phrase of several ids occurs to be a symbol
 SYMBOLS = 1 << 16
 CACHE_CHUNKS = 500_000  # in two halves
@@ -70,13 +71,16 @@ GROUP_BYTES = 8 << 20
 SLICE = 1 << 20  # of an array that is spelled out
 MAGIC = b"CMR3"
 HEAD = struct.Struct("<4sIIQII")
-CHUNK = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
-ODD_SPACE = r"[\t\x0b-\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+#: white space but the blank
+SPACE = "\t-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+CHUNK = re.compile(f"[ {SPACE}]*[^ {SPACE}]+|[ {SPACE}]+")
+#: separators that are white space to some only
+ODD_SPACE = r"[\x1c-\x1f]"
 #: texts in which white space holds a blank other than its last character
-BLANKS = r"^ |  | $| \n"
+BLANKS = f"^ |  | $| [{SPACE}]"
 #: a token that starts with a letter goes on only with letters
 MARKS = r"([A-Za-zÀ-ÖØ-öø-ÿ])([!-/:-@\[-`{-~])"
-CUT = "\x1e"  # one of the odd white space
+CUT = "\x1e"  # one of the odd separators
 
 
 class Encoder:
@@ -119,7 +123,8 @@ class Encoder:
         new.difference_update(known)
         lines, rest = [], []
         for c in new:
-            (rest if self.line is None or "\n" in c or c[:2] in ("", " ", "  ") else lines).append(c)
+            first = c[1:2] if c[:1] == " " else c[:1]
+            (rest if self.line is None or not first or first.isspace() else lines).append(c)
         for some, tokenize in ((lines, self._tokenize_chunks), (rest, self._tokenize)):
             for at in range(0, len(some), TOGETHER):
                 part = some[at : at + TOGETHER]
@@ -128,14 +133,15 @@ class Encoder:
     def cut(self, texts: pa.Array) -> tuple[list[np.ndarray], list[str], list[str]]:
         """Of each text the numbers of its chunks, the different chunks, and
         after them in number the texts that are not cut."""
-        texts = texts.fill_null("")
+        texts = texts.cast(pa.large_string()).fill_null("")
         odd, apart = pc.match_substring_regex(texts, ODD_SPACE), pc.match_substring_regex(texts, self.apart)
         plain = pc.if_else(pc.or_(odd, apart), "", texts)
-        plain = pc.replace_substring_regex(pc.replace_substring(plain, " ", CUT + " "), r"\n+", CUT + r"\0")
+        plain = pc.replace_substring_regex(pc.replace_substring(plain, " ", CUT + " "), f"[{SPACE}]+", CUT + r"\0")
         parts = pc.split_pattern(pc.replace_substring_regex(plain, MARKS, r"\1" + CUT + r"\2"), CUT)
         coded = parts.flatten().dictionary_encode()
         own = np.split(coded.indices.to_numpy(), parts.offsets.to_numpy()[1:-1])
-        joined = pc.binary_join(pa.ListArray.from_arrays([0, len(coded.dictionary)], coded.dictionary), CUT)
+        words = coded.dictionary.cast(pa.string())
+        joined = pc.binary_join(pa.ListArray.from_arrays([0, len(words)], words), CUT)
         chunks = joined[0].as_py().split(CUT)
         apart = pc.indices_nonzero(pc.and_not(apart, odd)).to_pylist()
         if apart:
@@ -150,7 +156,7 @@ class Encoder:
 
     def ids(self, chunks: list[str], whole: list[str]) -> list[bytes]:
         self._remember(set(chunks))
-        return [*map(self.cache.__getitem__, chunks), *(self._tokenize(whole) if whole else ())]
+        return [*map(self.cache.__getitem__, chunks), *(self._tokenize([text])[0] for text in whole)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         own, chunks, whole = self.cut(pa.array(texts, pa.string()))
@@ -187,7 +193,7 @@ class Pack:
         self.sizes = np.ones(1, dtype=np.int64)
         self.stream: list[np.ndarray] = []
         self.lengths: list[np.ndarray] = []
-        self.n_ids = 0
+        self.n_ids = self.n_spelled = 0
 
     def add(self, texts: pa.Array) -> None:
         own, chunks, whole = self.encoder.cut(texts)
@@ -198,9 +204,10 @@ class Pack:
         n_chunks = int(np.searchsorted(fresh, len(chunks)))
         new = [every[k] for k in fresh.tolist()]
         ids = self.encoder.ids(new[:n_chunks], new[n_chunks:])
-        self.numbers.update(zip(new, number[fresh].tolist()))
+        self.numbers.update(zip(new[:n_chunks], number[fresh].tolist()))
         self.phrases += ids
         self.sizes = np.concatenate([self.sizes, np.fromiter(map(len, ids), np.int64, len(ids)) // 2])
+        self.n_spelled += sum(map(len, ids)) // 2
         number = np.append(number, np.int32(0))  # the end
         end = np.array([len(every)], dtype=np.int32)
         stream = number[np.concatenate([a for some in own for a in (some, end)])]
@@ -210,7 +217,7 @@ class Pack:
         self.n_ids += int(self.lengths[-1].sum())
 
     def full(self) -> bool:
-        return self.n_ids >= PACK_IDS or len(self.phrases) >= MOST_PHRASES
+        return self.n_ids >= PACK_IDS or len(self.phrases) >= MOST_PHRASES or self.n_spelled >= MOST_SPELLED
 
     def payload(self) -> bytes:
         lengths = np.concatenate(self.lengths).astype("<u4")

@@ -47,6 +47,22 @@ def test_random_texts_come_back(encoder):
     assert [g.tolist() for g in got] == expected(encoder, texts)
 
 
+@pytest.mark.parametrize("space", ["\t", "\x0b", "\x0c", "\r", "\r\n", "\x1c", "\x1f", "\x85", "\xa0", "\u1680", "\u180e", "\u2000", "\u2007", "\u200a", "\u200b", "\u2028", "\u2029", "\u202f", "\u205f", "\u3000", "\ufeff"])
+def test_any_white_space(encoder, space):
+    rng = random.Random(3)
+    texts = ["".join(rng.choice(["ab", "C.", "(", " d", "1", " ", "\n", space, space, f"\n{space}e"]) for _ in range(rng.randrange(14))) for _ in range(1500)]
+    assert [np.frombuffer(e, "<u2").tolist() for e in encoder.encode(texts)] == expected(encoder, texts)
+
+
+def test_white_space_does_not_send_texts_whole(encoder, monkeypatch):
+    whole = []
+    ids = encoder.ids
+    monkeypatch.setattr(encoder, "ids", lambda c, w: ids(c, w) if not whole.extend(w) else None)
+    texts = ["one\r\ntwo,\tthree\xa0: four\u2009%\r\n\r\nfive.", "six \t seven\n  eight", "nine\x1eten"]
+    got = token_files.read_payload(packed(encoder, texts).payload())
+    assert [g.tolist() for g in got] == expected(encoder, texts) and whole == texts[2:]
+
+
 def test_phrases_are_coded_as_one(encoder, monkeypatch):
     coded = []
     encode = range_coder.encode
@@ -107,6 +123,11 @@ def test_packs_end_at_many_phrases(encoder, monkeypatch):
     assert packed(encoder, [prose(7, 2000)]).full() and not packed(encoder, ["a b"]).full()
 
 
+def test_packs_end_at_long_phrases(encoder, monkeypatch):
+    monkeypatch.setattr(token_files, "MOST_SPELLED", 300)
+    assert packed(encoder, ["a\x1e" * 200]).full() and not packed(encoder, ["a b " * 200]).full()
+
+
 def test_groups_hold_every_document():
     batch = pa.RecordBatch.from_arrays([pa.array(range(7)), pa.array(["a" * 9_000_000, None, "", "b", "c" * 5_000_000, "d" * 5_000_000, None])], ["id", "text"])
     groups = list(token_files._groups(batch.slice(0)))
