@@ -220,6 +220,7 @@ class Pack:
         return self.n_ids >= PACK_IDS or len(self.phrases) >= MOST_PHRASES or self.n_spelled >= MOST_SPELLED
 
     def payload(self) -> bytes:
+        """The pack's bytes; no texts can follow."""
         lengths = np.concatenate(self.lengths).astype("<u4")
         sizes, table, stream = self._symbols()
         blocks = range_coder.encode(stream)
@@ -232,6 +233,7 @@ class Pack:
         """How many ids each symbol has, those of one id, and the stream."""
         sequence, size = np.concatenate(self.stream), self.sizes.copy()
         flat = np.frombuffer(b"".join(self.phrases), "<u2").astype(np.int64)
+        self.numbers, self.phrases, self.stream = {}, [], []  # room for the coder
         count, begin = np.bincount(sequence, minlength=len(size)), np.cumsum(size) - size
         ids = np.flatnonzero(np.bincount(flat, minlength=SYMBOLS))
         room = SYMBOLS - len(ids)
