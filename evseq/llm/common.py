@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -40,11 +41,31 @@ def small(batches: Iterable[pa.RecordBatch], rows: int = 500) -> Iterator[pa.Rec
             yield batch.slice(at, rows)
 
 
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """What runs inside leaves no shuffle files behind; else they stay until the
+    driver happens to collect its garbage, whatever the size of the table."""
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(FREE_SHUFFLES)
+        else:
+            spark.conf.set(FREE_SHUFFLES, before)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write a stage as Parquet in the shared folder and read it back: lineage
-    ends there, later branches prune columns, and a lost executor costs a read."""
+    ends there, its shuffle files go, later branches prune columns, and a lost
+    executor costs a read."""
     path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    with shuffles_freed(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

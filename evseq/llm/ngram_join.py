@@ -4,23 +4,29 @@ A document's set holds the hashes of its distinct ``SIZE``-word shingles.
 Documents with equal sets are one class.  Two classes link when
 100 * intersection >= THRESHOLD * union.
 
-Candidates.  All documents order their shingles alike, by a count sketch of
-the whole corpus (fixed size; rare cells first) and then by hash.  If two sets
-link, at least ``l`` shingles meet among the first n - ceil(0.85 n) + l of
-each.  These are sent out as (shingle, class); shingles of a single class
-fall away in a partial aggregate, then classes with fewer than their ``l``
-shared shingles.  The classes left form clusters (connected components of
-"share a sent shingle"), found without naming pairs.
+Candidates.  Linked sets of a and b shingles differ in 15 (a + b) / 115 of them
+at most, d say.  All sets of about one size deal their shingles by hash over the
+same parts, more than d of them; each differing shingle spoils one part, so of
+any d + 1 parts one is the same in both.  A class sends the hash of its first
+d + 1 parts that hold two shingles or more (one, in small sets), as (signature,
+class) with the class as 64 bits; sets near the end of a size range also send
+those of the next one.  Sets with fewer such parts try other deals, at last one
+signature for all of them.  Classes of a signature are tied to the least of
+them, first within a task, so a signature of very many classes sends one row a
+task.  A shingle that many documents hold ties nothing by itself, whatever the
+number of documents.  The connected components are the clusters, found without
+naming pairs.
 
 Join.  A cluster goes to one task, or, above a block's size, to tasks of two
 blocks each.  A task orders its shingles by frequency, puts the sets into a
 path-compressed prefix tree and walks it once for every set: overlaps add up
 along shared prefixes, and a subtree is left when its lengths or the shingles
 that remain cannot reach the threshold, or when all of it is connected
-already.  Large clusters are joined in two steps (within blocks and with the
-first block; then, ordered by the components so far, the block pairs that are
-not of one component), so one huge group of near copies does not cost all of
-its block pairs.  Components of the links give the result.
+already.  Large clusters are joined in steps (within blocks; with the first
+block; then, ordered by the components so far, the block pairs that are not of
+one component), so one huge group of near copies does not cost all of its block
+pairs.  Pairs go in rounds that ship about the texts of the large clusters
+each.  Components of the links give the result.
 
 Shingles are 64-bit hashes and classes 128-bit hashes of whole sets.
 
@@ -33,11 +39,12 @@ rows; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import itertools
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,8 +53,10 @@ from evseq.llm.components import connected_components
 
 SIZE = 4
 THRESHOLD = 85
-SKETCH_PARTS, FAN_IN = 256, 64
-SKETCH_BITS = 20
+RANGE = 1.6  # sizes of one deal: from lo to under RANGE * lo
+PART = 3  # shingles a part holds in the smallest sets of a deal
+DEALS = 8  # deals tried before the common signature
+SENT_ROWS = 1 << 20  # rows in which a task ties equal signatures
 BUFFER = 1 << 18  # bytes hashed at once, few enough for the cache
 BLOCK_SETS = 2_000  # sets of one block of a cluster
 BLOCK_SHINGLES = 1_500_000
@@ -145,9 +154,70 @@ def need(n: int, threshold: int = THRESHOLD) -> int:
     return -(-threshold * n // 100)
 
 
-def shared_at_least(n: int, threshold: int = THRESHOLD) -> int:
-    """l: shingles that must meet in the sent parts; 5 % of the set."""
-    return max(1, min(n // 20, need(n, threshold)))
+def differing(n: np.ndarray, high: int, threshold: int = THRESHOLD) -> np.ndarray:
+    """Most shingles not in both of a set of n and one of at most ``high`` it links to."""
+    return (100 - threshold) * (n + np.minimum(high, 100 * n // threshold)) // (100 + threshold)
+
+
+def size_ranges(largest: int) -> Iterator[tuple[int, int, int]]:
+    """(number, lo, hi): ranges of sizes, as far as ``largest``."""
+    lo = 1
+    for number in itertools.count():
+        if lo > largest:
+            return
+        hi = max(lo, math.ceil(lo * RANGE) - 1)
+        yield number, lo, hi
+        lo = hi + 1
+
+
+def _deal(sizes, tokens, want, number: int, deal: int, parts: int, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Signatures of the first ``want`` parts of each set that hold ``least``
+    shingles, the set of each signature, and which sets have fewer of them."""
+    h = _mix(tokens + np.uint64(2 * (number * DEALS + deal) + 1))
+    cell = np.repeat(np.arange(len(sizes)) * parts, sizes)
+    # the high bits alone choose the part: parts << 2**24
+    cell += ((h >> np.uint64(40)) * np.uint64(parts) >> np.uint64(24)).astype(np.int64)
+    cells = len(sizes) * parts
+    full = np.bincount(cell, minlength=cells).reshape(-1, parts) >= least
+    # float sums of 32-bit numbers are exact up to 2**21 of them
+    h = _mix(h)
+    low = np.bincount(cell, (h & np.uint64(0xFFFFFFFF)).astype(np.float64), cells)
+    high = np.bincount(cell, (h >> np.uint64(32)).astype(np.float64), cells)
+    place = np.arange(parts, dtype=np.uint64) + np.uint64((number * DEALS + deal) << 32)
+    mark = (low.astype(np.uint64) + (high.astype(np.uint64) << np.uint64(32))).reshape(-1, parts)
+    mark = _mix(mark + _mix(place))
+    rank = np.cumsum(full, axis=1)
+    sent = full & (rank <= want[:, None])
+    return mark[sent], np.repeat(np.arange(len(sizes)), sent.sum(axis=1)), rank[:, -1] < want
+
+
+def signatures(sets: list[np.ndarray], threshold: int = THRESHOLD) -> tuple[np.ndarray, np.ndarray]:
+    """(signature, index of the set) rows; two sets that link have one in common."""
+    order = np.argsort([len(s) for s in sets], kind="stable")
+    sizes = np.array([len(sets[i]) for i in order], dtype=np.int64)
+    found, of = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    if not len(sizes) or not sizes[-1]:
+        return found[0], of[0]
+    for number, lo, hi in size_ranges(100 * int(sizes[-1]) // threshold):
+        # the sets of this range, and smaller ones that may link to them
+        a, b = np.searchsorted(sizes, [max(1, need(lo, threshold)), hi + 1])
+        if a == b:
+            continue
+        parts = max(1, round(lo / PART), int(differing(np.array([hi]), hi, threshold)[0]) + 1)
+        least = 2 if lo > 4 * PART and lo >= 2 * parts else 1
+        left = np.arange(a, b)
+        for deal in range(DEALS):
+            tokens = np.concatenate([sets[order[i]] for i in left])
+            want = differing(sizes[left], hi, threshold) + 1
+            mark, which, short = _deal(sizes[left], tokens, want, number, deal, parts, least)
+            found.append(mark)
+            of.append(order[left[which]])
+            left = left[short]
+            if not len(left):
+                break
+        found.append(np.full(len(left), _mix(np.uint64([number]))[0]))
+        of.append(order[left])
+    return np.concatenate(found), np.concatenate(of)
 
 
 class PrefixTree:
@@ -264,45 +334,8 @@ def tree_links(
     return links
 
 
-def _sketch(texts: DataFrame, size: int) -> np.ndarray:
-    """Counts of all shingles in 2**SKETCH_BITS cells, of fixed size.  A task sends
-    its counts in parts; they are added one by one, first those of every FAN_IN-th
-    task, then these sums."""
-    parts, width = SKETCH_PARTS, (1 << SKETCH_BITS) // SKETCH_PARTS
-
-    def count(batches):
-        total = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
-        shingler = Shingler(size)
-        for batch in small(batches):
-            for s in shingler.sets(batch.column(0).to_pylist()):
-                np.add.at(total, (s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
-        for part in range(parts):
-            cells = total[part * width : (part + 1) * width]
-            if cells.any():
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([part], pa.int32()), pa.array([cells.tobytes()], pa.binary())], ["part", "cells"]
-                )
-
-    def add(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # one running sum, however many tasks have counted
-        total = np.zeros(width, dtype=np.int64)
-        for batch in batches:
-            column = batch.column(batch.schema.get_field_index("cells"))
-            for i in range(batch.num_rows):
-                total += np.frombuffer(column[i].as_py(), np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["part", "cells"])
-
-    schema = "part int, cells binary"
-    counted = texts.select("text").mapInArrow(count, schema).withColumn("task", F.pmod(F.spark_partition_id(), F.lit(FAN_IN)))
-    some = counted.groupBy("part", "task").applyInArrow(add, schema)
-    rows = some.groupBy("part").applyInArrow(add, schema).collect()
-    out = np.zeros(1 << SKETCH_BITS, dtype=np.int64)  # SKETCH_PARTS rows, 8 MB in all
-    for r in rows:
-        out[r["part"] * width : (r["part"] + 1) * width] = np.frombuffer(r["cells"], np.int64)
-    return np.minimum(out, np.iinfo(np.int32).max).astype(np.int32)
-
-
 def _classes(base: DataFrame, size: int) -> DataFrame:
+    """(id, n, node, key, ...): size and class of every row's set; key is 64 bits of the class."""
     id_type = base.schema["id"].dataType.simpleString()
     extra = base.columns[2:]
 
@@ -310,60 +343,86 @@ def _classes(base: DataFrame, size: int) -> DataFrame:
         shingler = Shingler(size)
         for batch in small(batches):
             found = list(shingler.sets(batch.column(1).to_pylist()))
+            nodes = [class_key(s) for s in found]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array([class_key(s) for s in found], pa.binary()), *batch.columns[2:]],
-                ["id", "n", "node", *extra],
+                [batch.column(0), pa.array([len(s) for s in found], pa.int64()), pa.array(nodes, pa.binary()), pa.array(short_keys(nodes)), *batch.columns[2:]],
+                ["id", "n", "node", "key", *extra],
             )
 
-    return base.mapInArrow(keys, ", ".join([f"id {id_type}, n long, node binary", *[f"{c} binary" for c in extra]]))
+    return base.mapInArrow(keys, ", ".join([f"id {id_type}, n long, node binary, key long", *[f"{c} binary" for c in extra]]))
+
+
+def short_keys(nodes: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(k[:8] for k in nodes), np.int64)
+
+
+def tied(sig: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The rows (signature, class) with one row a signature; its other classes
+    are tied to that one by a signature that only the two have."""
+    order = np.lexsort((key, sig))
+    sig, key = sig[order], key[order]
+    first = np.concatenate([[True], sig[1:] != sig[:-1]])
+    head = key[first][np.cumsum(first) - 1]
+    pairs = np.unique(np.stack([head, key], axis=1)[head != key], axis=0)
+    own = _mix(_mix(pairs[:, 0].view(np.uint64)) + pairs[:, 1].view(np.uint64))
+    return np.concatenate([sig[first], own, own]), np.concatenate([key[first], pairs[:, 0], pairs[:, 1]])
 
 
 def _sent(base: DataFrame, size: int, threshold: int) -> DataFrame:
-    """(token, node, l): the shingles that each class sends out."""
-    sketch = base.sparkSession.sparkContext.broadcast(_sketch(base, size))
+    """(sig, key): the signatures that each class sends out."""
 
     def send(batches):
-        shingler, shift = Shingler(size), np.uint64(64 - SKETCH_BITS)
+        shingler = Shingler(size)
+        sigs, keys, rows, known = [], [], 0, set()
+
+        def flush():
+            sig, key = tied(np.concatenate(sigs), np.concatenate(keys))
+            for at in range(0, len(sig), 100_000):
+                part = slice(at, at + 100_000)
+                yield pa.RecordBatch.from_arrays([pa.array(sig[part].view(np.int64)), pa.array(key[part])], ["sig", "key"])
+
         for batch in small(batches):
-            tokens, nodes, least = [], [], []
-            rows = 0
+            sets, nodes = [], []
             for s in shingler.sets(batch.column(0).to_pylist()):
-                n = len(s)
-                if n:
-                    l = shared_at_least(n, threshold)  # noqa: E741
-                    p = n - need(n, threshold) + l
-                    order = np.lexsort((s, sketch.value[(s >> shift).astype(np.int64)]))
-                    tokens.append(s[order[:p]])
-                    nodes.append((class_key(s), p))
-                    least.append(np.full(p, l, np.int32))
-                    rows += p
-                if rows > 200_000:
-                    yield _sent_batch(tokens, nodes, least)
-                    tokens, nodes, least, rows = [], [], [], 0
-            if rows:
-                yield _sent_batch(tokens, nodes, least)
-
-    return base.select("text").mapInArrow(send, "token long, node binary, l int")
-
-
-def _sent_batch(tokens, nodes, least) -> pa.RecordBatch:
-    which = np.repeat(np.arange(len(nodes)), [p for _, p in nodes])
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(np.concatenate(tokens).view(np.int64)),
-            pa.array([k for k, _ in nodes], pa.binary()).take(pa.array(which)),
-            pa.array(np.concatenate(least)),
-        ],
-        ["token", "node", "l"],
-    )
+                node = class_key(s)
+                if len(s) and node not in known:
+                    known.add(node)
+                    sets.append(s)
+                    nodes.append(node)
+            if not sets:
+                continue
+            sig, of = signatures(sets, threshold)
+            sigs.append(sig)
+            keys.append(short_keys(nodes)[of])
+            rows += len(sig)
+            if rows >= SENT_ROWS:
+                yield from flush()
+                sigs, keys, rows, known = [], [], 0, set()
+        if rows:
+            yield from flush()
 
+    return base.select("text").mapInArrow(send, "sig long, key long")
 
-def _shared(sent: DataFrame, name: str) -> DataFrame:
-    """Rows whose token two classes hold, of classes with at least l of them."""
-    tokens = sent.groupBy("token").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a <> b").select("token")
-    rows = written(sent.join(tokens, "token", "left_semi").distinct(), f"{name}-tokens")
-    enough = rows.groupBy("node", "l").agg(F.count(F.lit(1)).alias("k")).filter("k >= l").select("node")
-    return written(rows.join(enough, "node", "left_semi"), f"{name}-nodes")
+
+def _meetings(sent: DataFrame) -> DataFrame:
+    """(u, v): each class of a signature with the first one, in sorted rows as they come."""
+
+    def meet(batches):
+        last, head = None, None
+        for batch in batches:
+            sig, key = (batch.column(i).to_numpy() for i in range(2))
+            if not len(sig):
+                continue
+            first = np.concatenate([[True], sig[1:] != sig[:-1]])
+            heads = key[first]
+            if sig[0] == last:
+                heads[0] = head
+            u = heads[np.cumsum(first) - 1]
+            last, head = sig[-1], u[-1]
+            pairs = np.unique(np.stack([u, key], axis=1)[u != key], axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["u", "v"])
+
+    return sent.repartition("sig").sortWithinPartitions("sig").mapInArrow(meet, "u long, v long")
 
 
 def _join_blocks(tasks: DataFrame, size: int, threshold: int) -> DataFrame:
@@ -404,55 +463,57 @@ def near_duplicates(
     base = pick(docs, id=id_col, text=text_col)
     extra = {"text_md5": text_hash(F.col("text"))} if hashed else {}
     classes = written(_classes(base.withColumns(extra), size), "ngram-classes")
-    shared = _shared(_shared(_sent(base, size, threshold), "ngram-1"), "ngram-2")
-    pivot = shared.groupBy("token").agg(F.min("node").alias("u"))
-    near = shared.join(pivot, "token").select("u", F.col("node").alias("v"))
-    clusters = written(connected_components(near, "ngram-clusters"), "ngram-clusters")
+    near = _meetings(_sent(base, size, threshold))
+    clusters = connected_components(near, "ngram-clusters").toDF("key", "cluster")
 
     # one text of each class in a cluster
-    members = classes.join(clusters, "node")
-    one = members.groupBy("node").agg(F.min("id").alias("id"), F.first("component").alias("cluster"), F.first("n").alias("n"))
-    of_class = base.join(one.withColumnRenamed("id", "o_id"), F.col("id").eqNullSafe(F.col("o_id")))
-    id_type = base.schema["id"].dataType.simpleString()
-
-    def same_class(batches):
-        # an id that repeats may carry texts of other classes
-        shingler = Shingler(size)
-        for batch in small(batches):
-            keys = pa.array([class_key(s) for s in shingler.sets(batch.column(1).to_pylist())], pa.binary())
-            yield batch.filter(pa.compute.equal(keys, batch.column(2)))
-
-    texts = of_class.select("id", "text", "node", "cluster", "n").mapInArrow(
-        same_class, f"id {id_type}, text string, node binary, cluster binary, n long"
-    )
-    texts = written(texts.dropDuplicates(["node"]).select("node", "cluster", "n", "text"), "ngram-texts")
+    members = classes.join(clusters, "key")
+    one = members.groupBy("node").agg(F.min("id").alias("o_id"), F.first("cluster").alias("cluster"), F.first("n").alias("n"))
+    one = written(one, "ngram-members")
 
     def blocks(total_sets, total_shingles):
         return F.ceil(F.greatest(total_sets / block_sets, total_shingles / block_shingles, F.lit(1.0))).cast("int")
 
-    sizes = texts.groupBy("cluster").agg(blocks(F.count(F.lit(1)), F.sum("n")).alias("blocks"))
-    placed = texts.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
-    # within each block, and each block with the first
-    pairs = F.when(
-        F.col("block") == 0,
-        F.transform(
-            F.sequence(F.lit(0), F.col("blocks") - 1),
-            lambda j: F.struct(F.lit(0).alias("i"), j.alias("j"), F.lit(0).alias("side")),
-        ),
-    ).otherwise(
-        F.array(
-            F.struct(F.col("block").alias("i"), F.col("block").alias("j"), F.lit(0).alias("side")),
-            F.struct(F.lit(0).alias("i"), F.col("block").alias("j"), F.lit(1).alias("side")),
-        )
+    sizes = one.groupBy("cluster").agg(blocks(F.count(F.lit(1)), F.sum("n")).alias("blocks"))
+    # dealt by id at every size: a broadcast where the classes happen to be few
+    # would hide what the texts take elsewhere
+    of_class = base.join(one.join(sizes, "cluster").hint("merge"), F.col("id").eqNullSafe(F.col("o_id")))
+
+    def same_class(batches):
+        # an id that repeats may carry texts of other classes, and a row may repeat
+        shingler, done = Shingler(size), set()
+        for batch in small(batches):
+            keys = [class_key(s) for s in shingler.sets(batch.column(0).to_pylist())]
+            keep = []
+            for key, node in zip(keys, batch.column(1).to_pylist()):
+                keep.append(key == node and key not in done)
+                if keep[-1]:
+                    done.add(key)
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    texts = of_class.select("text", "node", "cluster", "blocks", "n").mapInArrow(
+        same_class, "text string, node binary, cluster long, blocks int, n long"
     )
-    tasks = placed.select("cluster", "node", F.col("node").alias("component"), "text", F.explode(pairs).alias("p"))
-    step = _join_blocks(tasks.select("cluster", "p.*", "node", "component", "text"), size, threshold)
-    links = written(step, "ngram-links")
-    components = connected_components(links, "ngram-part")
-    if sizes.agg(F.max("blocks")).first()[0] not in (None, 0, 1):
-        components = connected_components(
-            links.unionByName(_second_step(placed, components, size, threshold, block_sets)), "ngram-all"
-        )
+    block = F.pmod(F.xxhash64("node"), "blocks").cast("int")
+    placed = written(texts.select("node", "cluster", "blocks", block.alias("block"), "n", "text"), "ngram-texts")
+    inside = placed.select("cluster", F.col("block").alias("i"), F.col("block").alias("j"), F.lit(0).alias("side"), "node", F.col("node").alias("component"), "text")
+    links = written(_join_blocks(inside, size, threshold), "ngram-links")
+    large = placed.filter("blocks > 1")
+    if placed.agg(F.max("blocks")).first()[0] in (None, 1):
+        components = connected_components(links, "ngram-part")
+    else:
+        # each block with the first
+        pairs = F.when(
+            F.col("block") == 0,
+            F.transform(F.sequence(F.lit(1), F.col("blocks") - 1), lambda j: F.struct(j.alias("j"), F.lit(0).alias("side"))),
+        ).otherwise(F.array(F.struct(F.col("block").alias("j"), F.lit(1).alias("side"))))
+        tasks = large.select("cluster", F.lit(0).alias("i"), F.explode(pairs).alias("p"), "node", "text")
+        tasks = tasks.select("cluster", "i", "p.*", "node", F.col("node").alias("component"), "text")
+        links = links.unionByName(written(_join_blocks(tasks, size, threshold), "ngram-first"))
+        components = connected_components(links, "ngram-part")
+        for more in _second_step(large, components, size, threshold, block_sets):
+            links = links.unionByName(more)
+        components = connected_components(links, "ngram-all")
     labelled = classes.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = labelled.groupBy("component").agg(F.min("id").alias("component_id"))
     linked = labelled.filter("n > 0").join(least, "component")
@@ -461,30 +522,39 @@ def near_duplicates(
     return linked.select(cols).unionByName(alone.select(cols)).toDF("doc_id", "n_shingles", "component_id", *extra)
 
 
-def _second_step(placed: DataFrame, components: DataFrame, size: int, threshold: int, block_sets: int) -> DataFrame:
+def _second_step(large: DataFrame, components: DataFrame, size: int, threshold: int, block_sets: int) -> Iterator[DataFrame]:
     """Links between blocks of large clusters, blocks being cut anew so that
-    most hold one component; pairs of blocks of the same component are done."""
-    large = placed.filter("blocks > 1").join(components, "node", "left")
-    large = large.withColumn("component", F.coalesce("component", "node"))
-    per = large.groupBy("cluster", "component").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("s"), F.first("blocks").alias("blocks"))
+    most hold one component; pairs of blocks of the same component are done.
+    The pairs go in rounds, each of which ships about twice the sets there are."""
+    narrow = large.select("cluster", "node", "blocks", "n").join(components, "node", "left")
+    narrow = written(narrow.withColumn("component", F.coalesce("component", "node")), "ngram-large")
+    per = narrow.groupBy("cluster", "component").agg(F.count(F.lit(1)).alias("k"), F.first("blocks").alias("blocks"))
     # components as large as a block get blocks of their own; the others are mixed by hash
     own = F.col("k") >= block_sets // 2
     per = per.withColumn("own", own).withColumn("parts", F.when(own, F.ceil(F.col("k") / block_sets)).otherwise(F.col("blocks")).cast("int"))
-    cut = large.drop("blocks").join(per.select("cluster", "component", "own", "parts"), ["cluster", "component"])
     part = F.pmod(F.when(F.col("own"), F.xxhash64("node")).otherwise(F.xxhash64("component")), "parts").cast("int")
     label = F.when(F.col("own"), F.concat_ws("/", F.hex("component"), part.cast("string"))).otherwise(
         F.concat_ws("/", F.lit("~mixed"), part.cast("string"))
     )
-    cut = written(cut.withColumn("label", label).select("cluster", "node", "component", "own", "label", "text"), "ngram-second")
-    names = cut.groupBy("cluster", "label").agg(F.first("own").alias("own"), F.first("component").alias("c"))
-    a = names.select("cluster", F.col("label").alias("i"), F.col("own").alias("own_i"), F.col("c").alias("c_i"))
-    b = names.select("cluster", F.col("label").alias("j"), F.col("own").alias("own_j"), F.col("c").alias("c_j"))
+    marked = narrow.join(per.select("cluster", "component", "own", "parts"), ["cluster", "component"])
+    marked = marked.select("cluster", "node", "component", "own", label.alias("label"))
+    cut = written(large.select("node", "text").join(marked, "node"), "ngram-second")
+    names = cut.groupBy("cluster", "label").agg(F.first("own").alias("own"), F.first("component").alias("c"), F.count(F.lit(1)).alias("k"))
+    names = written(names, "ngram-names")
+    a = names.select("cluster", F.col("label").alias("i"), F.col("own").alias("own_i"), F.col("c").alias("c_i"), F.col("k").alias("k_i"))
+    b = names.select("cluster", F.col("label").alias("j"), F.col("own").alias("own_j"), F.col("c").alias("c_j"), F.col("k").alias("k_j"))
     # pairs of block names of one cluster, never of documents
-    pairs = a.join(b, "cluster").filter("i <= j and not (own_i and own_j and c_i = c_j)").select("cluster", "i", "j")
-    lefts = cut.withColumn("i", F.col("label")).join(pairs, ["cluster", "i"]).withColumn("side", F.lit(0))
-    rights = cut.withColumn("j", F.col("label")).join(pairs.filter("i <> j"), ["cluster", "j"]).withColumn("side", F.lit(1))
+    pairs = a.join(b, "cluster").filter("i <= j and not (own_i and own_j and c_i = c_j)")
+    pairs = written(pairs.select("cluster", "i", "j", F.expr("k_i + if(i < j, k_j, 0)").alias("k")), "ngram-pairs")
+    shipped, held = pairs.agg(F.sum("k")).first()[0] or 0, names.agg(F.sum("k")).first()[0] or 0
+    rounds = -(-shipped // max(1, 2 * held))
+    turn = F.pmod(F.xxhash64("cluster", "i", "j"), F.lit(max(1, rounds)))
     cols = ["cluster", "i", "j", "side", "node", "component", "text"]
-    return written(_join_blocks(lefts.select(cols).unionByName(rights.select(cols)), size, threshold), "ngram-second-links")
+    for k in range(rounds):
+        now = pairs.filter(turn == k).select("cluster", "i", "j")
+        lefts = cut.withColumn("i", F.col("label")).join(now, ["cluster", "i"]).withColumn("side", F.lit(0))
+        rights = cut.withColumn("j", F.col("label")).join(now.filter("i <> j"), ["cluster", "j"]).withColumn("side", F.lit(1))
+        yield written(_join_blocks(lefts.select(cols).unionByName(rights.select(cols)), size, threshold), "ngram-second-links")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
